@@ -1,7 +1,6 @@
 """Stored tables in a Spark catalog database.
 
-Executors write, and nothing passes through the driver.  A table that is read by
-the job that replaces it is written beside the old one and then swapped in.
+Executors write, and nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +19,13 @@ from shelfcast.sources.registry import Dataset
 
 
 class Warehouse:
-    """Named tables; the database lies in the folder all executors share unless ``location`` says otherwise."""
+    """Named tables; the database lies in the folder all executors share unless ``location`` says otherwise.
+
+    A name is a view of the stored table that holds its current version.  A new version is written in
+    full before the view is pointed at it, so readers never meet a half-written table, and a job
+    may read the very table it replaces.  The version before stays for jobs that still read it,
+    until the next one is stored.
+    """
 
     def __init__(self, spark: SparkSession, database: str | None = None, location: str | None = None):
         self.spark = spark
@@ -40,9 +45,9 @@ class Warehouse:
 
     def create_table(self, table: str, schema: T.StructType, comment: str = "") -> None:
         if not self.exists(table):
-            self.spark.catalog.createTable(
-                self.full_name(table), source="parquet", schema=schema, description=comment
-            )
+            version = self._version_name(table)
+            self.spark.catalog.createTable(version, source="parquet", schema=schema, description=comment)
+            self._point(table, version)
 
     def current(self, table: str) -> DataFrame:
         """What the table holds now."""
@@ -64,11 +69,24 @@ class Warehouse:
 
     def save(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Store, replacing what is there."""
-        self._store(df, table, partition_by)
+        version = self._version_name(table)
+        writer = df.write.format("parquet")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(version)
+        if not self.exists(table):
+            self._point(table, version)
+            return
+        before, oldest = self._property(table, "stored_in"), self._property(table, "before")
+        self._point(table, version, before)
+        if oldest:
+            self.spark.sql(f"DROP TABLE {oldest}")
 
     def save_new(self, df: DataFrame, table: str) -> None:
         """Store, refusing when the table exists."""
-        df.write.mode("errorifexists").format("parquet").saveAsTable(self.full_name(table))
+        if self.exists(table):
+            raise ValueError(f"table {self.full_name(table)} already exists")
+        self.save(df, table)
 
     def append(self, df: DataFrame, table: str) -> None:
         """Add rows, all or none; columns the rows lack become null."""
@@ -80,33 +98,35 @@ class Warehouse:
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ])
-        aligned.write.insertInto(self.full_name(table))
+        aligned.write.insertInto(self._property(table, "stored_in"))
 
     def add_columns(self, table: str, kinds: Mapping[str, str]) -> None:
         """Add the columns that are missing; a change of metadata only, old rows read as null."""
         present = self.current(table).columns
         missing = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items() if c not in present)
         if missing:
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} ADD COLUMNS ({missing})")
+            version = self._property(table, "stored_in")
+            self.spark.sql(f"ALTER TABLE {version} ADD COLUMNS ({missing})")
+            self._point(table, version, self._property(table, "before"))
 
     def update_columns(
         self, table: str, values: DataFrame, keys: Sequence[str], columns: Sequence[str]
     ) -> None:
         """Set columns of stored rows by key; see :func:`shelfcast.operators.joins.update_columns`."""
-        self._store(update_columns(self.current(table), values, keys, columns), table)
+        self.save(update_columns(self.current(table), values, keys, columns), table)
 
-    def _store(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        """Write beside the table, then rename; a crash in between leaves ``<table>__next`` or ``__last``."""
-        name, beside, last = (self.full_name(f"{table}{end}") for end in ("", "__next", "__last"))
-        writer = df.write.mode("overwrite").format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(beside)
-        self.spark.sql(f"DROP TABLE IF EXISTS {last}")
-        if self.exists(table):
-            self.spark.sql(f"ALTER TABLE {name} RENAME TO {last}")
-        self.spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {last}")
+    def _version_name(self, table: str) -> str:
+        return self.full_name(f"{table}__{uuid.uuid4().hex}")
+
+    def _property(self, table: str, key: str) -> str:
+        """``stored_in`` is the table behind a name, ``before`` the one it replaced, if any."""
+        return self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)} ('{key}')").first()["value"]
+
+    def _point(self, table: str, version: str, before: str = "") -> None:
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.full_name(table)} "
+            f"TBLPROPERTIES ('stored_in' = '{version}', 'before' = '{before}') AS SELECT * FROM {version}"
+        )
 
 
 def with_missing_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
