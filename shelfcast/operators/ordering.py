@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfcast.shared import written_table
 
 TOP_ROWS = 100_000
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 200_000
 _SEAT_BITS = 33  # monotonically_increasing_id keeps the row's index within its partition in the low 33 bits
 
 

@@ -39,7 +39,7 @@ def predict(model: Model, rows: DataFrame) -> DataFrame:
 
 def coefficients(model: Any) -> dict[str, Any]:
     fitted = model.stages[-1]
-    return {"intercept": fitted.intercept, "coefficients": list(fitted.coefficients)}
+    return {"intercept": float(fitted.intercept), "coefficients": [float(c) for c in fitted.coefficients]}
 
 
 def score_columns(label: str, prediction: str = "prediction") -> dict[str, Column]:
@@ -147,7 +147,7 @@ def search(
     best = (max if evaluator.isLargerBetter() else min)(fitted.avgMetrics)
     names = list(grid)
     trials = [
-        tuple(str(values[n]) for n in names) + (float(score), score == best)
+        tuple(str(values[n]) for n in names) + (float(score), bool(score == best))
         for values, score in zip(
             [{p.name: v for p, v in m.items()} for m in fitted.getEstimatorParamMaps()], fitted.avgMetrics
         )

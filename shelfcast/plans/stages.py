@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import Imputer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -155,6 +156,11 @@ class MinMaxColumns(Estimator, _ScaleParams, DefaultParamsReadable, DefaultParam
         return model._set(bounds=json.dumps({c: list(row[c]) for c in self.getColumns()}))
 
 
+def mean_imputer(columns: Sequence[str], outputs: Sequence[str], missing: float = -1.0) -> Imputer:
+    """Replaces nulls and ``missing`` by the mean of the other values; for a constant use ``fillna``."""
+    return Imputer(inputCols=list(columns), outputCols=list(outputs), missingValue=missing, strategy="mean")
+
+
 def known_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """The distinct values of each column as text, sorted; they become columns, so their number is limited.
 
@@ -235,8 +241,3 @@ def prefix(model: PipelineModel | Pipeline, steps: int) -> PipelineModel | Pipel
     if isinstance(model, PipelineModel):
         return PipelineModel(model.stages[:steps])
     return Pipeline(stages=model.getStages()[:steps])
-
-
-def named_steps(**stages: Any) -> tuple[Pipeline, Mapping[str, int]]:
-    """A pipeline and the place of each named step in it."""
-    return Pipeline(stages=list(stages.values())), {name: i for i, name in enumerate(stages)}

@@ -1 +1,269 @@
-"""Queries."""
+"""Splits, models and evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfcast.functions.dates import days_since
+from shelfcast.operators.joins import stack_rows
+from shelfcast.operators.ordering import dense_position, row_slice
+from shelfcast.operators.splits import (
+    fold_identifiers, hold_out, kfold_splits, linked_split, membership, ordered_folds, sequential_parts,
+    time_series_folds,
+)
+from shelfcast.plans.features import Preparation, merged_features
+from shelfcast.plans.folds import store_folds, stored_split
+from shelfcast.plans.groups import fold_features, oil_price_group
+from shelfcast.plans.models import (
+    actual_and_predicted, average_scores, boosted_trees, coefficients, cross_validate, daily_baseline, daily_totals,
+    fold_predictions, linear_model, out_of_fold, predict, score_rows, scores, search, validate_outside, with_residual,
+)
+from shelfcast.queries import query
+from shelfcast.queries.views import OIL, SALES, sql, star, table
+from shelfcast.sources.registry import DATASETS
+from shelfcast.sources.warehouse import Warehouse
+
+SIZE = "(SELECT COUNT(*) FROM sales)"
+FOLDED = f"""counted AS (SELECT COUNT(*) // 5 AS q, COUNT(*) % 5 AS r FROM sales),
+folded AS (SELECT s.*, CAST(CASE WHEN id < r * (q + 1) THEN id // (q + 1) ELSE r + (id - r * (q + 1)) // q END AS INT)
+  AS fold FROM sales s, counted)"""
+TIMED = f"""counted AS (SELECT COUNT(*) // 6 AS b, COUNT(*) - 5 * (COUNT(*) // 6) AS first FROM sales),
+folded AS (SELECT s.*, CAST(CASE WHEN id < first THEN -1 ELSE (id - first) // b END AS INT) AS fold FROM sales s, counted)"""
+
+
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "sales")
+
+
+@query("k01_sequential_parts", sql(SALES, f"""
+  SELECT *, CAST(id // ({SIZE} // 7) AS INT) AS part FROM sales WHERE id < 7 * ({SIZE} // 7)"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return sequential_parts(_sales(spark, folder), "id", 7)
+
+
+@query("k02_kfold", sql(SALES, f"""parted AS (
+  SELECT id, CAST(id // ({SIZE} // 5) AS INT) AS part FROM sales WHERE id < 5 * ({SIZE} // 5))""", """
+  SELECT id, f AS fold, CASE WHEN part = f THEN 'test' ELSE 'train' END AS side FROM parted, range(5) r(f)"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    made = []
+    for split in kfold_splits(_sales(spark, folder).select("id"), "id", 5, "sales"):
+        for side in ("train", "test"):
+            made.append(getattr(split, side).withColumns({"fold": F.lit(split.fold).cast("long"), "side": F.lit(side)}))
+    return stack_rows(*made)
+
+
+@query("k03_split_names", sql(SALES, f"""parted AS (
+  SELECT id, CAST(id // ({SIZE} // 3) AS INT) AS part FROM sales WHERE id < 3 * ({SIZE} // 3))""", """
+  SELECT 'sales_kfold_' || CASE WHEN part = f THEN 'test' ELSE 'train' END || '_' || f AS name, COUNT(*) AS rows
+  FROM parted, range(3) r(f) GROUP BY 1"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    splits = kfold_splits(_sales(spark, folder).select("id"), "id", 3, "sales")
+    sides = [side for split in splits for side in (split.train, split.test)]
+    counted = zip(fold_identifiers(splits), sides)
+    return stack_rows(*[s.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(n)) for n, s in counted])
+
+
+@query("k04_stored_folds", sql(SALES, FOLDED, """
+  SELECT id, sales, CASE WHEN fold = 3 THEN 'test' ELSE 'train' END AS side FROM folded"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = Warehouse(spark)
+    rows = ordered_folds(_sales(spark, folder), "id", 5).select("id", "sales", "fold")
+    store_folds(warehouse, rows, "sales", 5)
+    split = stored_split(warehouse, "sales", 3)
+    return stack_rows(split.train.withColumn("side", F.lit("train")), split.test.withColumn("side", F.lit("test")))
+
+
+@query("k05_features_per_fold", sql(SALES, OIL, f"""parted AS (
+  SELECT DISTINCT date, CAST(id // ({SIZE} // 3) AS INT) AS part FROM sales WHERE id < 3 * ({SIZE} // 3)),
+sided AS (SELECT DISTINCT o.date, o.dcoilwtico AS oil_price, CAST(f AS INT) AS fold,
+    CASE WHEN part = f THEN 'test' ELSE 'train' END AS side FROM oil o JOIN parted p ON o.date = p.date, range(3) r(f)),
+bounds AS (SELECT fold, MIN(oil_price) AS low, MAX(oil_price) AS high FROM sided WHERE side = 'train' GROUP BY fold)""", """
+  SELECT date, oil_price, CAST((oil_price - low) / (high - low) AS FLOAT) AS oil_price_scaled_0_to_1, fold, side
+  FROM sided JOIN bounds USING (fold)"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    prices = DATASETS["oil_price_by_date"].to_table(table(spark, folder, "oil"))
+    splits = kfold_splits(_sales(spark, folder).select("id", "date"), "id", 3, "sales")
+    linked = [linked_split(prices, "oil", split, {"date": "date"}) for split in splits]
+    return fold_features(oil_price_group(), linked)
+
+
+@query("k06_ordered_folds", sql(SALES, FOLDED, "SELECT id, fold FROM folded"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return ordered_folds(_sales(spark, folder).select("id"), "id", 5)
+
+
+@query("k07_time_series_folds", sql(SALES, TIMED, """
+  SELECT id, CAST(f AS INT) AS in_fold, CASE WHEN fold = f THEN 'test' ELSE 'train' END AS side
+  FROM folded, range(5) r(f) WHERE fold <= f"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = time_series_folds(_sales(spark, folder).select("id"), "id", 5)
+    return membership(rows, 5, growing=True).drop("fold")
+
+
+@query("k08_hold_out", sql(SALES, f"SELECT id, id >= {SIZE} - CEIL(0.2 * {SIZE}) AS is_test FROM sales"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return hold_out(_sales(spark, folder).select("id"), "id")
+
+
+DAILY = """daily AS (SELECT row_number() OVER (ORDER BY date) - 1 AS day, date, SUM(sales) AS total FROM sales GROUP BY date),
+dayed AS (SELECT s.id, s.date, s.sales, s.onpromotion, (s.date - (SELECT MIN(date) FROM sales))::INT AS day FROM sales s)"""
+
+
+def _dayed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _sales(spark, folder)
+    origin = rows.agg(F.min("date").alias("origin")).select("origin").scalar()
+    return rows.select("id", "date", "sales", "onpromotion", days_since(F.col("date"), origin).alias("day"))
+
+
+SCORE_SQL = """ROUND(1 - SUM((sales - prediction) ^ 2) / (VAR_POP(sales) * COUNT(*)), 6) AS r2,
+  ROUND(SQRT(AVG((sales - prediction) ^ 2)), 3) AS rmse, ROUND(-AVG((sales - prediction) ^ 2) / 1e6, 4) AS neg_mean_squared_error"""
+
+
+def _shown_scores(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "r2": F.round("r2", 6), "rmse": F.round("rmse", 3),
+        "neg_mean_squared_error": F.round(F.col("neg_mean_squared_error") / 1e6, 4),
+    })
+
+
+@query("k09_outer_validation", sql(SALES, DAILY, """fit AS (
+  SELECT regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b FROM dayed WHERE id < 3000),
+predicted AS (SELECT sales, a * day + b AS prediction FROM dayed, fit WHERE id >= 3000 AND id < 5000)""",
+    f"SELECT {SCORE_SQL} FROM predicted"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _dayed(spark, folder)
+    inner, outer = row_slice(rows, ["id"], 0, 3000), row_slice(rows, ["id"], 3000, 5000)
+    return _shown_scores(validate_outside(linear_model(["day"], "sales"), inner, outer, "sales"))
+
+
+@query("k10_linear_regression", sql(SALES, DAILY, """
+  SELECT ROUND(regr_intercept(total, day), 4) AS intercept, ROUND(regr_slope(total, day), 6) AS slope FROM daily"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    days = dense_position(daily_totals(_sales(spark, folder)), ["date"], "day")
+    found = coefficients(linear_model(["day"], "sales").fit(days))
+    values = [(round(found["intercept"], 4), round(found["coefficients"][0], 6))]
+    return spark.createDataFrame(values, "intercept double, slope double")
+
+
+@query("k11_boosted_trees")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    days = dense_position(daily_totals(_sales(spark, folder)), ["date"], "day")
+    model = boosted_trees(["day"], "sales", maxIter=5, maxDepth=3).fit(days)
+    return predict(model, days)
+
+
+LINE = """fit AS (SELECT regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b FROM dayed),
+predicted AS (SELECT id, sales, a * day + b AS prediction FROM dayed, fit)"""
+
+
+@query("k12_scores", sql(SALES, DAILY, LINE, f"SELECT {SCORE_SQL} FROM predicted"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _dayed(spark, folder)
+    model = linear_model(["day"], "sales").fit(rows)
+    return _shown_scores(scores(predict(model, rows), "sales"))
+
+
+CROSS = """fits AS (SELECT CAST(f AS INT) AS in_fold, regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b
+  FROM rows_in_folds, range(5) r(f) WHERE {train} GROUP BY f),
+predicted AS (SELECT id, date, in_fold, CASE WHEN fold = in_fold THEN 'test' ELSE 'train' END AS side, sales,
+  a * day + b AS prediction FROM rows_in_folds, fits WHERE fold = in_fold OR {again})"""
+KFOLD = FOLDED.replace("FROM sales s, counted", "FROM dayed s, counted").replace("folded AS", "rows_in_folds AS") + ",\n" + \
+    CROSS.format(train="fold <> f", again="fold <> in_fold")
+GROWING = TIMED.replace("FROM sales s, counted", "FROM dayed s, counted").replace("folded AS", "rows_in_folds AS") + ",\n" + \
+    CROSS.format(train="fold < f", again="fold < in_fold")
+
+
+@query("k13_cross_validation", sql(SALES, DAILY, KFOLD, f"SELECT in_fold, side, {SCORE_SQL} FROM predicted GROUP BY 1, 2"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ordered_folds(_dayed(spark, folder), "id", 5)
+    return _shown_scores(cross_validate(linear_model(["day"], "sales"), rows, "sales", range(5)))
+
+
+@query("k13_growing_validation", sql(SALES, DAILY, GROWING, f"SELECT in_fold, side, {SCORE_SQL} FROM predicted GROUP BY 1, 2"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = time_series_folds(_dayed(spark, folder), "id", 5)
+    return _shown_scores(cross_validate(linear_model(["day"], "sales"), rows, "sales", range(5), growing=True))
+
+
+@query("k13_average_scores", sql(SALES, DAILY, KFOLD, f"""
+  per_fold AS (SELECT side, 1 - SUM((sales - prediction) ^ 2) / (VAR_POP(sales) * COUNT(*)) AS r2,
+    SQRT(AVG((sales - prediction) ^ 2)) AS rmse, -AVG((sales - prediction) ^ 2) AS mse FROM predicted GROUP BY in_fold, side)""",
+    """SELECT side, ROUND(AVG(r2), 6) AS avg_r2, ROUND(AVG(rmse), 3) AS avg_rmse,
+    ROUND(AVG(mse) / 1e6, 4) AS avg_neg_mean_squared_error FROM per_fold GROUP BY side"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ordered_folds(_dayed(spark, folder), "id", 5)
+    averages = average_scores(cross_validate(linear_model(["day"], "sales"), rows, "sales", range(5)))
+    return averages.select(
+        "side", F.round("avg_r2", 6).alias("avg_r2"), F.round("avg_rmse", 3).alias("avg_rmse"),
+        F.round(F.col("avg_neg_mean_squared_error") / 1e6, 4).alias("avg_neg_mean_squared_error"),
+    )
+
+
+@query("k14_out_of_fold", sql(SALES, DAILY, KFOLD, """
+  SELECT id, sales, ROUND(prediction, 3) AS prediction FROM predicted WHERE side = 'test'"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ordered_folds(_dayed(spark, folder), "id", 5)
+    predicted = out_of_fold(linear_model(["day"], "sales"), rows, range(5))
+    return predicted.select("id", "sales", F.round("prediction", 3).alias("prediction"))
+
+
+@query("k14_out_of_growing_folds", sql(SALES, DAILY, GROWING, """
+  SELECT id, sales, ROUND(prediction, 3) AS prediction FROM predicted WHERE side = 'test'"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = time_series_folds(_dayed(spark, folder), "id", 5)
+    predicted = out_of_fold(linear_model(["day"], "sales"), rows, range(5), growing=True)
+    return predicted.select("id", "sales", F.round("prediction", 3).alias("prediction"))
+
+
+@query("k15_actual_and_predicted", sql(SALES, DAILY, GROWING, """
+  SELECT id, date, in_fold, side, sales AS actual, ROUND(prediction, 3) AS prediction FROM predicted"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = time_series_folds(_dayed(spark, folder), "id", 5)
+    predicted = fold_predictions(linear_model(["day"], "sales"), rows, range(5), growing=True)
+    shown = actual_and_predicted(predicted, "sales", ["id", "date"])
+    return shown.withColumn("prediction", F.round("prediction", 3))
+
+
+@query("k16_residual", sql(SALES, DAILY, LINE, "SELECT id, ROUND(sales - prediction, 3) AS residual FROM predicted"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _dayed(spark, folder)
+    model = linear_model(["day"], "sales").fit(rows)
+    return with_residual(predict(model, rows), "sales").select("id", F.round("residual", 3).alias("residual"))
+
+
+@query("k17_search")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ordered_folds(_dayed(spark, folder), "id", 3)
+    grid = {"fitIntercept": [True, False], "standardization": [True, False]}
+    return search(["day", "onpromotion"], "sales", rows, 3, grid)[1]
+
+
+@query("k18_score_future_rows", sql(SALES, DAILY, """
+  cut AS (SELECT MAX(date) - 16 AS last FROM sales),
+  fit AS (SELECT regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b FROM dayed, cut WHERE date <= last)""", """
+  SELECT id, ROUND(a * day + b, 3) AS sales FROM dayed, cut, fit WHERE date > last"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _dayed(spark, folder)
+    last = rows.agg(F.date_sub(F.max("date"), 16).alias("last")).select("last").scalar()
+    model = linear_model(["day"], "sales").fit(rows.filter(F.col("date") <= last))
+    future = rows.filter(F.col("date") > last).drop("sales")
+    return score_rows(model, future).withColumn("sales", F.round("sales", 3))
+
+
+@query("k18_prepared_features_model")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    merged = merged_features(star(spark, folder))
+    preparation = Preparation(window_size=2, categories=("product_family", "store_type"))
+    made = preparation.transform(merged, preparation.fit(merged))
+    features = ["oil_price", "days_since_start", "day_of_week", "sales_lag_1", "product_family_PROMO", "store_type_A"]
+    return score_rows(boosted_trees(features, "sales", maxIter=3, maxDepth=3).fit(made), made)
+
+
+@query("k19_daily_baseline", sql(SALES, DAILY, """
+  parted AS (SELECT day, total, day >= (SELECT COUNT(*) - CEIL(0.2 * COUNT(*)) FROM daily) AS is_test FROM daily),
+  fit AS (SELECT regr_slope(total, day) AS a, regr_intercept(total, day) AS b FROM parted WHERE NOT is_test)""", """
+  SELECT day AS days_since_start, ROUND(total, 2) AS sales, is_test, ROUND(a * day + b, 3) AS prediction FROM parted, fit"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = daily_baseline(_sales(spark, folder))
+    return found.withColumns({"sales": F.round("sales", 2), "prediction": F.round("prediction", 3)})

@@ -50,7 +50,8 @@ class Warehouse:
             self._point(table, version)
 
     def current(self, table: str) -> DataFrame:
-        """What the table holds now."""
+        """What the table holds now, other sessions' writes included."""
+        self.spark.catalog.refreshTable(self.full_name(table))
         return self.spark.table(self.full_name(table))
 
     def query(self, sql: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfcast.operators.joins import drop_existing
+from shelfcast.operators.joins import drop_existing, require_unique
 from shelfcast.sources.registry import Dataset
 from shelfcast.sources.warehouse import Warehouse
 
@@ -30,14 +30,17 @@ def land_stream(rows: DataFrame, target: str, progress: str) -> StreamingQuery:
 def load_stream(rows: DataFrame, warehouse: Warehouse, dataset: Dataset, progress: str) -> StreamingQuery:
     """Append what has arrived to a stored table.
 
-    A batch that is delivered again after a crash finds its keys stored and adds nothing.
+    A batch that is delivered again after a crash finds its keys stored and adds nothing; a file sent
+    twice counts once; two different rows under one key are an error.
     """
     warehouse.create(dataset)
     keys = list(dataset.keys)
 
     def add(batch: DataFrame, _batch_id: int) -> None:
-        fresh = drop_existing(batch, warehouse.current(dataset.name), keys).dropDuplicates(keys)
-        warehouse.append(fresh, dataset.name)
+        there = Warehouse(batch.sparkSession, warehouse.database)  # the stream has a session of its own
+        fresh = drop_existing(batch, there.current(dataset.name), keys).distinct()
+        require_unique(fresh, keys)
+        there.append(fresh, dataset.name)
 
     return (
         rows.writeStream.foreachBatch(add).option("checkpointLocation", progress)
