@@ -27,7 +27,12 @@ def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"columns to order are missing: {missing}")
-    return df.select(*columns)
+    return df.select(*[quoted(c) for c in columns])
+
+
+def quoted(name: str) -> Column:
+    """A top-level column by its exact name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def choose_columns(

@@ -156,10 +156,21 @@ def stack_rows(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def drop_existing(rows: DataFrame, stored: DataFrame, on: Sequence[str], **limits: int) -> DataFrame:
-    """Rows whose key is not stored yet."""
-    keys = written_table(stored.select(*on).distinct(), "stored-keys")
-    return attach(rows, keys, on, "left_anti", **limits)
+def drop_existing(
+    rows: DataFrame, stored: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES, **limits: int
+) -> DataFrame:
+    """Rows whose key is not stored yet.
+
+    A batch that fits is sent to the stored keys, which are then read once and not shuffled; only the
+    keys found on both sides come back.  A larger batch meets the distinct stored keys in a shuffle.
+    """
+    arriving, known = rows.select(*on), stored.select(*on)
+    if fits_broadcast(arriving, broadcast_bytes):
+        found = known.join(F.broadcast(arriving.distinct()), list(on), "left_semi")
+        known = written_table(found.distinct(), "keys-found")
+    else:
+        known = known.distinct()
+    return attach(rows, known, on, "left_anti", broadcast_bytes, **limits)
 
 
 def referenced_rows(

@@ -30,16 +30,18 @@ def lag_columns(
     steps = list(steps)
     spread = with_overlap(df, position, bucket_rows, max(steps))
     order = W.partitionBy("_bucket", *group).orderBy(position)
-    names = {f"{c}_lag_{k}": (c, k) for k in steps for c in columns}
-    lagged = {}
-    for name, (column, k) in names.items():
-        value = F.lag(column, k).over(order)
-        if head_from_first:
-            # no row k back means the series itself starts in this bucket, so the first row is its first
-            at_the_head = F.lag(F.lit(1), k).over(order).isNull()
-            value = F.when(at_the_head, F.first(column).over(order)).otherwise(value)
-        lagged[name] = value
-    return spread.withColumns(lagged).filter(~F.col("_extra")).select(*df.columns, *names)
+    # whole rows are lagged as one value, which is null only where there is no such row; that means the
+    # series itself starts in this bucket, so the bucket's first row is the series' first
+    row = F.struct(*columns)
+    first = F.first(row).over(order)
+    earlier = {
+        f"_back_{k}": F.coalesce(F.lag(row, k).over(order), first) if head_from_first else F.lag(row, k).over(order)
+        for k in steps
+    }
+    lagged = spread.withColumns(earlier).filter(~F.col("_extra"))
+    return lagged.select(
+        *df.columns, *[F.col(f"_back_{k}")[c].alias(f"{c}_lag_{k}") for k in steps for c in columns]
+    )
 
 
 def rolling_window(

@@ -32,13 +32,12 @@ def categorical_columns(df: DataFrame) -> list[str]:
 def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per cell: ``variable``, its value as ``text`` and, where it is a number, as ``number``."""
     numeric = set(numeric_columns(df))
-    cells = [
-        F.struct(
-            F.col(c).cast("string").alias("text"),
-            (F.col(c).cast("double") + 0.0 if c in numeric else F.lit(None).cast("double")).alias("number"),
-        ).alias(c)
-        for c in columns
-    ]
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    cells = []
+    for c in columns:
+        value = F.col(c) + 0.0 if c in floating else F.col(c)  # no negative zero
+        number = value.cast("double") if c in numeric else F.lit(None).cast("double")
+        cells.append(F.struct(value.cast("string").alias("text"), number.alias("number")).alias(c))
     return df.select(*cells).unpivot([], list(columns), "variable", "cell").select("variable", "cell.text", "cell.number")
 
 
@@ -63,6 +62,19 @@ def _basics(counts: DataFrame) -> DataFrame:
     )
 
 
+def approximate_basics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """As the exact counts, with distinct values estimated in one pass that shuffles sketches only."""
+    wide = nan_as_null(df).agg(*[
+        F.struct(
+            F.count_if(F.col(c).isNull()).alias("nulls"),
+            F.approx_count_distinct(c).alias("unique"),
+            F.count(F.lit(1)).alias("total_rows"),
+        ).alias(c)
+        for c in columns
+    ])
+    return wide.unpivot([], list(columns), "variable", "_b").select("variable", "_b.*")
+
+
 def _per_column(df: DataFrame, rows: DataFrame, name: str = "variable") -> DataFrame:
     """Add the type of each column to a frame with one row per column."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -71,11 +83,19 @@ def _per_column(df: DataFrame, rows: DataFrame, name: str = "variable") -> DataF
 
 
 def describe_basics(
-    df: DataFrame, examples: int = 0, order: Sequence[str] = (), columns: Sequence[str] | None = None
+    df: DataFrame,
+    examples: int = 0,
+    order: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
-    """Type, nulls, distinct values (nulls apart) and rows of each column, with first values as examples."""
+    """Type, nulls, distinct values (nulls apart) and rows of each column, with first values as examples.
+
+    ``approximate`` estimates the distinct values, which spares shuffling every distinct value.
+    """
     columns = list(columns or df.columns)
-    described = _per_column(df, _basics(_counted(df, columns)))
+    basics = approximate_basics(df, columns) if approximate else _basics(_counted(df, columns))
+    described = _per_column(df, basics)
     if examples:
         if examples > TOP_ROWS:
             raise ValueError(f"at most {TOP_ROWS} example rows")

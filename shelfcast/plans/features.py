@@ -16,6 +16,7 @@ from shelfcast.operators.joins import attach
 from shelfcast.operators.lags import lag_columns
 from shelfcast.operators.ordering import BUCKET_ROWS, dense_position, first_rows
 from shelfcast.plans.stages import MinMaxColumns, indicator_columns, known_categories, scaled
+from shelfcast.shared import written_table
 
 Star = dict[str, DataFrame]  # sales (or rows to score), stores, oil, transactions, special_days
 
@@ -201,11 +202,10 @@ class Preparation:
         return refine_special_days(fill_transactions(fill_oil(merged)))
 
     def fit(self, merged: DataFrame) -> PreparationFit:
-        rows = self.filled(merged)
+        needed = dict.fromkeys(["date", *self.scaled, *self.categories])
+        rows = written_table(self.filled(merged).select(*needed), "fitted-rows")
         model = MinMaxColumns(columns=list(self.scaled)).fit(rows)
-        return PreparationFit(
-            first_date(merged), model.getBounds(), known_categories(rows, self.categories)
-        )
+        return PreparationFit(first_date(rows), model.getBounds(), known_categories(rows, self.categories))
 
     def transform(self, merged: DataFrame, fitted: PreparationFit) -> DataFrame:
         rows = replace_date(self.filled(merged), F.lit(fitted.origin).cast("date"))
@@ -237,7 +237,7 @@ class Preparation:
         ]
         indicators = [
             x for c in self.categories
-            for x in indicator_columns(F.col(f"{c}{end}"), c, fitted.categories[c], False, end)
+            for x in indicator_columns(f"{c}{end}", c, fitted.categories[c], False, end)
         ]
         return numbers + indicators + [F.col(f"{c}{end}") for c in rest]
 

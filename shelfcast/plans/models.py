@@ -74,9 +74,10 @@ def fold_predictions(
 ) -> DataFrame:
     """Fit once per fold and predict its test rows (and training rows), with ``in_fold`` and ``side``.
 
-    Fits run one after the other, each over the executors; the rows are computed and written once.
+    Fits run one after the other, each over the executors; the rows are computed once and written
+    by fold, so that a side reads its own folds only.
     """
-    rows = written_table(rows, "folds")
+    rows = written_table(rows, "folds", [fold_column])
     made = []
     for fold in folds:
         train = rows.filter(in_train(fold_column, fold, growing))

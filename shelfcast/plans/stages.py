@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import as_text, first_of_vector, nan_as_null, vector_as_array
+from shelfcast.functions.columns import as_text, first_of_vector, nan_as_null, quoted, vector_as_array
 
 MAX_CATEGORIES = 2_000
 
@@ -178,14 +178,25 @@ def known_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CAT
     return {c: sorted(values) for c, values in found.items()}
 
 
-def indicator_columns(text: Column, name: str, categories: Sequence[str], mark_null: bool, end: str = "") -> list[Column]:
-    """0/1 columns ``<name>_<category>``, and ``<name>_nan`` on request; ``end`` closes every name."""
-    columns = [F.coalesce((text == c).cast("int"), F.lit(0)).alias(f"{name}_{c}{end}") for c in categories]
+def indicator_columns(text: str, name: str, categories: Sequence[str], mark_null: bool, end: str = "") -> list[Column]:
+    """0/1 columns ``<name>_<category>`` of a text column, and ``<name>_nan`` on request; ``end`` closes every name.
+
+    One SQL expression per column: with hundreds of categories, building them call by call takes seconds.
+    """
+    def named(expression: str, suffix: str) -> Column:
+        return F.expr(expression).alias(f"{name}_{suffix}{end}")
+
+    columns = [named(f"CAST(`{text}` <=> {sql_text(c)} AS INT)", c) for c in categories]
     if mark_null:
-        columns.append(text.isNull().cast("int").alias(f"{name}_nan{end}"))
+        columns.append(named(f"CAST(`{text}` IS NULL AS INT)", "nan"))
     return columns
 
 
+def sql_text(value: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class OneHotColumnsModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Category lists found by :class:`OneHotColumns`; a category not seen then gives zeros."""
 
@@ -202,11 +213,12 @@ class OneHotColumnsModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWr
     def _transform(self, dataset: DataFrame) -> DataFrame:
         categories = self.getCategories()
         marks = self.getOrDefault(self.nullIndicator)
-        encoded = {c: indicator_columns(as_text(dataset, c), c, categories[c], marks) for c in self.getColumns()}
+        encoded = {c: indicator_columns(f"_text_{c}", c, categories[c], marks) for c in self.getColumns()}
+        texts = dataset.withColumns({f"_text_{c}": as_text(dataset, c) for c in encoded})
         if self.getOrDefault(self.inPlace):
-            return dataset.select(*[x for c in dataset.columns for x in encoded.get(c, [F.col(c)])])
-        kept = [F.col(c) for c in dataset.columns if c not in encoded]
-        return dataset.select(*kept, *[x for c in self.getColumns() for x in encoded[c]])
+            return texts.select(*[x for c in dataset.columns for x in encoded.get(c, [quoted(c)])])
+        kept = [quoted(c) for c in dataset.columns if c not in encoded]
+        return texts.select(*kept, *[x for c in self.getColumns() for x in encoded[c]])
 
 
 class OneHotColumns(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):

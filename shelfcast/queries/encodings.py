@@ -8,8 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import choose_columns
-from shelfcast.plans.features import Preparation, merged_features, parse_sale_dates, rename_sales_basics
+from shelfcast.functions.columns import choose_columns, quoted
+from shelfcast.plans.features import CATEGORIES, Preparation, merged_features, parse_sale_dates, rename_sales_basics
 from shelfcast.plans.groups import frequency_index, oil_price_group, store_group
 from shelfcast.plans.stages import (
     ColumnDropper, ColumnSelector, FunctionStep, MinMaxColumns, OneHotColumns, VectorToArray, mean_imputer, prefix,
@@ -29,12 +29,12 @@ def _scaled_sql(column: str, source: str, condition: str = "TRUE") -> str:
     return f"({column} - {low}) / ({high} - {low})"
 
 
-@query("j01_assemble_vector", sql(OIL, "SELECT date, [dcoilwtico, day(date)::DOUBLE] AS parts FROM oil"))
+@query("j01_assemble_vector", sql(OIL, "SELECT date, dcoilwtico AS price, day(date)::DOUBLE AS day FROM oil"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "oil").withColumn("day", F.dayofmonth("date"))
     assembler = VectorAssembler(inputCols=["dcoilwtico", "day"], outputCol="parts", handleInvalid="keep")
     made = assembler.transform(rows).select("date", vector_to_array("parts").alias("parts"))
-    return made.withColumn("parts", F.transform("parts", lambda x: F.nanvl(x, F.lit(None))))
+    return made.select("date", *[F.nanvl(F.col("parts")[i], F.lit(None)).alias(n) for i, n in enumerate(("price", "day"))])
 
 
 @query("j02_min_max_fit_and_apply", sql(OIL, f"""
@@ -80,7 +80,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("j05_one_hot_vector", sql(SALES, INDEXED.format(c="family", t="sales"), """
-  SELECT id, [(x = i)::DOUBLE FOR x IN range(0, (SELECT COUNT(*) FROM ranked) - 1)] AS family_ohe
+  SELECT id, array_to_string([(x = i)::INT FOR x IN range(0, (SELECT COUNT(*) FROM ranked) - 1)], ',') AS family_ohe
   FROM sales JOIN ranked ON family = category"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "sales").select("id", "family")
@@ -90,7 +90,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         VectorToArray(columns=["family_ohe"]),
         ColumnDropper(columns=["family", "family_numeric"]),
     ]
-    return Pipeline(stages=stages).fit(rows).transform(rows)
+    return _arrays_as_text(Pipeline(stages=stages).fit(rows).transform(rows))
+
+
+def _arrays_as_text(df: DataFrame) -> DataFrame:
+    """Arrays of 0 and 1 as comma-separated text, a form every engine can compare."""
+    arrays = [c for c, kind in df.dtypes if kind.startswith("array")]
+    return df.withColumns({
+        c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",") for c in arrays
+    })
 
 
 def _indicators_sql(column: str, values: tuple[str, ...], source: str | None = None, end: str = "") -> str:
@@ -131,7 +139,7 @@ def _store_columns_sql() -> str:
     )
     columns = ", ".join(
         f"{c}_r.i::DOUBLE AS {c}_numeric, "
-        f"[(x = {c}_r.i)::DOUBLE FOR x IN range(0, (SELECT COUNT(*) FROM {c}_ranked) - 1)] AS {c}_ohe" for c in ("city", "state", "type", "cluster")
+        f"array_to_string([(x = {c}_r.i)::INT FOR x IN range(0, (SELECT COUNT(*) FROM {c}_ranked) - 1)], ',') AS {c}_ohe" for c in ("city", "state", "type", "cluster")
     )
     joins = " ".join(f"JOIN {c}_ranked {c}_r ON s.{c} = {c}_r.v" for c in ("city", "state", "type", "cluster"))
     return sql(STORES, ranked, f"SELECT store_nbr AS id, city, state, type, cluster, {columns} FROM stores s {joins}")
@@ -139,7 +147,7 @@ def _store_columns_sql() -> str:
 
 @query("j09_store_feature_group", _store_columns_sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return store_group().make(DATASETS["stores"].to_table(table(spark, folder, "stores")))
+    return _arrays_as_text(store_group().make(DATASETS["stores"].to_table(table(spark, folder, "stores"))))
 
 
 PREPARED = r"""prepared AS (
@@ -189,11 +197,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return choose_columns(made, shown)
 
 
-@query("j10_feature_table_in_full")
+def _category_totals_sql() -> str:
+    """How many rows hold each category, and how many follow one that does."""
+    texts = {c: f"{c}::VARCHAR" for c in CATEGORIES}
+    texts["special_day_transferred"] = "CASE special_day_transferred WHEN TRUE THEN 'True' WHEN FALSE THEN 'False' END"
+    rows = "shifted AS (SELECT place, COALESCE(LAG(place) OVER (ORDER BY place), 0) AS before FROM placed)"
+    now = [
+        f"SELECT '{c}_' || {t} AS feature, COUNT(*)::BIGINT AS total FROM placed WHERE {c} IS NOT NULL GROUP BY {t}"
+        for c, t in texts.items()
+    ]
+    then = [
+        f"SELECT '{c}_' || {t} || '_lag_1' AS feature, COUNT(*)::BIGINT AS total FROM shifted s "
+        f"JOIN placed p ON p.place = s.before WHERE {c} IS NOT NULL GROUP BY {t}"
+        for c, t in texts.items()
+    ]
+    return sql(*ALL, MERGED, FILLED, PREPARED, rows, " UNION ALL ".join(now + then))
+
+
+@query("j10_feature_table_in_full", _category_totals_sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
     merged = merged_features(star(spark, folder))
     preparation = Preparation(window_size=2)
-    return preparation.transform(merged, preparation.fit(merged))
+    fitted = preparation.fit(merged)
+    made = preparation.transform(merged, fitted)
+    indicators = [f"{c}_{v}{end}" for end in ("", "_lag_1") for c in CATEGORIES for v in fitted.categories[c]]
+    totals = made.agg(*[F.sum(quoted(c)).alias(c) for c in indicators])
+    return totals.unpivot([], [quoted(c) for c in indicators], "feature", "total")
 
 
 @query("j11_rename_and_merge", sql(*ALL, MERGED, "SELECT * FROM merged"))

@@ -99,11 +99,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return VectorFirstValue(columns=["price"], kinds=["float"]).transform(vectors)
 
 
-@query("b08_vector_to_array", sql(SALES, "SELECT id, [CAST(onpromotion AS DOUBLE), sales] AS parts FROM sales"))
+@query("b08_vector_to_array", sql(SALES, """
+  SELECT id, CAST(onpromotion AS DOUBLE) AS first_part, sales AS second_part, CAST(2 AS INT) AS length FROM sales"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     assembler = VectorAssembler(inputCols=["onpromotion", "sales"], outputCol="parts")
     vectors = assembler.transform(_sales(spark, folder)).select("id", "parts")
-    return VectorToArray(columns=["parts"]).transform(vectors)
+    arrays = VectorToArray(columns=["parts"]).transform(vectors)
+    return arrays.select(
+        "id", F.col("parts")[0].alias("first_part"), F.col("parts")[1].alias("second_part"), F.size("parts").alias("length")
+    )
 
 
 @query("b09_flag_forms", sql(SALES, """

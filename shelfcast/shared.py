@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder nobody has used yet."""
-    return f"{shared_folder(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder nobody has used yet, under the application's own folder."""
+    return f"{shared_folder(spark)}/shelfcast/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def written_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a frame that reads it back."""
+def written_table(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and return a frame that reads it back.
+
+    The files last as long as the frames made from them; once the application has ended, its folder
+    can be removed.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
