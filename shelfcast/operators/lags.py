@@ -25,19 +25,21 @@ def lag_columns(
 ) -> DataFrame:
     """Add ``<column>_lag_<k>``: the value ``k`` rows earlier by ``position`` (within ``group``).
 
-    Rows without a row that far back get null, or the first row's value with ``head_from_first``.
+    Rows without a row that far back get null, or with ``head_from_first`` the value of the first row,
+    provided the series is longer than ``k``.
     """
     steps = list(steps)
-    spread = with_overlap(df, position, bucket_rows, max(steps))
-    order = W.partitionBy("_bucket", *group).orderBy(position)
+    spread = with_overlap(df, position, bucket_rows, max(steps), ahead=head_from_first)
+    series = W.partitionBy("_bucket", *group)
+    order = series.orderBy(position)
     # whole rows are lagged as one value, which is null only where there is no such row; that means the
     # series itself starts in this bucket, so the bucket's first row is the series' first
     row = F.struct(*columns)
-    first = F.first(row).over(order)
-    earlier = {
-        f"_back_{k}": F.coalesce(F.lag(row, k).over(order), first) if head_from_first else F.lag(row, k).over(order)
-        for k in steps
-    }
+    seen, first = F.count(F.lit(1)).over(series), F.first(row).over(order)
+    earlier = {}
+    for k in steps:
+        back = F.lag(row, k).over(order)
+        earlier[f"_back_{k}"] = F.coalesce(back, F.when(seen > k, first)) if head_from_first else back
     lagged = spread.withColumns(earlier).filter(~F.col("_extra"))
     return lagged.select(
         *df.columns, *[F.col(f"_back_{k}")[c].alias(f"{c}_lag_{k}") for k in steps for c in columns]
@@ -59,18 +61,20 @@ def rolling_window(
     ``window_size`` rows.  Without ``group`` the window runs through the whole table.
     """
     columns = [c for c in (columns or df.columns) if c != position and c not in group]
-    shadows = [f"_full_{c}" for c in columns]
-    shadowed = df.withColumns({s: F.col(c) for s, c in zip(shadows, columns)})
+    steps = range(1, window_size)
     gaps = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
-    holed = [s for s, c in zip(shadows, columns) if gaps[c]]
+    holed, whole = [c for c in columns if gaps[c]], [c for c in columns if not gaps[c]]
+    out = df
+    if whole:  # nothing to fill but the head of the series
+        out = lag_columns(out, whole, steps, position, group, True, bucket_rows)
     if holed:
-        shadowed = fill_along(shadowed, holed, position, backward=True, group=group, bucket_rows=bucket_rows)
-    steps = range(1, window_size)
-    lagged = lag_columns(shadowed, shadows, steps, position, group, True, bucket_rows)
-    return lagged.select(
+        out = lag_columns(out, holed, steps, position, group, False, bucket_rows)
+        shifted = [f"{c}_lag_{k}" for k in steps for c in holed]
+        out = fill_along(out, shifted, position, backward=True, group=group, bucket_rows=bucket_rows)
+    return out.select(
         *df.columns,
         (F.col(position) < window_size).alias("row_was_lagg_backfilled"),
-        *[F.col(f"_full_{c}_lag_{k}").alias(f"{c}_lag_{k}") for k in steps for c in columns],
+        *[f"{c}_lag_{k}" for k in steps for c in columns],
     )
 
 

@@ -102,16 +102,20 @@ def bucket_of(position: str, bucket_rows: int) -> Column:
     return F.floor(F.col(position) / F.lit(bucket_rows))
 
 
-def with_overlap(df: DataFrame, position: str, bucket_rows: int, reach: int) -> DataFrame:
+def with_overlap(df: DataFrame, position: str, bucket_rows: int, reach: int, ahead: bool = False) -> DataFrame:
     """Add ``_bucket`` and repeat each bucket's last ``reach`` rows at the head of the next (``_extra``).
 
-    A window inside a bucket then sees ``reach`` rows back, so one balanced shuffle serves every lag.
+    ``ahead`` also repeats its first rows at the end of the bucket before.  A window inside a bucket
+    then sees ``reach`` rows beyond its edge, so one balanced shuffle serves every lag.
     """
     if reach > bucket_rows:
         raise ValueError("a bucket must hold at least as many rows as the window looks back")
-    home = bucket_of(position, bucket_rows)
-    own = F.struct(home.alias("_bucket"), F.lit(False).alias("_extra"))
-    ahead = F.struct((home + 1).alias("_bucket"), F.lit(True).alias("_extra"))
-    at_the_end = F.col(position) % bucket_rows >= bucket_rows - reach
-    places = F.when(at_the_end, F.array(own, ahead)).otherwise(F.array(own))
-    return df.select("*", F.inline(places))
+    home, place = bucket_of(position, bucket_rows), F.col(position) % bucket_rows
+    copies = [(home + 1, place >= bucket_rows - reach)]
+    if ahead:
+        copies.append((home - 1, (place < reach) & (home > 0)))
+    targets = [F.struct(home.alias("_bucket"), F.lit(False).alias("_extra"))]
+    targets += [
+        F.when(needed, F.struct(bucket.alias("_bucket"), F.lit(True).alias("_extra"))) for bucket, needed in copies
+    ]
+    return df.select("*", F.inline(F.array_compact(F.array(*targets))))

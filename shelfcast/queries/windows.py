@@ -55,17 +55,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return fill_by_calendar(sales, table(spark, folder, "oil"), "dcoilwtico")
 
 
-def _lag_sql(column: str, k: int, over: str = "") -> str:
-    """Shift by ``k`` and fill from below."""
-    filled = f"{column}_filled"
-    return f"""COALESCE(LAG({filled}, {k}) OVER ({over} ORDER BY id), CASE WHEN row_number() OVER ({over} ORDER BY id) <= {k}
-      THEN FIRST_VALUE({filled}) OVER ({over} ORDER BY id) END) AS {column}_lag_{k}"""
+def _shifted_sql(columns: list[str], over: str = "") -> str:
+    return "shifted AS (SELECT *, " + ", ".join(
+        f"LAG({c}, {k}) OVER ({over} ORDER BY id) AS {c}_{k}" for k in (1, 2) for c in columns
+    ) + " FROM priced)"
 
 
 def _filled_sql(columns: list[str], over: str = "") -> str:
     return ", ".join(
-        f"FIRST_VALUE({c} IGNORE NULLS) OVER ({over} ORDER BY id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS {c}_filled"
-        for c in columns
+        f"FIRST_VALUE({c}_{k} IGNORE NULLS) OVER ({over} ORDER BY id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) "
+        f"AS {c}_lag_{k}" for k in (1, 2) for c in columns
     )
 
 
@@ -73,9 +72,8 @@ WINDOWED = ["date", "store_nbr", "family", "sales", "price"]
 
 
 @query("f04_rolling_window", sql(
-    SALES, OIL, PRICED, f"filled_up AS (SELECT *, {_filled_sql(WINDOWED)} FROM priced)",
-    f"""SELECT id, date, store_nbr, family, sales, price, id < 3 AS row_was_lagg_backfilled,
-      {', '.join(_lag_sql(c, k) for k in (1, 2) for c in WINDOWED)} FROM filled_up"""))
+    SALES, OIL, PRICED, _shifted_sql(WINDOWED),
+    f"SELECT id, date, store_nbr, family, sales, price, id < 3 AS row_was_lagg_backfilled, {_filled_sql(WINDOWED)} FROM shifted"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return rolling_window(_priced(spark, folder), 3, "id")
 
@@ -84,9 +82,8 @@ BY_SERIES = "PARTITION BY store_nbr, family"
 
 
 @query("f04_rolling_window_per_series", sql(
-    SALES, OIL, PRICED, f"filled_up AS (SELECT *, {_filled_sql(['sales', 'price'], BY_SERIES)} FROM priced)",
-    f"""SELECT id, store_nbr, family, {', '.join(_lag_sql(c, k, BY_SERIES) for k in (1, 2) for c in ('sales', 'price'))}
-      FROM filled_up"""))
+    SALES, OIL, PRICED, _shifted_sql(["sales", "price"], BY_SERIES),
+    f"SELECT id, store_nbr, family, {_filled_sql(['sales', 'price'], BY_SERIES)} FROM shifted"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     placed = dense_position(_priced(spark, folder), ["store_nbr", "family", "id"])
     window = rolling_window(placed, 3, "position", ["sales", "price"], ["store_nbr", "family"])
