@@ -7,17 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The reasons that carry a place name after them, the phrase of the
-# football cup days, and the form of a day offset at the end of a reason.
+# The reasons that carry a place name after them, and the phrase of the
+# football cup days.
 PLACE_REASONS = ("Fundacion", "Independencia", "Provincializacion", "Cantonizacion", "Translado")
 CUP_PHRASE = "Mundial de futbol Brasil"
-OFFSET_PATTERN = "([-+][0-9]+)$"
+
+
+def offset_text(reason: Column) -> Column:
+    """The sign and digits a reason ends with; null where it does not.  Trimming digits is cheaper than a pattern."""
+    rest = F.rtrim(reason, F.lit("0123456789"))
+    signed = (F.length(rest) < F.length(reason)) & (rest.endswith("+") | rest.endswith("-"))
+    return F.when(signed, F.substr(reason, F.length(rest)))
 
 
 def day_offset(reason: Column) -> Column:
     """The signed number a reason ends with, else 0."""
-    text = F.regexp_extract(reason, OFFSET_PATTERN, 1)
-    return F.coalesce(text.try_cast("int"), F.lit(0))
+    return F.coalesce(offset_text(reason).try_cast("int"), F.lit(0))
 
 
 def canonical_reason(
@@ -25,10 +30,10 @@ def canonical_reason(
 ) -> Column:
     """One spelling per reason: bare place reasons, no offset, one name for cup days; null stays null."""
     by_place = F.coalesce(*[F.when(reason.startswith(p), F.lit(p)) for p in place_reasons])
-    offset = F.regexp_extract(reason, OFFSET_PATTERN, 1)
+    offset = offset_text(reason)
     return (
         F.when(by_place.isNotNull(), by_place)
-        .when(offset != "", F.replace(reason, offset, F.lit("")))
+        .when(offset.isNotNull(), F.replace(reason, offset, F.lit("")))
         .when(F.contains(reason, F.lit(cup_phrase)), F.lit(cup_phrase))
         .otherwise(reason)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import attach
-from shelfcast.operators.ordering import BUCKET_ROWS, bucket_of
+from shelfcast.operators.ordering import bounded_bucket_rows, bucket_of
 from shelfcast.shared import written_table
 
 
@@ -29,14 +29,15 @@ def fill_along(
     position: str,
     backward: bool = False,
     group: Sequence[str] = (),
-    bucket_rows: int = BUCKET_ROWS,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """Give nulls the last known value before them (or, ``backward``, the next one after them).
 
     ``position`` is a dense row number; with ``group`` it must follow the group keys, so that each
     group is one run of positions.  Nulls are filled inside buckets of consecutive rows first; what
-    enters a bucket from its neighbours is one small row per bucket.
+    enters a bucket from its neighbours is one small row per bucket, and the number of buckets is bounded.
     """
+    bucket_rows = bucket_rows or bounded_bucket_rows(df, position)
     sign = -1 if backward else 1
     stepped = df.withColumns({"_bucket": bucket_of(position, bucket_rows), "_step": F.col(position) * sign})
     inside = W.partitionBy("_bucket", *group).orderBy("_step").rowsBetween(W.unboundedPreceding, 0)

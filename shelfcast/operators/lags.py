@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.dates import calendar_shift
 from shelfcast.operators.fill import fill_along
 from shelfcast.operators.joins import attach
-from shelfcast.operators.ordering import BUCKET_ROWS, with_overlap
+from shelfcast.operators.ordering import BUCKET_ROWS, MAX_BUCKETS, with_overlap
 
 
 def lag_columns(
@@ -20,16 +20,17 @@ def lag_columns(
     steps: Sequence[int],
     position: str,
     group: Sequence[str] = (),
-    head_from_first: bool = False,
+    head_from_first: bool | Sequence[str] = False,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``<column>_lag_<k>``: the value ``k`` rows earlier by ``position`` (within ``group``).
 
-    Rows without a row that far back get null, or with ``head_from_first`` the value of the first row,
-    provided the series is longer than ``k``.
+    Rows without a row that far back get null, or with ``head_from_first`` (for all or some columns)
+    the value of the first row, provided the series is longer than ``k``.
     """
     steps = list(steps)
-    spread = with_overlap(df, position, bucket_rows, max(steps), ahead=head_from_first)
+    headed = set(columns if head_from_first is True else head_from_first or ())
+    spread = with_overlap(df, position, bucket_rows, max(steps), ahead=bool(headed))
     series = W.partitionBy("_bucket", *group)
     order = series.orderBy(position)
     # whole rows are lagged as one value, which is null only where there is no such row; that means the
@@ -38,11 +39,13 @@ def lag_columns(
     seen, first = F.count(F.lit(1)).over(series), F.first(row).over(order)
     earlier = {}
     for k in steps:
-        back = F.lag(row, k).over(order)
-        earlier[f"_back_{k}"] = F.coalesce(back, F.when(seen > k, first)) if head_from_first else back
+        earlier[f"_back_{k}"] = F.lag(row, k).over(order)
+        if headed:
+            earlier[f"_head_{k}"] = F.coalesce(earlier[f"_back_{k}"], F.when(seen > k, first))
     lagged = spread.withColumns(earlier).filter(~F.col("_extra"))
     return lagged.select(
-        *df.columns, *[F.col(f"_back_{k}")[c].alias(f"{c}_lag_{k}") for k in steps for c in columns]
+        *df.columns,
+        *[F.col(f"_{'head' if c in headed else 'back'}_{k}")[c].alias(f"{c}_lag_{k}") for k in steps for c in columns],
     )
 
 
@@ -62,15 +65,16 @@ def rolling_window(
     """
     columns = [c for c in (columns or df.columns) if c != position and c not in group]
     steps = range(1, window_size)
-    gaps = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
-    holed, whole = [c for c in columns if gaps[c]], [c for c in columns if not gaps[c]]
-    out = df
-    if whole:  # nothing to fill but the head of the series
-        out = lag_columns(out, whole, steps, position, group, True, bucket_rows)
-    if holed:
-        out = lag_columns(out, holed, steps, position, group, False, bucket_rows)
-        shifted = [f"{c}_lag_{k}" for k in steps for c in holed]
-        out = fill_along(out, shifted, position, backward=True, group=group, bucket_rows=bucket_rows)
+    gaps = df.agg(
+        F.coalesce(F.max(position), F.lit(0)).alias("_last"),
+        *[F.max(F.col(c).isNull().cast("int")).alias(c) for c in columns],
+    ).first()
+    whole = [c for c in columns if not gaps[c]]  # nothing to fill but the head of the series
+    out = lag_columns(df, columns, steps, position, group, whole, bucket_rows)
+    shifted = [f"{c}_lag_{k}" for k in steps for c in columns if gaps[c]]
+    if shifted:
+        size = max(bucket_rows, -(-(gaps["_last"] + 1) // MAX_BUCKETS))
+        out = fill_along(out, shifted, position, backward=True, group=group, bucket_rows=size)
     return out.select(
         *df.columns,
         (F.col(position) < window_size).alias("row_was_lagg_backfilled"),

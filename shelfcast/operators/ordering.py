@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from shelfcast.shared import written_table
 
 TOP_ROWS = 100_000
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 50_000
+MAX_BUCKETS = 1_000_000
 _SEAT_BITS = 33  # monotonically_increasing_id keeps the row's index within its partition in the low 33 bits
 
 
@@ -102,6 +103,12 @@ def bucket_of(position: str, bucket_rows: int) -> Column:
     return F.floor(F.col(position) / F.lit(bucket_rows))
 
 
+def bounded_bucket_rows(df: DataFrame, position: str) -> int:
+    """Rows per bucket such that there are at most ``MAX_BUCKETS`` buckets, from the last position."""
+    last = df.agg(F.max(position)).first()[0] or 0
+    return max(BUCKET_ROWS, -(-(last + 1) // MAX_BUCKETS))
+
+
 def with_overlap(df: DataFrame, position: str, bucket_rows: int, reach: int, ahead: bool = False) -> DataFrame:
     """Add ``_bucket`` and repeat each bucket's last ``reach`` rows at the head of the next (``_extra``).
 

@@ -30,23 +30,24 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 
 def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per cell: ``variable``, its value as ``text`` and, where it is a number, as ``number``."""
-    numeric = set(numeric_columns(df))
-    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    """One row per cell: ``variable``, and its value as ``number`` or, where a double cannot hold it, as ``text``.
+
+    Wide integers have both: the text tells them apart, the number orders them.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     cells = []
     for c in columns:
-        value = F.col(c) + 0.0 if c in floating else F.col(c)  # no negative zero
-        number = value.cast("double") if c in numeric else F.lit(None).cast("double")
-        cells.append(F.struct(value.cast("string").alias("text"), number.alias("number")).alias(c))
+        numeric = isinstance(kinds[c], T.NumericType)
+        exact = numeric and not isinstance(kinds[c], (T.LongType, T.DecimalType))
+        number = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if exact else F.col(c).cast("string")
+        cells.append(F.struct(text.alias("text"), number.alias("number")).alias(c))
     return df.select(*cells).unpivot([], list(columns), "variable", "cell").select("variable", "cell.text", "cell.number")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How often each value of each column occurs, nulls included: ``variable, text, number, n``."""
-    return (
-        long_form(nan_as_null(df), columns).groupBy("variable", "text")
-        .agg(F.first("number").alias("number"), F.count(F.lit(1)).alias("n"))
-    )
+    return long_form(nan_as_null(df), columns).groupBy("variable", "text", "number").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -54,10 +55,10 @@ def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _basics(counts: DataFrame) -> DataFrame:
-    known = F.col("text").isNotNull()
+    known = F.col("text").isNotNull() | F.col("number").isNotNull()
     return counts.groupBy("variable").agg(
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("text").alias("unique"),
+        F.count_if(known).alias("unique"),
         F.sum("n").alias("total_rows"),
     )
 
@@ -135,7 +136,7 @@ def percentiles(counts: DataFrame, fractions: Sequence[float] = QUARTILES) -> Da
     Each rank is looked up in the running count of the sorted values, so the work is spread over
     ranges of values even when one column or one value dominates.
     """
-    numbers = counts.filter(F.col("number").isNotNull()).groupBy("variable", "number").agg(F.sum("n").alias("n"))
+    numbers = counts.filter(F.col("number").isNotNull()).select("variable", "number", "n")
     ranked = running_total(numbers, ["variable", "number"], "n", "_upto")
     ends = ranked.groupBy("variable").agg(F.min(F.col("_upto") - F.col("n")).alias("_before"), F.sum("n").alias("_all"))
     fraction = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")

@@ -82,12 +82,14 @@ def merge_sources(
     merge_special_days: bool = True,
     match_locale: bool = False,
     celebrated_only: bool = False,
+    refine_days: bool = False,
 ) -> DataFrame:
     """Join the side tables onto the facts; several special days on a date repeat its facts.
 
     By default a special day belongs to every row of its date.  ``match_locale`` limits regional days
     to stores of the state and local ones to stores of the city; ``celebrated_only`` leaves out
-    holidays that were moved to another date.
+    holidays that were moved to another date.  ``refine_days`` brings the reasons to their canonical
+    form before the join, once per special day and not once per fact.
     """
     facts = star["sales"]
     if merge_oil:
@@ -107,7 +109,11 @@ def merge_sources(
                 | ((kind == "Regional") & (place == F.col("store_state")))
                 | ((kind == "Local") & (place == F.col("store_city")))
             )
+        if refine_days:
+            days = refine_special_days(days)
         facts = attach(facts, days, ["date"], also=reaches)
+        if refine_days:
+            facts = facts.fillna({"special_day_offset": 0})
     return facts
 
 
@@ -199,7 +205,8 @@ class Preparation:
     order: Sequence[str] = field(default=EVENT_ORDER)
 
     def filled(self, merged: DataFrame) -> DataFrame:
-        return refine_special_days(fill_transactions(fill_oil(merged)))
+        rows = fill_transactions(fill_oil(merged))
+        return rows if "special_day_offset" in rows.columns else refine_special_days(rows)
 
     def fit(self, merged: DataFrame) -> PreparationFit:
         needed = dict.fromkeys(["date", *self.scaled, *self.categories])

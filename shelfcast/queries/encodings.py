@@ -189,7 +189,7 @@ LAGGED = [
     f'COALESCE(LAG("{c}", {k}) OVER (ORDER BY place), FIRST_VALUE("{c}") OVER (ORDER BY place)) AS "{c}_lag_{k}"'
     for k in (1, 2) for c in LAGGED)} FROM encoded"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    merged = merged_features(star(spark, folder))
+    merged = merged_features(star(spark, folder), refine_days=True)
     preparation = Preparation(window_size=3, categories=("product_family", "store_type", "day_type"))
     made = preparation.transform(merged, preparation.fit(merged))
     shown = ["id", "sales", "row_was_lagg_backfilled"]
@@ -216,7 +216,7 @@ def _category_totals_sql() -> str:
 
 @query("j10_feature_table_in_full", _category_totals_sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    merged = merged_features(star(spark, folder))
+    merged = merged_features(star(spark, folder), refine_days=True)
     preparation = Preparation(window_size=2)
     fitted = preparation.fit(merged)
     made = preparation.transform(merged, fitted)

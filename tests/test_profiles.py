@@ -135,5 +135,5 @@ def test_labels_sort_by_their_order(spark):
 def test_value_counts(spark):
     df = spark.createDataFrame([("a", 1), ("a", None)], "s string, n int")
     assert rows(value_counts(df, ["s", "n"]), "variable", "text", "number", "n") == [
-        ("n", None, None, 1), ("n", "1", 1.0, 1), ("s", "a", None, 2),
+        ("n", None, None, 1), ("n", None, 1.0, 1), ("s", "a", None, 2),
     ]
