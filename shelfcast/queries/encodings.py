@@ -45,7 +45,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return model.transform(rows)
 
 
-@query("j02_min_max_constant", sql(OIL, "SELECT date, CASE WHEN dcoilwtico IS NOT NULL THEN 0.5 END AS same FROM oil"))
+@query("j02_min_max_constant", sql(OIL, "SELECT date, CASE WHEN dcoilwtico IS NOT NULL THEN 0.5::DOUBLE END AS same FROM oil"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "oil").select("date", F.when(F.col("dcoilwtico").isNotNull(), 7.0).alias("same"))
     return MinMaxColumns(columns=["same"]).fit(rows).transform(rows)

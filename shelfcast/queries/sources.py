@@ -188,7 +188,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.current("by_month").filter("month BETWEEN 199803 AND 199805")
 
 
-@query("a16_declared_table")
+@query("a16_declared_table", sql(TRANSACTIONS, """
+  SELECT date, store_nbr AS store_id, transactions AS transactions_count FROM transactions"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = Warehouse(spark)
     for dataset in DATASETS.values():

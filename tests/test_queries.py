@@ -48,9 +48,7 @@ def test_query(spark, small, oracle, name):
 
 def test_names_and_texts_belong_together():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {
-        "a16_declared_table", "k11_boosted_trees", "k17_search", "k18_prepared_features_model",
-    }
+    assert set(QUERIES) - set(ORACLES) == {"k11_boosted_trees", "k17_search", "k18_prepared_features_model"}
 
 
 def test_entry(spark):
