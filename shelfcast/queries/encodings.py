@@ -233,7 +233,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 BASICS_SQL = """SELECT id, date AS date_of_sales, store_nbr AS store_id, sales AS total_sales_of_day FROM sales"""
 
 
-@query("j13_nested_pipelines", sql(SALES, BASICS_SQL))
+@query("j13_nested_steps", sql(SALES, BASICS_SQL))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "sales")
     naming = Pipeline(stages=[FunctionStep.of(rename_sales_basics), FunctionStep.of(parse_sale_dates)])
@@ -241,7 +241,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return Pipeline(stages=[naming, chosen]).fit(rows).transform(rows)
 
 
-@query("j14_pipeline_prefix", sql(SALES, f"""
+@query("j14_first_steps", sql(SALES, f"""
   SELECT id, {_indicators_sql('family', FAMILIES)}, onpromotion FROM sales"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "sales").select("id", "family", "onpromotion")
