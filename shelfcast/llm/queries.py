@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import quality_rules
+from shelfcast.llm import mixing, quality_rules
 from shelfcast.shared import written_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def op9_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.verdict(narrow, quality_rules.language_references(narrow, rules, "lang"), rules)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("_row.doc_id", *[F.col(f"_rules.{c}") for c in counts])
+
+
+@_query
+def op10_hypergeometric_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mixed_sizes(table(spark, folder, "documents").select("doc_id", "text", "source"))
