@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, quality_rules
+from shelfcast.llm import mixing, quality_rules, token_counts, token_files
 from shelfcast.shared import written_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,17 @@ def op9_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_hypergeometric_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mixed_sizes(table(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
+@_query
+def op3_ranked_byte_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    return token_files.TokenFiles.write(table(spark, folder, "documents").select("doc_id", "text")).read()
+
+
+@_query
+def op8_digest_cache_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents, through a cache that is empty at first."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs.select("doc_id", "text"), token_counts.CountCache(spark))
+    return counted.select("_row.doc_id", "n_bytes", "n_tokens", "over_limit")

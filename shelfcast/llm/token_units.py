@@ -18,7 +18,7 @@ CACHED_WORDS = 1_000_000
 
 
 class WordEncoder:
-    """Ids of texts as numpy arrays; the cache belongs to the Python worker and is emptied when it is full."""
+    """Ids of texts as numpy arrays; the cache belongs to the Python worker and takes no more words once it is full."""
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,51 +44,53 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode words, each behind a blank, in texts of some thousands of them."""
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words, each behind a blank, from texts of some thousands of them; kept while there is room."""
         good = [w for w in words if w and not w[-1].isspace()]
-        if len(self.words) + len(good) > self.cached:
-            self.words.clear()
+        learned: dict[str, bytes] = {}
         for at in range(0, len(good), 4096):
             part = good[at : at + 4096]
             ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype=self.width)
-            first = np.flatnonzero(self.starts[ids])
+            first = np.flatnonzero(self.starts[ids]).tolist()
             if len(first) != len(part):  # cannot be told apart: one by one
-                self.words.update((w, self._whole(" " + w)) for w in part)
+                learned.update((w, self._whole(" " + w)) for w in part)
                 continue
-            ends = [*first[1:].tolist(), len(ids)]
-            self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, first.tolist(), ends))
+            learned.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, first, [*first[1:], len(ids)]))
+        if len(self.words) < self.cached:
+            self.words.update(learned)
+        return learned
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """The ids of each text, as the library gives them without special tokens; a null text has none."""
-        cut, new, out = [], set(), []
+        cut: list = []
+        new: set[str] = set()
         for text in texts:
             if not text:
-                cut.append([])
+                cut.append(None)
             elif not self.by_word or any(t in text for t in self.added):
                 cut.append(text)
             else:
                 words = text.split(" ")
-                cut.append(words)
-                new.update(w for w in words[1:] if w not in self.words)
-        if new:
-            before = len(self.words)
-            self._learn(new)
-            if len(self.words) < before:  # the cache was emptied: words of this batch that were known are gone
-                self._learn({w for words in cut if isinstance(words, list) for w in words[1:]} - self.words.keys())
-        for words in cut:
-            if isinstance(words, str):
-                found = self._whole(words)
-            elif not words:
-                found = b""
-            elif not words[0] or words[0][-1].isspace():
-                found = self._whole(" ".join(words))
-            else:
-                rest = list(map(self.words.get, words[1:]))
-                if None in rest:
-                    found = self._whole(" ".join(words))
+                head = words[0]
+                if not head or head[-1].isspace():
+                    cut.append(text)
+                    continue
+                words[0] = ""  # begins without a blank, so it is not looked up
+                known = list(map(self.words.get, words))
+                known[0] = self._whole(head)
+                if None in known:
+                    new.update(w for w, ids in zip(words, known) if ids is None)
+                    cut.append((text, words, known))
                 else:
-                    found = b"".join([self._whole(words[0]), *rest])
+                    cut.append(known)
+        learned = self._learn(new) if new else {}
+        out = []
+        for item in cut:
+            if isinstance(item, tuple):
+                text, words, known = item
+                known = [learned.get(w) if ids is None else ids for w, ids in zip(words, known)]
+                item = text if None in known else known
+            found = b"" if item is None else self._whole(item) if isinstance(item, str) else b"".join(item)
             out.append(np.frombuffer(found, dtype=self.width))
         return out
 
