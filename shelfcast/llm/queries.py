@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, quality_rules, token_counts, token_files
+from shelfcast.llm import decontaminate, mixing, quality_rules, token_counts, token_files
+from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__] = lambda spark, folder: function(with_package(spark), folder)
     return function
 
 
@@ -54,3 +55,37 @@ def op8_digest_cache_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs.select("doc_id", "text"), token_counts.CountCache(spark))
     return counted.select("_row.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+ORACLES["op2_fm_index_decontamination"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+p AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, 2 + greatest(0, len(w) - 13))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM p),
+t AS (
+  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, 2 + len(w) - n)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT t.doc_id, t.i, p.n, p.item_id FROM t JOIN p ON t.n = p.n AND t.s = p.s),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@_query
+def op2_fm_index_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark words in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"), text="text")
+    return found.select("_row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
