@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, mixing, quality_rules, token_counts, token_files
+from shelfcast.llm import decontaminate, language, mixing, quality_model, quality_rules, token_counts, token_files
+from shelfcast.llm.quality_model import in_fold
 from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
 
@@ -89,3 +90,23 @@ def op2_fm_index_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, folder, "benchmark"), text="text")
     return found.select("_row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_query
+def op5_ngram_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(in_fold("doc_id", 3) == 1, F.lit(False))
+    model = language.train(docs.filter(in_fold("doc_id", 3) != 1))
+    found = language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("_row.doc_id", "_row.held_out", "lang_pred", "score")
+
+
+@_query
+def op4_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels of four fifths of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(in_fold("doc_id", 5) == 0, F.lit(False))
+    model = quality_model.learn(docs, table(spark, folder, "labels").filter(in_fold("doc_id", 5) != 0))
+    found = quality_model.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("_row.doc_id", "_row.held_out", "score", "predicted")
