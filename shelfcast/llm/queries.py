@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, language, mixing, quality_model, quality_rules, token_counts, token_files
+from shelfcast.llm import decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, token_files
 from shelfcast.llm.quality_model import in_fold
 from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
@@ -110,3 +110,9 @@ def op4_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
     model = quality_model.learn(docs, table(spark, folder, "labels").filter(in_fold("doc_id", 5) != 0))
     found = quality_model.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
     return found.select("_row.doc_id", "_row.held_out", "score", "predicted")
+
+
+@_query
+def op6_bk_tree_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
