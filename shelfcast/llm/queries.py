@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, token_files
+from shelfcast.llm import automata, decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, token_files
 from shelfcast.llm.quality_model import in_fold
 from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
@@ -116,3 +116,31 @@ def op4_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bk_tree_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+ORACLES["op1_automaton_substring_dedup"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT s, min(doc_id) AS first FROM t GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (
+  SELECT doc_id, list(DISTINCT k) AS ks FROM (
+    SELECT t.doc_id, unnest(range(i, i + 50)) AS k FROM t JOIN f ON t.s = f.s AND f.first < t.doc_id) GROUP BY 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d WHERE len(w) > 0),
+gone AS (SELECT doc_id, unnest(ks) AS k, TRUE AS cut FROM c),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) FILTER (WHERE cut IS NULL) AS line
+  FROM words LEFT JOIN gone USING (doc_id, k) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query
+def op1_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the windows that an earlier one has."""
+    found = automata.without_repeats(table(spark, folder, "documents"))
+    return found.drop("kept", "spans")
