@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import fits_broadcast
+from shelfcast.llm.workers import pieces
 from shelfcast.shared import written_table
 
 PLACE_BITS = 28
@@ -63,7 +64,7 @@ def runs_of(
     ``elements`` gives the elements of a text as numbers, and a function for the bytes of a range of them.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text", 4 << 20):
             out: list[list[np.ndarray]] = [[] for _ in range(6)]
             for doc, key, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text")]):
                 values, stretch = elements((text or "").encode("utf-8", "surrogatepass"))
@@ -106,13 +107,13 @@ def stretches(docs: DataFrame, contexts: DataFrame, extra: str, cut: Callable[[b
     joined = docs.join(small(packed), ["doc_id", "text_key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             for text, packed_ in zip(batch.column("text").to_pylist(), batch.column("packed").to_pylist()):
                 table = np.frombuffer(packed_, np.int64).reshape(-1, 5)
                 stretch = cut((text or "").encode("utf-8", "surrogatepass"))
-                pieces = [stretch(a, b + window) for a, b in table[:, 3:].tolist()]
+                found = [stretch(a, b + window) for a, b in table[:, 3:].tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(table[:, k]) for k in range(3)] + [pa.array(pieces, pa.binary())],
+                    [pa.array(table[:, k]) for k in range(3)] + [pa.array(found, pa.binary())],
                     names=["anchor", "digest", extra, "stretch"],
                 )
 
@@ -151,7 +152,7 @@ def in_shards(found: DataFrame, judge: Callable, value: str, shard_bytes: int) -
             return pa.RecordBatch.from_arrays(arrays, names=["anchor", "digest", "verdict"])
 
         size, seen = 0, None
-        for batch in batches:
+        for batch in pieces(batches, "stretch"):
             for row in zip(*[batch.column(c).to_pylist() for c in ("anchor", "digest", value, "stretch")]):
                 if row[:2] == seen:
                     continue  # rows of equal number and text give a context twice

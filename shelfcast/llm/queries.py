@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import automata, decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, token_files
+from shelfcast.llm import automata, decontaminate, language, mixing, quality_model, quality_rules, simhash, suffixes, token_counts, token_files
 from shelfcast.llm.quality_model import in_fold
 from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
@@ -144,3 +144,10 @@ def op1_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFrame
     """What is left of every document without the windows that an earlier one has."""
     found = automata.without_repeats(table(spark, folder, "documents"))
     return found.drop("kept", "spans")
+
+
+@_query
+def op7_two_stage_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the strings of 400 bytes that occur elsewhere."""
+    found = suffixes.without_repeated_bytes(table(spark, folder, "documents"))
+    return found.drop("kept", "spans")
