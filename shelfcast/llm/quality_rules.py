@@ -201,4 +201,7 @@ def judge(docs: DataFrame, rules: QualityRules | None = None, text: str = "text"
 
 def keep_good(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged."""
-    return judge(docs, rules).filter("_rules.kept").select("_row.*")
+    # a filter is not pushed below a column that depends on the row's place; pushed down, the condition would
+    # hold all the counting expressions once for each time it names them
+    judged = judge(docs, rules).withColumn("_place", F.monotonically_increasing_id())
+    return judged.filter(F.col("_rules.kept") & (F.col("_place") >= 0)).select("_row.*")
