@@ -9,9 +9,11 @@ import pytest
 
 import __spark_entry__ as entries
 from check import TABLES, rows_of
+from shelfcast.queries import ORACLES as QUERY_TEXTS
+from shelfcast.queries import load_queries
 from shelfcast.queries.views import ALL, FILLED, MERGED, sql, star, table
 
-QUERIES, ORACLES = entries.queries(), entries.oracle_sql()
+QUERIES, ORACLES = load_queries(), QUERY_TEXTS
 # windows without a partition clause may run over these only: one row per shuffle partition
 UNPARTITIONED = {"_chunk"}
 
