@@ -16,13 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import fits_broadcast
+from shelfcast.operators.joins import BROADCAST_BYTES, fits_broadcast
 from shelfcast.llm.workers import pieces
 from shelfcast.shared import written_table
 
 PLACE_BITS = 28
 PIECE = 1 << 20
-BROADCAST_BYTES = 32 * 1024 * 1024
 
 RUNS = "anchor bigint, digest bigint, doc_id bigint, text_key bigint, first bigint, last bigint"
 
@@ -173,8 +172,7 @@ def spans_by_text(candidates: DataFrame, verdicts: DataFrame, spans: Callable) -
 
     ``spans`` turns (doc numbers, first windows, verdicts) into arrays (row, begin, end) of elements to remove.
     """
-    verdicts = written_table(verdicts, "verdicts")
-    joined = candidates.join(small(verdicts), ["anchor", "digest"])
+    joined = candidates.join(written_table(verdicts, "verdicts"), ["anchor", "digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import anchors
+from shelfcast.llm.workers import pieces
 
 WINDOW = 50
 SHINGLE = 8
@@ -86,7 +87,7 @@ class SuffixAutomaton:
             following = step[state].get(symbol)
             if following is not None:
                 state, matched = following, matched + 1
-            while length[link[state]] >= window:  # the state of the last ``window`` symbols alone
+            while state and length[link[state]] >= window:  # the state of the last ``window`` symbols alone
                 state = link[state]
                 matched = length[state]
             if at >= window - 1:
@@ -161,7 +162,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id
     joined = rows.join(anchors.small(spans), ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             counts, removed, digests, kept, ranges = [], [], [], [], []
             for text_, packed in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 words = text_.encode("utf-8", "surrogatepass").split()

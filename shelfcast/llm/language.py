@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.workers import pieces
+
 BUCKETS = 1 << 14
 #: A label set, not data: more languages than this are refused, which bounds the broadcast matrix (64 MB).
 MOST_LANGUAGES = 1024
@@ -60,7 +62,7 @@ def _chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, in
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the rows of a task: n-grams by language and bucket, and documents (bucket -1)."""
     totals: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in pieces(batches, "text", 8 << 20):
         by_language: dict[str, list[str]] = {}
         for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             by_language.setdefault(language, []).append(text)
@@ -124,7 +126,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "_text"):
             names, values = score(batch.column("_text").to_pylist(), sent.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(names, pa.string()), pa.array(values, pa.float64())],

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -19,3 +23,16 @@ def with_package(spark: SparkSession) -> SparkSession:
     if ROOT not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, [known]), ROOT])
     return spark
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts whose texts have about ``most`` bytes together, so that little of a batch is
+    taken apart at a time; a longer text is a part of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes), 0
+        while at < batch.num_rows:
+            base = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
