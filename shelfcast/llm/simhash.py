@@ -10,7 +10,6 @@ pairs.  The links of all shards are joined to components by rounds of minima ove
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,15 +18,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.workers import pieces
+from shelfcast.operators.joins import fits_broadcast
 from shelfcast.shared import written_table
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
 BITS = 64
-#: Fingerprints that a shard has on average, if they were spread evenly.
-SHARD_ROWS = 32
+#: Blocks that the bits are cut into: 15 choices of two of six have 21 bits each, enough for some billion prints.
+BLOCKS = 6
 FRONTIER = 2_000_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -55,7 +57,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "_text"):
             prints = np.array([fingerprint(t) for t in batch.column("_text").to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(prints.view(np.int64))], names=["_row", "_print"])
 
@@ -140,23 +142,20 @@ def shard_links(shards: np.ndarray, prints: np.ndarray, nodes: np.ndarray, radiu
     return nodes[linked], nodes[label[linked]]
 
 
-def block_choices(n: int, radius: int) -> list[list[tuple[int, int]]]:
-    """Choices of bit ranges (shift, width), one of which any two prints within the radius agree in.
-
-    The more fingerprints there are, the more blocks are chosen at a time; results are the same for any choice.
-    """
-    need = math.log2(max(n, 1) / SHARD_ROWS) if n > SHARD_ROWS else 0
-    count = next((c for c in range(radius + 1, radius + 5) if (c - radius) * (BITS // c) >= need), radius + 4)
-    edges = [round(k * BITS / count) for k in range(count + 1)]
+def block_choices(blocks: int, radius: int) -> list[list[tuple[int, int]]]:
+    """Choices of bit ranges (shift, width), one of which any two prints within the radius agree in."""
+    edges = [round(k * BITS / blocks) for k in range(blocks + 1)]
     ranges = [(a, b - a) for a, b in zip(edges, edges[1:])]
-    return [list(c) for c in itertools.combinations(ranges, count - radius)]
+    return [list(c) for c in itertools.combinations(ranges, blocks - radius)]
+
 
+def near_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """Links ``a``, ``b`` (``b`` the smaller) that connect the nodes of ``prints`` (``_print``, ``node``).
 
-def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Links ``a``, ``b`` (``b`` the smaller) that connect the nodes of ``prints`` (``_print``, ``node``)."""
-    n = prints.count()
+    Any number of blocks above the radius gives the same components; more of them make more, smaller shards.
+    """
     keys = []
-    for choice, ranges in enumerate(block_choices(n, radius)):
+    for choice, ranges in enumerate(block_choices(blocks, radius)):
         mask = sum(((1 << width) - 1) << shift for shift, width in ranges)
         signed = mask - (1 << 64) if mask >= 1 << 63 else mask
         keys.append(F.xxhash64(F.lit(choice), F.col("_print").bitwiseAND(F.lit(signed).cast("long"))))
@@ -214,30 +213,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def component_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``_print`` and ``component_id`` for each fingerprint of ``prints`` (``doc_id``, ``_print``)."""
+    """``_print``, ``_group`` (its component as a number) and ``component_id`` of each print of ``prints``."""
     # the node of a fingerprint is itself, so that it exists whatever its documents' numbers are
     nodes = written_table(prints.groupBy("_print").agg(F.min("doc_id").alias("least")), "nodes")
     linked = components(near_links(nodes.select("_print", F.col("_print").alias("node")), radius))
     placed = nodes.join(linked.withColumnRenamed("node", "_print"), "_print", "left")
-    group = F.coalesce("component", "_print")
-    least = placed.groupBy(group.alias("_group")).agg(F.min("least").alias("component_id"))
-    return placed.select("_print", group.alias("_group")).join(least, "_group").select("_print", "component_id")
+    placed = placed.select("_print", "least", F.coalesce("component", "_print").alias("_group"))
+    least = placed.groupBy("_group").agg(F.min("least").alias("component_id"))
+    return placed.join(least, "_group").select("_print", "_group", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, unchanged, one for each component: that of its smallest number.
 
-    A component without any number keeps all its rows.  Of rows that share that number, those of the smallest
-    text digest stay, and of rows equal in number and text, one.
+    Rows without a number come after all others; of rows with equal numbers that of the smallest text digest
+    stays, and of rows equal in number and text, one.
     """
-    printed = with_fingerprints(docs.select("doc_id", "text")).select(
-        F.col("_row.doc_id").alias("doc_id"), "_print", F.xxhash64("_row.text").alias("_digest")
-    )
-    prints = written_table(printed, "fingerprints")
-    found = component_of(prints.select("doc_id", "_print"), radius)
-    first = prints.join(found, "_print").filter("doc_id = component_id OR component_id IS NULL")
-    first = first.groupBy("component_id", "doc_id").agg(F.min("_digest").alias("_digest"))
-    keyed = docs.withColumn("_digest", F.xxhash64("text"))
-    kept = first.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_wanted"))
-    joined = keyed.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_wanted")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    number, digest = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    named = docs.select(number.alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    prints = written_table(with_fingerprints(named).select(
+        F.col("_row.doc_id").alias("doc_id"), "_print", F.xxhash64("_row.text").alias("digest")
+    ), "fingerprints")
+    grouped = prints.join(component_of(prints, radius).select("_print", "_group"), "_print").groupBy("_group", "doc_id", "digest")
+    counted = written_table(grouped.agg(F.count(F.lit(1)).alias("n")), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    first = counted.groupBy("_group").agg(F.min(place).alias("first"))
+    chosen = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.digest") == F.col("digest"))
+    marks = counted.join(first, "_group").select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.when(chosen, F.lit("once")).otherwise(F.lit("drop")).alias("mark"), "n"
+    ).filter("mark = 'drop' OR n > 1").select("_id", "_digest", "mark")
+    marks = written_table(marks, "marks")
+    marks = F.broadcast(marks) if fits_broadcast(marks, BROADCAST_BYTES) else marks
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), number.alias("id"), digest.alias("digest"))
+    marked = rows.join(marks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    again = marked.filter("mark = 'once'").dropDuplicates(["id", "digest"])
+    return marked.filter("mark IS NULL").select("_row").unionByName(again.select("_row")).select("_row.*")
