@@ -1,8 +1,9 @@
 """Delimited text: typed scans, and scans by line position.
 
 A line's position follows from where its block starts in the file and its place
-within the block, both known to the scan.  Counting lines per block gives every
-block's offset; the lines themselves are neither shuffled nor sent to Python.
+within the block, both known to the scan.  How files are cut into blocks is planned
+anew for each job, so one scan is stored, and both the counts per block and the lines
+are read from it; the lines themselves are neither shuffled nor sent to Python.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.operators.joins import attach
+from shelfcast.operators.joins import attach, require_unique
 from shelfcast.operators.ordering import dense_position
 from shelfcast.shared import written_table
 
@@ -31,12 +32,13 @@ def numbered_lines(spark: SparkSession, path: str, skip_headers: bool = False) -
     ``skip_headers`` leaves out the first line of every file and does not count it.
     """
     place = F.monotonically_increasing_id()
-    lines = spark.read.text(path).select(
+    scanned = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         place.alias("_seat"),
     )
+    lines = written_table(scanned, "lines")
     blocks = lines.groupBy("_file", "_block").agg(
         F.min("_seat").alias("_first"), F.count(F.lit(1)).alias("_lines")
     )
@@ -44,12 +46,16 @@ def numbered_lines(spark: SparkSession, path: str, skip_headers: bool = False) -
     header = F.when(first_block, 1).otherwise(0) if skip_headers else F.lit(0)
     earlier = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
     # one row per input block: a listing of the files, not of their lines
+    key = F.xxhash64("_file", "_block")
     starts = blocks.withColumn("_header", header).select(
-        "_file", "_block", "_first", "_header",
+        key.alias("_key"), "_first", "_header",
         F.coalesce(F.sum(F.col("_lines") - F.col("_header")).over(earlier), F.lit(0)).alias("_start"),
     )
     in_block = F.col("_seat") - F.col("_first") - F.col("_header")
-    numbered = attach(lines, written_table(starts, "block-starts"), ["_file", "_block"], "inner", hot_rows=None)
+    starts = written_table(starts, "block-starts")
+    require_unique(starts, ["_key"])
+    keyed = lines.select("value", "_seat", key.alias("_key"))
+    numbered = attach(keyed, starts, ["_key"], "left")  # 40 bytes a block, so they can be sent around
     return numbered.filter(in_block >= 0).select(
         (F.col("_start") + in_block).alias("line_number"), "value"
     )
