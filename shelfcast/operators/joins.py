@@ -159,18 +159,23 @@ def stack_rows(*frames: DataFrame) -> DataFrame:
 def drop_existing(
     rows: DataFrame, stored: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES, **limits: int
 ) -> DataFrame:
-    """Rows whose key is not stored yet.
+    """Rows whose key is not stored yet; in a key, a null equals a null.
 
     A batch that fits is sent to the stored keys, which are then read once and not shuffled; only the
     keys found on both sides come back.  A larger batch meets the distinct stored keys in a shuffle.
     """
+    holed = _any_null(on)
+    stored_holed = stored.select(*[F.col(c).alias(f"_stored_{c}") for c in on]).filter(_any_null([f"_stored_{c}" for c in on]))
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_stored_{c}")) for c in on])
+    new_holed = rows.filter(holed).join(stored_holed.distinct(), equal, "left_anti")
+    rows, stored = rows.filter(~holed), stored.filter(~holed)
     arriving, known = rows.select(*on), stored.select(*on)
     if fits_broadcast(arriving, broadcast_bytes):
         found = known.join(F.broadcast(arriving.distinct()), list(on), "left_semi")
         known = written_table(found.distinct(), "keys-found")
     else:
         known = known.distinct()
-    return attach(rows, known, on, "left_anti", broadcast_bytes, **limits)
+    return attach(rows, known, on, "left_anti", broadcast_bytes, **limits).unionByName(new_holed)
 
 
 def referenced_rows(
