@@ -7,6 +7,7 @@ any executor and are columnar, so later steps still prune columns.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -15,12 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """The cluster's ``spark.checkpoint.dir``.
+
+    Where none is set, a session that runs on this machine alone uses a temporary folder; on a cluster that
+    would be a different folder on every machine, so it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
