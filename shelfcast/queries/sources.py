@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -212,8 +214,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = Warehouse(spark)
     warehouse.save(stored_as(OIL_PRICES, table(spark, folder, "oil")), OIL_PRICES.name)
-    warehouse.as_view(OIL_PRICES.name, "oil_prices_view")
-    return spark.sql("SELECT date, oil_price * 2 AS doubled FROM oil_prices_view WHERE oil_price IS NOT NULL")
+    view = f"oil_prices_{uuid.uuid4().hex}"
+    warehouse.as_view(OIL_PRICES.name, view)
+    doubled = spark.sql(f"SELECT date, oil_price * 2 AS doubled FROM {view} WHERE oil_price IS NOT NULL")
+    spark.catalog.dropTempView(view)  # the query has been resolved
+    return doubled
 
 
 @query("g03_first_rows", sql(SALES, "SELECT * FROM sales ORDER BY sales DESC, id LIMIT 100"))

@@ -56,7 +56,7 @@ class Warehouse:
 
     def query(self, sql: str) -> DataFrame:
         """A query in which ``{table}`` stands for a stored table of that name."""
-        names = {t.name: self.full_name(t.name) for t in self.spark.catalog.listTables(self.database)}
+        names = {t.name: self.full_name(t.name) for t in self.spark.catalog.listTables(self.database) if not t.isTemporary}
         return self.spark.sql(sql.format(**names))
 
     def as_view(self, table: str, view: str | None = None) -> DataFrame:

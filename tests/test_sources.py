@@ -47,6 +47,51 @@ def test_lines_are_numbered_in_file_order(spark, files, block_size):
     assert [r["value"].split(",")[0] for r in got] == ["id", *map(str, ids[:31]), "id", *map(str, ids[31:])]
 
 
+def test_numbers_survive_another_cut_into_blocks(spark, files):
+    path, ids = files
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    numbered = numbered_lines(spark, path, skip_headers=True)
+    try:
+        for values in (("64", "1", "40"), ("134217728", "4194304", "1"), ("200", "1", "3")):
+            for name, value in zip(names, values):
+                spark.conf.set(name, value)
+            again = numbered.filter("line_number >= 0")  # planned anew
+            assert [int(v.split(",")[0]) for _, v in rows(again)] == ids
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def test_rows_with_null_keys_are_loaded_once(spark, tmp_path):
+    events = DATASETS["events_by_date"] if "events_by_date" in DATASETS else None
+    dataset = events or next(d for d in DATASETS.values() if len(d.keys) > 2)
+    warehouse = Warehouse(spark)
+    warehouse.create(dataset)
+    kinds = {f.name: f.dataType.simpleString() for f in dataset.schema.fields}
+    last = dataset.keys[-1]
+    values = {c: "2020-01-01" if kinds[c] == "date" else "1" if kinds[c] in ("int", "bigint", "double") else "true" if kinds[c] == "boolean" else "x" for c in kinds}
+    header = [dataset.to_file_names.get(c, c) if hasattr(dataset.to_file_names, "get") else c for c in kinds]
+    path = tmp_path / "rows.csv"
+    line = lambda **own: ",".join("" if (own | values)[c] is None else (values | own)[c] for c in kinds)
+    path.write_text("\n".join([",".join(header), line(), line(**{last: ""})]) + "\n")
+    for _ in range(2):
+        load_new_rows(warehouse, dataset, str(path))
+        assert warehouse.current(dataset.name).count() == 2
+
+
+def test_queries_see_stored_tables_only(spark):
+    warehouse = Warehouse(spark)
+    warehouse.save(oil_rows(spark, ("2020-01-01", 1.0)), "prices")
+    spark.range(1).createOrReplaceTempView("passing_view")
+    try:
+        assert warehouse.query("SELECT count(*) AS n FROM {prices}").first()["n"] == 1
+        with pytest.raises(KeyError):
+            warehouse.query("SELECT * FROM {passing_view}")
+    finally:
+        spark.catalog.dropTempView("passing_view")
+
+
 @pytest.mark.parametrize("skip", [0, 1, 30, 31, 32, 51, 99])
 def test_rows_are_skipped_by_position(spark, files, block_size, skip):
     path, ids = files
@@ -126,7 +171,7 @@ def test_tables_are_appended_replaced_and_extended(spark):
     assert warehouse.last_entry(OIL.name, ["date"]).first()["oil_price"] is None
     with pytest.raises(ValueError):
         warehouse.save_new(first, OIL.name)
-    stored = [t.name for t in spark.catalog.listTables(warehouse.database)]
+    stored = [t.name for t in spark.catalog.listTables(warehouse.database) if not t.isTemporary]
     assert len(stored) == 3  # the name, its table and the one before
 
 
