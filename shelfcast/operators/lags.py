@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfcast.functions.dates import calendar_shift
 from shelfcast.operators.fill import fill_along
-from shelfcast.operators.joins import attach
 from shelfcast.operators.ordering import BUCKET_ROWS, MAX_BUCKETS, with_overlap
 
 
@@ -102,11 +100,16 @@ def calendar_lags(
 ) -> DataFrame:
     """The series' own value a day, week, month or year earlier; missing days stay null.
 
-    ``shifts`` maps a column name to ``(count, unit)``.  ``keys`` and ``date`` must identify a row.
+    ``shifts`` maps a column name to ``(count, unit)``.  ``keys`` and ``date`` must identify a row, so a series has
+    a row per date at most and all shifts come from one sort of it; a month before the 31st is the last of the month.
     """
-    out = df
-    for name, (count, unit) in shifts.items():
-        source = df.select(*keys, F.col(date).alias("_then"), F.col(value).alias(name))
-        dated = out.withColumn("_then", calendar_shift(F.col(date), -count, unit))
-        out = attach(dated, source, [*keys, "_then"], hot_rows=None).drop("_then")
-    return out
+    series = ", ".join(f"`{k}`" for k in keys)
+
+    def then(count: int, unit: str) -> Column:
+        far = f"INTERVAL {int(count)} {unit.upper()} PRECEDING"
+        return F.expr(
+            f"CASE WHEN `{date}` IS NOT NULL THEN max(`{value}`) OVER (PARTITION BY {series} ORDER BY `{date}`"
+            f" RANGE BETWEEN {far} AND {far}) END"
+        )
+
+    return df.select("*", *[then(count, unit).alias(name) for name, (count, unit) in shifts.items()])

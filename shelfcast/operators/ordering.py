@@ -77,10 +77,10 @@ def running_total(df: DataFrame, order: Sequence[str | Column], amount: str, nam
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows; a short list is a top-n, a long one goes by position and stays spread."""
+    """The first ``n`` rows in order; a short list is a top-n, a long one goes by position and stays spread."""
     if n <= TOP_ROWS:
         return df.orderBy(*_columns(order)).limit(n)
-    return dense_position(df, order, "_place").filter(F.col("_place") < n).drop("_place")
+    return dense_position(df, order, "_place").filter(F.col("_place") < n).orderBy("_place").drop("_place")
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
@@ -115,8 +115,7 @@ def with_overlap(df: DataFrame, position: str, bucket_rows: int, reach: int, ahe
     ``ahead`` also repeats its first rows at the end of the bucket before.  A window inside a bucket
     then sees ``reach`` rows beyond its edge, so one balanced shuffle serves every lag.
     """
-    if reach > bucket_rows:
-        raise ValueError("a bucket must hold at least as many rows as the window looks back")
+    bucket_rows = max(bucket_rows, reach)  # the rows repeated come from one bucket
     home, place = bucket_of(position, bucket_rows), F.col(position) % bucket_rows
     copies = [(home + 1, place >= bucket_rows - reach)]
     if ahead:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions.columns import nan_as_null, round_floating
-from shelfcast.operators.ordering import TOP_ROWS, running_total
+from shelfcast.operators.ordering import dense_position, first_rows, running_total
 from shelfcast.shared import written_table
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -98,19 +98,13 @@ def describe_basics(
     basics = approximate_basics(df, columns) if approximate else _basics(_counted(df, columns))
     described = _per_column(df, basics)
     if examples:
-        if examples > TOP_ROWS:
-            raise ValueError(f"at most {TOP_ROWS} example rows")
-        shown = df.orderBy(*order).limit(examples)
         texts = [F.col(c).cast("string").alias(c) for c in columns]
-        listed = (
-            shown.select(F.struct(*order).alias("_place"), *texts)
-            .unpivot(["_place"], columns, "variable", "text")
-            .groupBy("variable")
-            .agg(F.sort_array(F.collect_list(F.struct("_place", "text"))).alias("_seen"))  # `examples` rows each
+        shown = first_rows(df.select(F.struct(*order).alias("_place"), *texts), ["_place"], examples)
+        placed = dense_position(shown, ["_place", *columns], "_at").drop("_place")
+        listed = placed.unpivot(["_at"], columns, "variable", "text").groupBy("variable").agg(
+            *[F.max(F.when(F.col("_at") == i, F.col("text"))).alias(f"example_{i}") for i in range(examples)]
         )
-        described = described.join(F.broadcast(listed), "variable", "left").withColumns(
-            {f"example_{i}": F.get("_seen", F.lit(i))["text"] for i in range(examples)}
-        ).drop("_seen")
+        described = described.join(listed, "variable", "left")
     shown_first = [f"example_{i}" for i in range(examples)]
     return described.select("variable", *shown_first, "type", "nulls", "unique", "total_rows")
 

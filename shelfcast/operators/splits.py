@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,7 +107,8 @@ def linked_split(
 def hold_out(df: DataFrame, position: str, share: float = 0.2, name: str = "is_test") -> DataFrame:
     """Mark the last ``ceil(share * rows)`` rows."""
     rows = df.count()
-    tested = -(-rows * round(share * 1_000_000) // 1_000_000)
+    exact = Fraction(share).limit_denominator(10**9)  # what was meant by 0.2 or 1 / 3
+    tested = -(-rows * exact.numerator // exact.denominator)
     return df.withColumn(name, F.col(position) >= rows - tested)
 
 

@@ -145,13 +145,14 @@ def search(
         foldCol=fold_column, parallelism=parallelism,
     )
     fitted = validator.fit(rows)
-    best = (max if evaluator.isLargerBetter() else min)(fitted.avgMetrics)
+    means = fitted.avgMetrics
+    best = means.index((max if evaluator.isLargerBetter() else min)(means))  # the first, as the search itself picks
     names = list(grid)
     trials = [
-        tuple(str(values[n]) for n in names) + (float(score), bool(score == best))
-        for values, score in zip(
-            [{p.name: v for p, v in m.items()} for m in fitted.getEstimatorParamMaps()], fitted.avgMetrics
-        )
+        tuple(str(values[n]) for n in names) + (float(score), place == best)
+        for place, (values, score) in enumerate(zip(
+            [{p.name: v for p, v in m.items()} for m in fitted.getEstimatorParamMaps()], means
+        ))
     ]
     schema = ", ".join([*[f"`{n}` string" for n in names], f"mean_{metric} double", "is_best boolean"])
     return fitted, rows.sparkSession.createDataFrame(trials, schema)

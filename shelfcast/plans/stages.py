@@ -188,6 +188,8 @@ def indicator_columns(text: str, name: str, categories: Sequence[str], mark_null
 
     columns = [named(f"CAST(`{text}` <=> {sql_text(c)} AS INT)", c) for c in categories]
     if mark_null:
+        if "nan" in categories:
+            raise ValueError(f"{name} has a category named as the mark of nulls, nan")
         columns.append(named(f"CAST(`{text}` IS NULL AS INT)", "nan"))
     return columns
 
@@ -243,6 +245,9 @@ class OneHotColumns(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
         if not in_place:
             holed = dataset.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
             # a category list may hold null; no value ever equals it
+            taken = [c for c, values in found.items() if holed[c] and "nan" in values]
+            if taken:
+                raise ValueError(f"{taken} have a category named as the mark of nulls, nan")
             found = {c: values + ["nan"] if holed[c] else values for c, values in found.items()}
         model = self._copyValues(OneHotColumnsModel())
         return model._set(categories=json.dumps(found), inPlace=in_place, nullIndicator=in_place)

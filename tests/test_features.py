@@ -209,3 +209,22 @@ def test_search_and_trees(line):
     assert predict(fitted.bestModel, line).count() == 60
     model = boosted_trees(["x", "odd"], "y", maxIter=3, maxDepth=2).fit(line)
     assert scores(predict(model, line), "y").first()["r2"] > 0.5
+
+
+def test_hold_out_shares_are_exact(spark):
+    frame = spark.range(3000)
+    assert hold_out(frame, "id", 1 / 3).filter("is_test").count() == 1000
+    assert hold_out(frame, "id", 0.2).filter("is_test").count() == 600
+
+
+def test_a_category_named_like_the_null_mark_is_refused(spark):
+    frame = spark.createDataFrame([("nan",), (None,)], "c string")
+    for in_place in (True, False):
+        with pytest.raises(ValueError):
+            OneHotColumns(columns=["c"], inPlace=in_place).fit(frame).transform(frame)
+
+
+def test_one_trial_is_the_best(spark):
+    frame = spark.range(60).select((F.col("id") * 2.0).alias("y"), F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("fold"))
+    _, trials = search(["x"], "y", frame, 2, {"standardization": [True, False]})
+    assert trials.filter("is_best").count() == 1

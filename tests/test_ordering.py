@@ -94,9 +94,10 @@ def test_lag_equals_the_plain_window(spark, group, bucket_rows):
     assert rows(got, *plain.columns) == rows(plain)
 
 
-def test_lag_needs_buckets_as_long_as_its_reach(spark):
-    with pytest.raises(ValueError):
-        lag_columns(series(spark, 20, 1, 2), ["v"], [6], "p", bucket_rows=5)
+def test_lag_longer_than_a_bucket(spark):
+    frame = spark.range(40).select(F.col("id").alias("position"), (F.col("id") * 3).alias("v"))
+    lagged = rows(lag_columns(frame, ["v"], [7, 12], "position", bucket_rows=5), "position", "v_lag_7", "v_lag_12")
+    assert lagged == [(i, (i - 7) * 3 if i >= 7 else None, (i - 12) * 3 if i >= 12 else None) for i in range(40)]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
