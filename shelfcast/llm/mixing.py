@@ -83,10 +83,6 @@ def _log_factorial(n: Column) -> Column:
     return series - F.log(product)
 
 
-def _choose(n: Column, k: Column) -> Column:
-    return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
-
-
 def hypergeometric(total: Column, good: Column, drawn: Column, uniform: Column) -> Column:
     """How many of ``drawn`` out of ``total`` are among the ``good`` ones: inverse of the distribution at ``uniform``.
 
@@ -97,7 +93,10 @@ def hypergeometric(total: Column, good: Column, drawn: Column, uniform: Column)
     spread = F.when(n > 1, 14 * F.sqrt(mean * (1 - k / n) * (n - m) / (n - 1))).otherwise(0.0) + 8
     low = F.greatest(F.lit(0.0), m + k - n, F.floor(mean - spread).cast("double")).cast("long")
     high = F.least(k, m, F.ceil(mean + spread).cast("double")).cast("long")
-    first = F.exp(_choose(k, low.cast("double")) + _choose(n - k, m - low) - _choose(n, m))
+    # choose(k, low) * choose(n - k, m - low) / choose(n, m)
+    above, below = (k, n - k, m, n - m), (low.cast("double"), k - low, m - low, n - k - m + low, n)
+    terms = F.array(*[F.struct(F.lit(s).alias("sign"), x.alias("of")) for s, xs in ((1.0, above), (-1.0, below)) for x in xs])
+    first = F.exp(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t["sign"] * _log_factorial(t["of"])))
 
     def step(state: Column, x: Column) -> Column:
         below = state["sum"] + state["mass"]
