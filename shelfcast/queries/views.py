@@ -79,10 +79,10 @@ def _oil(spark: SparkSession, folder: str) -> DataFrame:
 
 def _special_days(spark: SparkSession, folder: str) -> DataFrame:
     k, place = F.col("o_orderkey"), F.col("n_name")
-    orders = given(spark, folder, "orders").filter(k % 13 == 0)
-    dated = orders.select(
-        F.to_date("o_orderdate").alias("date"), "o_orderkey", (k % 25).cast("int").alias("n_nationkey")
-    )
+    orders = given(spark, folder, "orders").filter(F.dayofmonth("o_orderdate") % 5 == 0)
+    # a calendar: every fifth day has one event per kind of place at most, however many orders there are
+    events = orders.groupBy(F.to_date("o_orderdate").alias("date"), k % 3).agg(F.min("o_orderkey").alias("o_orderkey"))
+    dated = events.select("date", "o_orderkey", (k % 25).cast("int").alias("n_nationkey"))
     named = attach(dated, given(spark, folder, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "inner")
 
     def pick(values: list[str], number: Column) -> Column:
@@ -157,8 +157,8 @@ SPECIAL_DAYS = """special_days AS (
       WHEN 4 THEN 'Independencia de ' || n_name
       WHEN 5 THEN 'Traslado ' || n_name ELSE 'Black Friday' END AS description,
     k % 11 = 0 AS transferred
-  FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey AS k, CAST(o_orderkey % 25 AS INT) AS nk
-        FROM orders WHERE o_orderkey % 13 = 0) e JOIN nation ON n_nationkey = nk)"""
+  FROM (SELECT CAST(o_orderdate AS DATE) AS date, MIN(o_orderkey) AS k, CAST(MIN(o_orderkey) % 25 AS INT) AS nk
+        FROM orders WHERE EXTRACT(DAY FROM o_orderdate) % 5 = 0 GROUP BY 1, o_orderkey % 3) e JOIN nation ON n_nationkey = nk)"""
 # All joined, with gaps closed row by row over the joined rows.
 MERGED = """merged AS (
   SELECT s.id, s.date, s.store_nbr, s.family AS product_family, s.sales, s.onpromotion AS products_of_family_on_promotion,

@@ -55,7 +55,7 @@ def test_names_and_texts_belong_together():
 
 def test_entry(spark):
     frame = entries.entry(spark)
-    assert frame.count() == 5914 and "oil_price" in frame.columns
+    assert frame.count() == 6011 and "oil_price" in frame.columns
 
 
 def test_side_tables_are_broadcast_and_columns_pruned(spark, small):
@@ -81,4 +81,4 @@ def test_tables_match_their_sql(spark, small, oracle):
         expected = oracle.execute(sql(*ALL, f"SELECT {', '.join(names)} FROM {name}")).fetchall()
         assert rows_of([tuple(r) for r in view.select(*names).collect()], names) == rows_of(expected, names)
     assert table(spark, small, "sales") is table(spark, small, "sales")
-    assert oracle.execute(sql(*ALL, MERGED, FILLED, "SELECT COUNT(*) FROM filled")).fetchone() == (5914,)
+    assert oracle.execute(sql(*ALL, MERGED, FILLED, "SELECT COUNT(*) FROM filled")).fetchone() == (6011,)
