@@ -16,14 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.token_units import encoder, vocabulary_path
-from shelfcast.shared import fresh_path, written_table
+from shelfcast.llm.token_units import encoder, forget_words, vocabulary_path
+from shelfcast.llm.workers import pieces
+from shelfcast.shared import fresh_path
 
 END = 2
 #: Length of each of the four ids that a control byte stands for, and their sum.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
-BLOCK_TOKENS = 1 << 20
-ROWS_PER_PART = 50_000
+BLOCK_TOKENS = 1 << 17
+ROWS_PER_PART = 16_000
 
 BLOCK = (
     "part bigint, place bigint, before bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>,"
@@ -31,21 +32,31 @@ BLOCK = (
 )
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit numbers."""
-    values = values.astype("<u4")
-    codes = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
-    padded[: len(codes)] = codes
-    four = padded.reshape(-1, 4)
-    controls = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    used = np.arange(4) <= codes[:, None]
-    return controls.astype(np.uint8).tobytes(), values.view(np.uint8).reshape(-1, 4)[used].tobytes()
+def _padded(counts: np.ndarray) -> np.ndarray:
+    """Places of the ids of rows that each begin a new control byte."""
+    widths = -(-counts // 4) * 4
+    return np.arange(int(counts.sum())) + np.repeat(np.cumsum(widths) - widths - (np.cumsum(counts) - counts), counts)
 
 
-def unpack(controls: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` numbers behind control and data bytes."""
-    lengths = LENGTHS[np.frombuffer(controls, np.uint8)].reshape(-1)[:n]
+def pack(values: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and data bytes of each row of unsigned 32-bit numbers; ``counts`` tells the rows' lengths."""
+    values = np.ascontiguousarray(values, "<u4")
+    codes = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    widths = -(-counts // 4)
+    four = np.zeros(int(widths.sum()) * 4, np.uint8)
+    four[_padded(counts)] = codes
+    four = four.reshape(-1, 4)
+    controls = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).astype(np.uint8).tobytes()
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= codes[:, None]].tobytes()
+    bytes_before = np.append(0, np.cumsum(codes.astype(np.int64) + 1))
+    ends = np.append(0, np.cumsum(counts))
+    cuts, at = bytes_before[ends].tolist(), np.append(0, np.cumsum(widths)).tolist()
+    return [controls[a:b] for a, b in zip(at, at[1:])], [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def unpack(controls: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """All numbers of rows, one after another, from their joined control and data bytes."""
+    lengths = LENGTHS[np.frombuffer(controls, np.uint8)].reshape(-1)[_padded(counts)]
     source = np.frombuffer(data, np.uint8)
     starts = np.cumsum(lengths) - lengths
     values = source[starts].astype(np.uint32)
@@ -58,46 +69,45 @@ def unpack(controls: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """Ids of each document with the end id, packed as they are."""
+    """Ids of each document with the end id, as they are."""
     units = encoder(vocabulary_path(name))
-    for batch in batches:
-        ids = [np.append(x.astype(np.uint32), np.uint32(END)) for x in units.encode(batch.column("text").to_pylist())]
-        packed = [pack(x) for x in ids]
+    end = np.array([END], units.width).tobytes()
+    for batch in pieces(batches, "text"):
+        ids = [x.tobytes() + end for x in units.encode(batch.column("text").to_pylist())]
+        counts = [len(x) // len(end) for x in ids]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary()),
-            ],
-            names=["doc_id", "n_tokens", "controls", "data"],
+            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
+            names=["doc_id", "n_tokens", "ids"],
         )
 
 
-def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a batch's rows in one array, and how many each row has."""
-    counts = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-    rows = zip(batch.column("controls").to_pylist(), batch.column("data").to_pylist(), counts.tolist())
-    parts = [unpack(c, d, n) for c, d, n in rows]
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), counts
+def _joined(batch: pa.RecordBatch, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch's rows in one array, and how many each row has."""
+    return np.frombuffer(b"".join(batch.column("ids").to_pylist()), width), batch.column("n_tokens").to_numpy(zero_copy_only=False)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _occurrences(batches: Iterator[pa.RecordBatch], size: int, width: str) -> Iterator[pa.RecordBatch]:
     """How often each id occurs among all rows of this task."""
+    forget_words()
     totals = np.zeros(size, np.int64)
-    for batch in batches:
-        totals += np.bincount(_joined(batch)[0], minlength=size)
+    for batch in pieces(batches, "ids"):
+        totals += np.bincount(_joined(batch, width)[0], minlength=size)
     ids = np.flatnonzero(totals)
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(totals[ids])], names=["id", "n"])
 
 
-def _rank_rows(batches: Iterator[pa.RecordBatch], ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, counts = _joined(batch)
-        ends = np.cumsum(counts)
-        packed = [pack(ranks[ids[e - n : e]]) for e, n in zip(ends.tolist(), counts.tolist())]
+def _rank_rows(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, cuts: np.ndarray, width: str) -> Iterator[pa.RecordBatch]:
+    """Rows with the part that their number falls in, ids re-coded as ranks."""
+    for batch in pieces(batches, "ids"):
+        numbers = batch.column("doc_id")
+        part = np.searchsorted(cuts, numbers.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+        part[numbers.is_null().to_numpy(zero_copy_only=False)] = 0
+        ids, counts = _joined(batch, width)
+        controls, data = pack(ranks[ids], counts)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("part"), batch.column("doc_id"), batch.column("n_tokens"),
-                pa.array([p[0] for p in packed], pa.binary()), pa.array([p[1] for p in packed], pa.binary()),
+                pa.array(part, pa.int64()), numbers, batch.column("n_tokens"), pa.array(controls, pa.binary()),
+                pa.array(data, pa.binary()),
             ],
             names=["part", "doc_id", "n_tokens", "controls", "data"],
         )
@@ -121,7 +131,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
     size = 0
-    for batch in batches:
+    for batch in pieces(batches, "data"):
         for part, doc, n, controls, data in zip(*[c.to_pylist() for c in batch.columns]):
             if held and (part != state["part"] or size + n > block_tokens):
                 yield flush()
@@ -153,11 +163,13 @@ class TokenFiles:
         spark = docs.sparkSession
         files = cls(spark, folder or fresh_path(spark, "token-files"))
         rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-        encoded = written_table(rows.mapInArrow(
-            lambda b: _tokenise(b, name), "doc_id bigint, n_tokens bigint, controls binary, data binary"
-        ), "token-ids")
-        size = max(encoder(vocabulary_path(name)).library.get_vocab_size(), END + 1)
-        counts = encoded.mapInArrow(lambda b: _occurrences(b, size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+        kinds = "doc_id bigint, n_tokens bigint, ids binary"
+        path = fresh_path(spark, "token-ids")
+        rows.mapInArrow(lambda b: _tokenise(b, name), kinds).write.option("compression", "zstd").parquet(path)
+        encoded = spark.read.schema(kinds).parquet(path)
+        units = encoder(vocabulary_path(name))
+        size, width = max(units.library.get_vocab_size(), END + 1), units.width
+        counts = encoded.mapInArrow(lambda b: _occurrences(b, size, width), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
         found = sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))  # as many as the vocabulary has at most
         order = [r["id"] for r in found]
         spark.createDataFrame([(k, i) for k, i in enumerate(order)], "rank bigint, id bigint").write.parquet(f"{files.folder}/ranks")
@@ -169,16 +181,11 @@ class TokenFiles:
         cuts = encoded.select(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0] if shares else []
         cuts = sorted(set(cuts or []))
         table = np.array(cuts, np.int64)
-
-        def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Rows with the part that their number falls in, numbers re-coded as ranks."""
-            for batch in batches:
-                ids = batch.column("doc_id").to_pandas()
-                part = np.where(ids.isna(), 0, np.searchsorted(table, ids.fillna(0).to_numpy(np.int64), side="right"))
-                yield from _rank_rows(iter([batch.append_column("part", pa.array(part, pa.int64()))]), ranks)
-
-        dealt = encoded.mapInArrow(numbered, "part bigint, doc_id bigint, n_tokens bigint, controls binary, data binary")
-        ordered = dealt.repartition(len(cuts) + 1, "part").sortWithinPartitions("part", "doc_id", "n_tokens", "controls", "data")
+        dealt = encoded.mapInArrow(
+            lambda b: _rank_rows(b, ranks, table, width),
+            "part bigint, doc_id bigint, n_tokens bigint, controls binary, data binary",
+        )
+        ordered = dealt.repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("part", "doc_id", "n_tokens", "controls", "data")
         blocks = ordered.mapInArrow(lambda b: _blocks(b, block_tokens), BLOCK)
         blocks.write.option("compression", "uncompressed").parquet(f"{files.folder}/blocks")
         return files
@@ -204,21 +211,18 @@ class TokenFiles:
             first[part], running = running, running + n
 
         def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget_words()
             for batch in batches:
-                for row in batch.to_pylist():
-                    start, done, at = first[row["part"]] + row["before"], 0, 0
-                    rows: list[tuple] = []
-                    for doc, n in zip(row["doc_ids"], row["counts"]):
-                        width = -(-n // 4)
-                        controls = row["controls"][done : done + width]
-                        lengths = LENGTHS[np.frombuffer(controls, np.uint8)].reshape(-1)[:n]
-                        used = int(lengths.sum())
-                        ids = ids_of[unpack(controls, row["data"][at : at + used], n)]
-                        rows.append((doc, start, n, *outputs(ids)))
-                        start, done, at = start + n, done + width, at + used
-                    columns_of = list(zip(*rows))
+                for k in range(batch.num_rows):
+                    row = batch.slice(k, 1).to_pylist()[0]
+                    counts = np.array(row["counts"], np.int64)
+                    ids = ids_of[unpack(row["controls"], row["data"], counts)]
+                    ends = np.cumsum(counts)
+                    starts = ends - counts
+                    found = [outputs(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                    arrays = [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + (first[row["part"]] + row["before"])), pa.array(counts)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(v, k) for v, k in zip(columns_of, [pa.int64()] * 3 + kinds)],
+                        arrays + [pa.array(v, kind) for v, kind in zip(zip(*found), kinds)],
                         names=["doc_id", "start", "n_tokens", *[c.split()[0] for c in columns]],
                     )
 

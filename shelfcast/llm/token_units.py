@@ -14,7 +14,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 
 
 class WordEncoder:
@@ -40,10 +40,19 @@ class WordEncoder:
         self.starts = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.cached = cached
         self.words: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # first words, which have no blank before them
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
 
+    def _head(self, word: str) -> bytes:
+        ids = self.heads.get(word)
+        if ids is None:
+            ids = self._whole(word)
+            if len(self.heads) < self.cached // 8:
+                self.heads[word] = ids
+        return ids
+
     def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words, each behind a blank, from texts of some thousands of them; kept while there is room."""
         good = [w for w in words if w and not w[-1].isspace()]
@@ -77,7 +86,7 @@ class WordEncoder:
                     continue
                 words[0] = ""  # begins without a blank, so it is not looked up
                 known = list(map(self.words.get, words))
-                known[0] = self._whole(head)
+                known[0] = self._head(head)
                 if None in known:
                     new.update(w for w, ids in zip(words, known) if ids is None)
                     cut.append((text, words, known))
@@ -105,6 +114,13 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def forget_words() -> None:
+    """Give the memory of the worker's word caches back, for work that encodes nothing."""
+    for units in _ENCODERS.values():
+        units.words.clear()
+        units.heads.clear()
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
