@@ -25,6 +25,64 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _rules_sql(rules: quality_rules.QualityRules) -> str:
+    """The quality rules in SQL, histograms as rows of (document, kind, bin)."""
+    vocabulary = rules.vocabulary()
+    known = ", ".join(f"'{x}'" for v in vocabulary for x in (v, v.capitalize(), v.upper()))
+    signs = {"upper": "[^A-Z]+", "digit": "[^0-9]+", "mark": """[^.,;:!?''"()-]+""", "ends": "[^\\x00-\\x1F]+"}
+    counted = ", ".join(f"length(regexp_replace(signs, '{r}', '', 'g')) AS {c}" for c, r in signs.items())
+    languages = ", ".join(f"'{x}'" for x in rules.common_words)
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    regexp_replace(coalesce(text, ''), '[a-z \\x7F-\\x{{10FFFF}}]+', '', 'g') AS signs FROM documents),
+b AS (
+  SELECT *, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, {counted} FROM d),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT k) AS n_repeat FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM twice) GROUP BY 1),
+bins AS (
+  SELECT doc_id, lang, 'class' AS kind, unnest(['upper', 'digit', 'mark', 'ends', 'other', 'wide', 'rest']) AS bin,
+    unnest([upper, digit, mark, ends, length(signs) - upper - digit - mark - ends, strlen(t) - length(t), length(t) - length(signs)]) AS n FROM b
+  UNION ALL
+  SELECT doc_id, lang, 'word', CASE WHEN x IN ({known}) THEN lower(x) ELSE '' END, count(*)
+  FROM (SELECT doc_id, lang, unnest(w) AS x FROM d) GROUP BY ALL),
+totals AS (SELECT doc_id, kind, sum(n) AS total FROM bins GROUP BY ALL),
+refs AS (SELECT lang, kind, bin, sum(n) AS n FROM bins WHERE lang IN ({languages}) GROUP BY ALL),
+sizes AS (SELECT lang, kind, sum(n) AS total FROM refs GROUP BY ALL),
+grid AS (  -- every document with every reference and every bin of either
+  SELECT t.doc_id, z.lang, t.kind, r.bin, coalesce(x.n, 0) / t.total AS p, r.n / z.total AS q
+  FROM totals t JOIN sizes z ON t.kind = z.kind AND t.total > 0 AND z.total > 0 JOIN refs r ON r.lang = z.lang AND r.kind = z.kind
+  LEFT JOIN bins x ON x.doc_id = t.doc_id AND x.kind = t.kind AND x.bin = r.bin
+  UNION ALL
+  SELECT x.doc_id, z.lang, x.kind, x.bin, x.n / t.total, 0
+  FROM bins x JOIN totals t ON t.doc_id = x.doc_id AND t.kind = x.kind AND t.total > 0 JOIN sizes z ON z.kind = x.kind AND z.total > 0
+  WHERE NOT EXISTS (SELECT 1 FROM refs r WHERE r.lang = z.lang AND r.kind = x.kind AND r.bin = x.bin)),
+js AS (
+  SELECT doc_id, lang, kind, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS far
+  FROM grid GROUP BY ALL),
+near AS (
+  SELECT doc_id, min(far) FILTER (WHERE kind = 'class') AS class_far, min(far) FILTER (WHERE kind = 'word') AS word_far FROM js GROUP BY 1),
+judged AS (
+  SELECT b.*, coalesce(n_repeat, 0) AS n_repeat_words, n_words < {rules.min_words}
+    OR 100 * coalesce(n_repeat, 0) > {rules.max_repeat_percent} * n_words AS base_failed,
+    (strlen(t) >= {rules.min_class_chars} AND coalesce(class_far, 0) > {rules.max_class_distance})
+    OR (n_words >= {rules.min_histogram_words} AND coalesce(word_far, 0) > {rules.max_word_distance}) AS far
+  FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN near USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  base_failed, NOT base_failed AND NOT far AS kept
+FROM judged"""
+
+
+ORACLES["op9_distribution_rules"] = _rules_sql(quality_rules.QualityRules())
+
+
 @_query
 def op9_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
