@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import BROADCAST_BYTES, fits_broadcast
@@ -22,6 +22,8 @@ from shelfcast.shared import written_table
 
 PLACE_BITS = 28
 PIECE = 1 << 20
+SHARD_BYTES = 1 << 19
+CROWDED = 20_000
 
 RUNS = "anchor bigint, digest bigint, doc_id bigint, text_key bigint, first bigint, last bigint"
 
@@ -133,11 +135,53 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def in_shards(found: DataFrame, judge: Callable, value: str, shard_bytes: int) -> DataFrame:
+def verdicts_of(
+    found: DataFrame, contexts: DataFrame, judge: Callable, value: str, windows: Callable[[bytes], list[bytes]],
+    combined: Column, pack: Callable[[np.ndarray], bytes],
+) -> DataFrame:
+    """``anchor``, ``digest`` and packed ``verdict`` of every context.
+
+    Anchors with more than ``CROWDED`` distinct contexts, which would crowd one task, are taken apart: their
+    windows meet one by one, by a 128-bit digest, and copies combine before the shuffle.  ``combined`` is the
+    aggregate of ``value`` over equal windows, and ``pack`` makes a verdict of a context's aggregates.
+    """
+    counts = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    crowded = written_table(counts.filter(F.col("n") > CROWDED).select("anchor"), "crowded")
+    if crowded.isEmpty():
+        return in_shards(found, judge, value)
+    found, crowded = written_table(found, "stretches"), small(crowded)
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "stretch"):
+            parts = [[xxhash.xxh3_128_digest(w) for w in windows(s)] for s in batch.column("stretch").to_pylist()]
+            numbers = np.array([len(p) for p in parts], np.int64)
+            repeated = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), numbers) for c in ("anchor", "digest", value)]
+            place = np.concatenate([np.arange(n) for n in numbers]) if len(numbers) else numbers
+            arrays = [pa.array(x) for x in (*repeated, place)] + [pa.array([w for p in parts for w in p], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "digest", "value", "place", "window"])
+
+    alone = written_table(found.join(crowded, "anchor").mapInArrow(
+        apart, "anchor bigint, digest bigint, value bigint, place bigint, window binary"
+    ), "windows")
+    sums = alone.groupBy("window").agg(combined.cast("long").alias("all"))
+    lists = alone.join(sums, "window").groupBy("anchor", "digest").agg(F.sort_array(F.collect_list(F.struct("place", "all"))).alias("list"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [pack(np.array([x["all"] for x in row], np.int64)) for row in batch.column("list").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("anchor"), batch.column("digest"), pa.array(out, pa.binary())], names=["anchor", "digest", "verdict"]
+            )
+
+    hard = lists.mapInArrow(packed, "anchor bigint, digest bigint, verdict binary")
+    return in_shards(found.join(crowded, "anchor", "left_anti"), judge, value).unionByName(hard)
+
+
+def in_shards(found: DataFrame, judge: Callable, value: str) -> DataFrame:
     """``anchor``, ``digest`` and packed ``verdict`` of every context.
 
     Contexts are dealt by anchor; a task takes them in order of the anchor and hands whole anchors to ``judge``, as
-    many at a time as have ``shard_bytes`` together.  ``judge`` gets lists of values and stretches.
+    many at a time as have ``SHARD_BYTES`` together.  ``judge`` gets lists of values and stretches.
     """
     ordered = found.repartition("anchor").sortWithinPartitions("anchor", "digest")
 
@@ -155,7 +199,7 @@ def in_shards(found: DataFrame, judge: Callable, value: str, shard_bytes: int) -
             for row in zip(*[batch.column(c).to_pylist() for c in ("anchor", "digest", value, "stretch")]):
                 if row[:2] == seen:
                     continue  # rows of equal number and text give a context twice
-                if held and row[0] != held[-1][0] and size >= shard_bytes:
+                if held and row[0] != held[-1][0] and size >= SHARD_BYTES:
                     yield flush()
                     size = 0
                 seen = row[:2]

@@ -22,7 +22,6 @@ from shelfcast.llm.workers import pieces
 
 WINDOW = 50
 SHINGLE = 8
-SHARD_BYTES = 1 << 20
 
 
 class SuffixAutomaton:
@@ -114,12 +113,21 @@ def judge_shard(documents: list[int], stretches: list[bytes], window: int = WIND
     automaton.finish()
     out = []
     for sequence in sequences:
-        found = np.array(automaton.first_documents(sequence, window), np.int64)
-        start = np.flatnonzero(np.diff(found, prepend=found[:1] - 1))
-        out.append(np.stack([start, np.append(start[1:], len(found)) - 1, found[start]], axis=1).astype(np.int64).tobytes())
+        out.append(packed(np.array(automaton.first_documents(sequence, window), np.int64)))
     return out
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Runs of windows with an equal first document: (first window, last, document)."""
+    start = np.flatnonzero(np.diff(found, prepend=found[:1] - 1))
+    return np.stack([start, np.append(start[1:], len(found)) - 1, found[start]], axis=1).astype(np.int64).tobytes()
+
+
+def _windows(stretch: bytes, window: int) -> list[bytes]:
+    words = stretch.split(b" ")
+    return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+
+
 def _spans(window: int) -> Callable:
     def spans(docs: np.ndarray, first: np.ndarray, verdicts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         tables = [np.frombuffer(v, np.int64).reshape(-1, 3) for v in verdicts]
@@ -140,7 +148,9 @@ def substring_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.min("doc_id").alias("value"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("run")
     )
     found = anchors.stretches(docs, contexts, "document", stretch_of, window)
-    verdicts = anchors.in_shards(found, lambda d, s: judge_shard(d, s, window), "document", SHARD_BYTES)
+    verdicts = anchors.verdicts_of(
+        found, contexts, lambda d, s: judge_shard(d, s, window), "document", lambda s: _windows(s, window), F.min("value"), packed
+    )
     return anchors.spans_by_text(candidates, verdicts, _spans(window))
 
 

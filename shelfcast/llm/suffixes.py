@@ -20,7 +20,6 @@ from shelfcast.llm.workers import pieces
 
 WINDOW = 400
 SHINGLE = 32
-SHARD_BYTES = 1 << 19
 _NO_NUMBER = -(1 << 63)
 
 
@@ -125,13 +124,18 @@ def repeated_windows(stretches: list[bytes], counts: list[int], window: int = WI
 
 def judge_shard(counts: list[int], stretches: list[bytes], window: int = WINDOW) -> list[bytes]:
     """Runs (first window, last) of repeated windows of each stretch, packed."""
-    out = []
-    for flags in repeated_windows(stretches, counts, window):
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-        runs = edges.reshape(-1, 2)
-        runs[:, 1] -= 1
-        out.append(runs.astype(np.int64).tobytes())
-    return out
+    return [packed(flags) for flags in repeated_windows(stretches, counts, window)]
+
+
+def packed(flags: np.ndarray) -> bytes:
+    """Runs of set flags: (first, last)."""
+    runs = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))).reshape(-1, 2)
+    runs[:, 1] -= 1
+    return runs.astype(np.int64).tobytes()
+
+
+def _windows(stretch: bytes, window: int) -> list[bytes]:
+    return [stretch[i : i + window] for i in range(len(stretch) - window + 1)]
 
 
 def elements(text: bytes) -> tuple[np.ndarray, Callable[[int, int], bytes]]:
@@ -160,7 +164,10 @@ def byte_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.count(F.lit(1)).alias("value"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("run")
     )
     found = anchors.stretches(docs, contexts, "occurrences", stretch_of, window)
-    verdicts = anchors.in_shards(found, lambda n, s: judge_shard(n, s, window), "occurrences", SHARD_BYTES)
+    verdicts = anchors.verdicts_of(
+        found, contexts, lambda n, s: judge_shard(n, s, window), "occurrences", lambda s: _windows(s, window), F.sum("value"),
+        lambda n: packed(n > 1),
+    )
     return anchors.spans_by_text(candidates, verdicts, _spans(window))
 
 

@@ -156,8 +156,9 @@ def planted(seed, unit, n=60):
     return docs + [(n, docs[3][1]), (n + 1, docs[4][1] + " more"), (n + 2, "same " * 300), (n + 3, "same " * 120)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_planted_word_windows(spark, seed):
+@pytest.mark.parametrize(("seed", "crowded"), [(1, 20_000), (2, 2)])
+def test_planted_word_windows(spark, seed, crowded, monkeypatch):
+    monkeypatch.setattr(anchors, "CROWDED", crowded)
     docs = planted(seed, "w")
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
     rows = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in automata.without_repeats(frame).collect()]
@@ -212,8 +213,9 @@ def test_bytes_of_odd_rows(odd, odd_rows, none):
     assert suffixes.without_repeated_bytes(none).count() == 0
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_planted_bytes(spark, seed):
+@pytest.mark.parametrize(("seed", "crowded"), [(3, 20_000), (4, 2)])
+def test_planted_bytes(spark, seed, crowded, monkeypatch):
+    monkeypatch.setattr(anchors, "CROWDED", crowded)
     docs = [(d, t[: random.Random(d).randrange(4000)]) for d, t in planted(seed, "é")]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
     rows = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.without_repeated_bytes(frame).collect()}
