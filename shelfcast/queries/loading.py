@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import date_parts
 from shelfcast.operators.joins import stack_rows
+from shelfcast.operators.ordering import dense_position
+from shelfcast.operators.splits import ordered_folds
+from shelfcast.plans.folds import store_folds, stored_split
 from shelfcast.plans.groups import FeatureGroup, engineer_all, get_features, oil_price_group, store_group
 from shelfcast.queries import query
 from shelfcast.queries.views import ALL, OIL, SALES, STORES, TRANSACTIONS, sql, star, table
@@ -145,6 +148,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.current(OIL_PRICES.name)
 
 
+@query("l06_engineered_and_split", sql(OIL, f"""engineered AS (SELECT date, dcoilwtico AS oil_price, {SCALED_OIL} FROM oil),
+placed AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS p, COUNT(*) OVER () AS n FROM engineered),
+folded AS (
+  SELECT *, CASE WHEN p < (n % 4) * (n // 4 + 1) THEN p // (n // 4 + 1)
+    ELSE n % 4 + (p - (n % 4) * (n // 4 + 1)) // (n // 4) END AS fold FROM placed)""", """
+  SELECT date, oil_price, oil_price_scaled_0_to_1, CAST(f AS INT) AS in_fold, CASE WHEN fold = f THEN 'test' ELSE 'train' END AS side
+  FROM folded, range(4) r(f)"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _with_oil(spark, folder)
+    engineer_all(warehouse, [oil_price_group()])
+    placed = dense_position(warehouse.current(OIL_PRICES.name), ["date"], "place")
+    store_folds(warehouse, ordered_folds(placed, "place", 4).drop("place"), OIL_PRICES.name, 4)
+    splits = [stored_split(warehouse, OIL_PRICES.name, fold) for fold in range(4)]
+    return stack_rows(*[
+        getattr(split, side).withColumns({"in_fold": F.lit(split.fold), "side": F.lit(side)})
+        for split in splits for side in ("train", "test")
+    ])
+
+
 @query("l06_engineered_stores", sql(STORES, """
   SELECT store_nbr AS id, city, state, type, cluster,
     CAST((SELECT COUNT(*) FROM (SELECT type AS t, COUNT(*) AS n FROM stores GROUP BY type) o

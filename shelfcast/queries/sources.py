@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions.columns import rename_back
+from shelfcast.operators.joins import attach
 from shelfcast.operators.ordering import first_rows
-from shelfcast.plans.features import load_star
+from shelfcast.plans.features import drop_target, load_star, rows_to_score
 from shelfcast.queries import query
 from shelfcast.queries.views import OIL, SALES, STORES, TRANSACTIONS, given, sql, star, table
 from shelfcast.shared import fresh_path
@@ -178,6 +179,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return load_star(star(spark, folder), "all", drop_sales=False)["sales"]
 
 
+@query("a14_rows_to_score", sql(SALES, """
+  SELECT id, date, store_nbr, family, onpromotion, CAST(0 AS DOUBLE) AS sales FROM sales
+  WHERE date IN (SELECT DISTINCT date FROM sales ORDER BY date DESC LIMIT 16)"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    sales = table(spark, folder, "sales")
+    last = F.broadcast(sales.select("date").distinct().orderBy(F.col("date").desc()).limit(16))
+    late = sales.join(last, "date", "left_semi")
+    tables = {"test": drop_target(late), "sample_submission": late.select("id", F.lit(0.0).alias("sales"))}
+    asked, answer = rows_to_score(tables)
+    return attach(asked, answer, ["id"], hot_rows=None).select("id", "date", "store_nbr", "family", "onpromotion", "sales")
+
+
 @query("a15_month_partition", sql(SALES, """
   SELECT id, date, sales, CAST(year(date) * 100 + month(date) AS INT) AS month
   FROM sales WHERE year(date) = 1998 AND month(date) BETWEEN 3 AND 5"""))
