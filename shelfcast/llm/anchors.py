@@ -160,7 +160,8 @@ def verdicts_of(
             arrays = [pa.array(x) for x in (*repeated, place)] + [pa.array([w for p in parts for w in p], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "digest", "value", "place", "window"])
 
-    alone = written_table(found.join(crowded, "anchor").mapInArrow(
+    once = found.join(crowded, "anchor").dropDuplicates(["anchor", "digest"])  # rows of equal number and text give two
+    alone = written_table(once.mapInArrow(
         apart, "anchor bigint, digest bigint, value bigint, place bigint, window binary"
     ), "windows")
     sums = alone.groupBy("window").agg(combined.cast("long").alias("all"))
