@@ -2,7 +2,10 @@
 
 A document is compared with references by the Jensen-Shannon distance of two histograms, one of character
 classes and one of common words.  A reference holds the summed histograms of all documents of one language.
-Everything is a column expression; nothing is shuffled but one row of sums per task and language.
+A document of a language that ``COMMON_WORDS`` does not name is compared with the reference of its own language
+too, whose common words are counted from the table; one without a language is not judged by histograms.
+Everything is a column expression; nothing is shuffled but one row of sums per task and language, and the word
+counts of languages without fixed words.
 """
 
 from __future__ import annotations
@@ -11,8 +14,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfcast.operators.joins import attach
+from shelfcast.shared import written_table
+
 SPACE = r"[\x20\x09-\x0D]"
 #: Frequent function words by language.
 COMMON_WORDS = {
@@ -21,6 +28,8 @@ COMMON_WORDS = {
     "fr": ("le", "la", "les", "et", "des", "en"),
     "es": ("el", "de", "que", "y", "los", "las"),
 }
+#: Common words taken from the table for each other language, as many as the fixed ones have.
+OWN_WORDS = 6
 
 
 @dataclass(frozen=True)
@@ -78,19 +87,44 @@ def _repeated_words(words: str) -> dict[str, Column]:
     }
 
 
-def measure(docs: DataFrame, rules: QualityRules | None = None, text: str = "text") -> DataFrame:
+def further_words(docs: DataFrame, rules: QualityRules, text: str = "text", lang: str = "lang") -> DataFrame | None:
+    """``_lang`` and ``_own``: for each language outside ``rules`` its words in most documents, parted by blanks.
+
+    ``OWN_WORDS`` words a language, in lower case.  ``None`` if every document is of a language of ``rules`` or
+    of none; then the texts are not read.
+    """
+    rows = docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("_text"))
+    rows = rows.filter(F.col("_lang").isNotNull() & ~F.col("_lang").isin(list(rules.common_words)))
+    if rows.agg(F.count(F.lit(1))).first()[0] == 0:
+        return None
+    words = F.array_distinct(F.split(F.lower("_text"), SPACE + "+"))
+    counts = rows.select("_lang", F.explode(words).alias("word")).filter("word <> ''")
+    counts = counts.groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(W.partitionBy("_lang").orderBy(F.col("n").desc(), "word"))
+    first = counts.withColumn("place", place).filter(F.col("place") <= OWN_WORDS)
+    own = first.groupBy("_lang").agg(F.array_join(F.array_sort(F.collect_list("word")), " ").alias("_own"))
+    return written_table(own, "further-words")
+
+
+def measure(
+    docs: DataFrame, rules: QualityRules | None = None, text: str = "text", lang: str = "lang", words: DataFrame | None = None
+) -> DataFrame:
     """The rows of ``docs`` as struct ``_row`` beside a struct ``_counts`` of numbers.
 
     ``_counts`` has ``n_words word_chars n_symbols n_dup_lines n_repeat_words`` and two histograms: ``classes``
     (upper case, digits, marks, symbols, line ends and tabs, bytes beyond the first of a character, the rest,
     which is lower case and blanks) and ``common`` (a count per common word in lower case, upper case
-    or capitalised, then the other words).  A null text counts as an empty one.
+    or capitalised, then the other words).  With ``words`` of :func:`further_words` there is ``own`` too, a count
+    per common word of a language outside ``rules``, else null.  A null text counts as an empty one.
     """
     rules = rules or QualityRules()
     vocabulary = rules.vocabulary()
     written = sorted({v for w in vocabulary for v in (w, w.capitalize(), w.upper())})
     body = F.coalesce(F.col("_text"), F.lit(""))
     step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    if words is not None:
+        step = attach(step.withColumn("_lang", F.col(f"_row.`{lang}`")), words, ["_lang"])
+        step = step.withColumn("_own", F.split("_own", " "))
     step = step.withColumns({
         "_words": F.array_remove(F.split(body, SPACE + "+"), ""),
         "_signs": F.regexp_replace(body, r"[a-z \x7F-\x{10FFFF}]+", ""),
@@ -111,6 +145,12 @@ def measure(docs: DataFrame, rules: QualityRules | None = None, text: str = "tex
         F.array(*map(F.lit, vocabulary)), lambda v: F.size(F.filter("_hits", lambda w: w == v)).cast("long")
     )
     wide = F.col("_size") - F.col("_length")
+    own = []
+    if words is not None:
+        found = F.filter(F.transform("_words", lambda w: F.lower(w)), lambda w: F.array_contains("_own", w))
+        step = step.withColumn("_found", F.when(F.col("_own").isNotNull(), found))
+        each = [F.size(F.filter("_found", lambda w, i=i: w == F.get("_own", F.lit(i)))).cast("long") for i in range(OWN_WORDS)]
+        own = [F.when(F.col("_own").isNotNull(), F.array(*each)).alias("own")]
     return step.select("_row", F.struct(
         F.col("_n_words").alias("n_words"), F.col("_word_chars").alias("word_chars"), F.col("_n_symbols").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -119,7 +159,7 @@ def measure(docs: DataFrame, rules: QualityRules | None = None, text: str = "tex
             "_upper", "_digit", "_mark", F.col("_rest") - F.col("_upper") - F.col("_digit") - F.col("_mark") - F.col("_ends"),
             "_ends", wide, F.col("_length") - F.col("_rest"),
         ).alias("classes"),
-        F.concat(counted, F.array(F.col("_n_words") - F.size("_hits"))).alias("common"),
+        F.concat(counted, F.array(F.col("_n_words") - F.size("_hits"))).alias("common"), *own,
     ).alias("_counts"))
 
 
@@ -129,8 +169,11 @@ def jensen_shannon(counts: Column, size: Column, reference: Sequence[int]) -> Co
     total = sum(reference)
     if total == 0:
         return F.lit(1.0)
-    shares = F.array(*[F.lit(n / total) for n in reference])
+    return _distance(counts, size, F.array(*[F.lit(n / total) for n in reference]))
 
+
+def _distance(counts: Column, size: Column, shares: Column) -> Column:
+    """As :func:`jensen_shannon`, with the reference as an array of shares."""
     def term(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
@@ -160,15 +203,56 @@ def language_references(measured: DataFrame, rules: QualityRules, lang: str) ->
     ]
 
 
-def verdict(measured: DataFrame, references: Sequence[Reference], rules: QualityRules) -> DataFrame:
-    """Add ``_rules``: the counts, ``base_failed``, both distances to the nearest reference, and ``kept``."""
+def _own_histogram(words: Column, own: Column) -> Column:
+    """The histogram over the common words of the document's own language, then the other words."""
+    return F.concat(own, F.array(words - _total(own)))
+
+
+def further_references(measured: DataFrame, lang: str = "lang") -> DataFrame:
+    """Per language outside the rules ``_lang`` and its summed histograms, a column per bin; any number of languages."""
+    own = measured.filter(F.col("_counts.own").isNotNull()).select(
+        F.col(f"_row.`{lang}`").alias("_lang"), F.col("_counts.classes").alias("classes"),
+        _own_histogram(F.col("_counts.n_words"), F.col("_counts.own")).alias("words"),
+    )
+    bins = {"classes": 7, "words": OWN_WORDS + 1}
+    sums = own.groupBy("_lang").agg(*[F.sum(F.col(c)[i]).alias(f"_{c}{i}") for c, n in bins.items() for i in range(n)])
+    return written_table(sums, "further-references")
+
+
+def verdict(
+    measured: DataFrame, references: Sequence[Reference], rules: QualityRules, lang: str = "lang",
+    further: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``_rules``: the counts, ``base_failed``, both distances to the nearest reference, and ``kept``.
+
+    Documents of languages outside the rules have the row of their language in ``further`` as one more reference;
+    those whose language has no reference are judged by the base rules only.
+    """
     step = measured.withColumns({
         "_chars": _total("_counts.classes"), "_bins": _total("_counts.common"),
         "_classes": F.col("_counts.classes"), "_common": F.col("_counts.common"),
     })
 
+    has_reference = F.coalesce(F.col(f"_row.`{lang}`").isin(list(rules.common_words)), F.lit(False))
+    own: list[Column] = []
+    if further is not None:
+        step = attach(step.withColumn("_lang", F.col(f"_row.`{lang}`")), further, ["_lang"])
+        bins = {kind: [c for c in further.columns if c.startswith(f"_{kind}")] for kind in ("classes", "words")}
+        total = {kind: sum((F.col(c) for c in names[1:]), F.col(names[0])) for kind, names in bins.items()}
+        step = step.withColumns({
+            **{f"_{kind}_total": total[kind] for kind in bins},
+            "_own_words": _own_histogram(F.col("_counts.n_words"), F.col("_counts.own")),
+        })
+        shares = {k: F.when(F.col(f"_{k}_total") > 0, F.array(*[F.col(c) / F.col(f"_{k}_total") for c in bins[k]])) for k in bins}
+        step = step.withColumns({f"_{kind}_shares": shares[kind] for kind in bins})
+        own = [
+            F.when(F.col(f"_{kind}_shares").isNotNull(), _distance(F.col(counts), F.col(size), F.col(f"_{kind}_shares")))
+            for kind, counts, size in (("classes", "_classes", "_chars"), ("words", "_own_words", "_bins"))
+        ]
+        has_reference = has_reference | F.col("_classes_shares").isNotNull()
+
     def nearest(counts: str, size: str, which: int) -> Column:
-        found = [jensen_shannon(F.col(counts), F.col(size), r[which]) for r in references]
+        found = [jensen_shannon(F.col(counts), F.col(size), r[which]) for r in references] + own[which : which + 1]
         return F.lit(None).cast("double") if not found else found[0] if len(found) == 1 else F.least(*found)
 
     words = F.col("_counts.n_words")
@@ -183,20 +267,23 @@ def verdict(measured: DataFrame, references: Sequence[Reference], rules: Quality
     return step.select("_row", F.struct(
         *[F.col(f"_counts.{c}") for c in counts], F.col("_failed").alias("base_failed"),
         F.col("_class_distance").alias("class_distance"), F.col("_word_distance").alias("word_distance"),
-        (~F.col("_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"),
+        (~F.col("_failed") & ~(has_reference & F.coalesce(far, F.lit(False)))).alias("kept"),
     ).alias("_rules"))
 
 
 def judge(docs: DataFrame, rules: QualityRules | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
     """Every row of ``docs`` as struct ``_row`` with its counts, distances and verdict in a struct ``_rules``.
 
-    A null or empty text has no words and fails the base rules.  A null or unknown language is compared with
-    all references like any other; without any reference (empty table) distances are null and only the base
-    rules decide.  Repeated rows are judged alike; other columns are passed through, whatever their names.
+    A null or empty text has no words and fails the base rules.  A language outside the rules is compared with
+    their references and with its own; a null language has none, so distances are given but only the base rules
+    decide.  Without any reference (empty table) distances are null.  Repeated rows are judged alike; other columns
+    are passed through, whatever their names.
     """
     rules = rules or QualityRules()
-    measured = measure(docs, rules, text)
-    return verdict(measured, language_references(measured, rules, lang), rules)
+    words = further_words(docs, rules, text, lang)
+    measured = measure(docs, rules, text, lang, words)
+    further = None if words is None else further_references(measured, lang)
+    return verdict(measured, language_references(measured, rules, lang), rules, lang, further)
 
 
 def keep_good(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:

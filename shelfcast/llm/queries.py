@@ -88,10 +88,12 @@ def op9_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     rules = quality_rules.QualityRules()
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    words = quality_rules.further_words(docs, rules)
     narrow = written_table(
-        quality_rules.measure(docs, rules).select(F.struct("_row.doc_id", "_row.lang").alias("_row"), "_counts"), "counts"
+        quality_rules.measure(docs, rules, words=words).select(F.struct("_row.doc_id", "_row.lang").alias("_row"), "_counts"), "counts"
     )
-    judged = quality_rules.verdict(narrow, quality_rules.language_references(narrow, rules, "lang"), rules)
+    further = None if words is None else quality_rules.further_references(narrow)
+    judged = quality_rules.verdict(narrow, quality_rules.language_references(narrow, rules, "lang"), rules, further=further)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("_row.doc_id", *[F.col(f"_rules.{c}") for c in counts])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -55,6 +56,32 @@ def test_verdict_keeps_good_and_drops_bad(spark, small):
     assert all(kept[1]) and sum(kept[0]) < len(kept[0])
 
 
+def plain_russian(seed: int, n: int = 220) -> str:
+    rng = random.Random(seed)
+    common = ["и", "в", "не", "на", "что", "он"]
+    other = ["".join(rng.choice("абвгдежзиклмнопрстуфхцчшыэюя") for _ in range(rng.randint(4, 9))) for _ in range(n)]
+    words = [rng.choice(common) if rng.random() < 0.3 else w for w in other]
+    return ". ".join(" ".join(words[i : i + 11]).capitalize() for i in range(0, n, 11)) + "."
+
+
+def test_clean_documents_of_other_languages_stay(spark, small):
+    """Languages without fixed words, other codes of the four, and no language at all."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    russian = [(10**6 + i, plain_russian(i), "ru") for i in range(12)]
+    marks = (2 * 10**6, " ".join("#" * (3 + i % 7) + "=" * (i % 5) for i in range(99)) + " " + " ".join(f"@{i}+" for i in range(99)), "ru")
+    unknown = (3 * 10**6, plain_russian(99), None)
+    frame = spark.createDataFrame([*map(tuple, docs), *russian, marks, unknown], "doc_id bigint, text string, lang string")
+    kept = {r[0]: r[1] for r in quality_rules.judge(frame).select("_row.doc_id", "_rules.kept").collect()}
+    assert all(kept[r[0]] for r in [*russian, unknown]) and not kept[marks[0]]
+    before = {r.doc_id: r.kept for r in QUERIES["op9_distribution_rules"](spark, small).collect()}
+    assert {i: kept[i] for i in before} == before
+    assert quality_rules.keep_good(frame).count() == sum(kept.values())
+    # the same documents under codes that the rules do not know: each language is its own reference
+    coded = spark.createDataFrame([(r.doc_id, r.text, r.lang + "-X") for r in docs], "doc_id bigint, text string, lang string")
+    again = {r[0]: r[1] for r in quality_rules.judge(coded).select("_row.doc_id", "_rules.kept").collect()}
+    assert all(again[i] for i in before if before[i]) and not all(again.values())
+
+
 def test_distance_is_jensen_shannon(spark):
     frame = spark.createDataFrame([([1, 0, 3],), ([0, 0, 0],), ([2, 1, 1],)], "c array<bigint>")
     from pyspark.sql import functions as F
