@@ -184,12 +184,31 @@ class PreparationFit:
 
     origin: str
     bounds: dict[str, tuple[float | None, float | None]]
-    categories: dict[str, list[str]]
+    categories: dict[str, list[str]] | None = None
+    #: variable, value, number: a row per category, most frequent first; null where columns are named
+    index: DataFrame | None = None
+
+
+def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``variable``, ``value``, ``number``: the categories of each column as text, by falling frequency, ties by value.
+
+    Counted in one pass and numbered in one distributed sort, so the count of categories is not limited.
+    """
+    cells = df.select(*[as_text(df, c).alias(c) for c in columns])
+    counts = cells.unpivot([], list(columns), "variable", "value").filter(F.col("value").isNotNull())
+    counts = counts.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("_n"))
+    placed = written_table(dense_position(counts, ["variable", F.col("_n").desc(), "value"], "_at"), "category-places")
+    starts = F.broadcast(placed.groupBy("variable").agg(F.min("_at").alias("_start")))  # a row per column
+    numbered = placed.join(starts, "variable").select("variable", "value", (F.col("_at") - F.col("_start")).alias("number"))
+    return written_table(numbered, "category-index")
 
 
 @dataclass
 class Preparation:
-    """Merged rows to model input: gaps, special days, date parts, scaling, indicators, lags.
+    """Merged rows to model input: gaps, special days, date parts, scaling, categories, lags.
+
+    A category becomes ``<column>_index``, its number in :func:`category_index`, for any count of categories; null
+    and unseen ones are null.  With ``named`` it becomes 0/1 columns instead, which limits their number.
 
     ``fit`` learns the first date, the bounds and the categories; ``transform`` applies them to any
     rows.  Rows are lagged while they are still narrow and encoded afterwards: an indicator of an
@@ -201,6 +220,7 @@ class Preparation:
     scaled: Sequence[str] = SCALED
     target: str = "sales"
     constant: float = 0.5
+    named: bool = False
     bucket_rows: int = BUCKET_ROWS
     order: Sequence[str] = field(default=EVENT_ORDER)
 
@@ -212,7 +232,9 @@ class Preparation:
         needed = dict.fromkeys(["date", *self.scaled, *self.categories])
         rows = written_table(self.filled(merged).select(*needed), "fitted-rows")
         model = MinMaxColumns(columns=list(self.scaled)).fit(rows)
-        return PreparationFit(first_date(rows), model.getBounds(), known_categories(rows, self.categories))
+        if self.named:
+            return PreparationFit(first_date(rows), model.getBounds(), known_categories(rows, self.categories))
+        return PreparationFit(first_date(rows), model.getBounds(), index=category_index(rows, self.categories))
 
     def transform(self, merged: DataFrame, fitted: PreparationFit) -> DataFrame:
         rows = replace_date(self.filled(merged), F.lit(fitted.origin).cast("date"))
@@ -220,13 +242,13 @@ class Preparation:
         steps = range(1, self.window_size)
         texts = {c: as_text(rows, c) for c in self.categories}
         if steps:
-            narrow = dense_position(rows.withColumns(texts), self.order, "_place")
+            narrow = self._indexed(dense_position(rows.withColumns(texts), self.order, "_place"), fitted)
             rows = lag_columns(
                 narrow, values, steps, "_place", head_from_first=True, bucket_rows=self.bucket_rows
             )
             lag_flag = [(F.col("_place") < self.window_size).alias("row_was_lagg_backfilled")]
         else:
-            rows, lag_flag = rows.withColumns(texts), []
+            rows, lag_flag = self._indexed(rows.withColumns(texts), fitted), []
         rest = [c for c in values if c not in self.scaled and c not in self.categories and c != self.target]
         return rows.select(
             "id",
@@ -238,11 +260,18 @@ class Preparation:
             )],
         )
 
+    def _indexed(self, rows: DataFrame, fitted: PreparationFit) -> DataFrame:
+        """The texts of the categories replaced by their numbers, once the rows are in order."""
+        for c in () if self.named else self.categories:
+            index = fitted.index.filter(F.col("variable") == c).select(F.col("value").alias(c), F.col("number").alias("_number"))
+            rows = attach(rows, index, [c]).drop(c).withColumnRenamed("_number", c)
+        return rows
+
     def _encoded(self, end: str, rest: Sequence[str], fitted: PreparationFit) -> list[Column]:
         numbers = [
             scaled(F.col(f"{c}{end}"), *fitted.bounds[c], self.constant).alias(f"{c}{end}") for c in self.scaled
         ]
-        indicators = [
+        indicators = [F.col(f"{c}{end}").alias(f"{c}_index{end}") for c in self.categories] if not self.named else [
             x for c in self.categories
             for x in indicator_columns(f"{c}{end}", c, fitted.categories[c], False, end)
         ]

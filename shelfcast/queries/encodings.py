@@ -8,7 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import choose_columns, quoted
+from shelfcast.functions.columns import choose_columns
+from shelfcast.operators.joins import attach, stack_rows
 from shelfcast.plans.features import CATEGORIES, Preparation, merged_features, parse_sale_dates, rename_sales_basics
 from shelfcast.plans.groups import frequency_index, oil_price_group, store_group
 from shelfcast.plans.stages import (
@@ -190,7 +191,7 @@ LAGGED = [
     for k in (1, 2) for c in LAGGED)} FROM encoded"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     merged = merged_features(star(spark, folder), refine_days=True)
-    preparation = Preparation(window_size=3, categories=("product_family", "store_type", "day_type"))
+    preparation = Preparation(window_size=3, categories=("product_family", "store_type", "day_type"), named=True)
     made = preparation.transform(merged, preparation.fit(merged))
     shown = ["id", "sales", "row_was_lagg_backfilled"]
     shown += [c for c in LAGGED if c != "sales"] + [f"{c}_lag_{k}" for k in (1, 2) for c in LAGGED]
@@ -220,9 +221,13 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     preparation = Preparation(window_size=2)
     fitted = preparation.fit(merged)
     made = preparation.transform(merged, fitted)
-    indicators = [f"{c}_{v}{end}" for end in ("", "_lag_1") for c in CATEGORIES for v in fitted.categories[c]]
-    totals = made.agg(*[F.sum(quoted(c)).alias(c) for c in indicators])
-    return totals.unpivot([], [quoted(c) for c in indicators], "feature", "total")
+    sides = [
+        made.select(*[F.col(f"{c}_index{end}").alias(c) for c in CATEGORIES])
+        .unpivot([], list(CATEGORIES), "variable", "number").withColumn("end", F.lit(end)) for end in ("", "_lag_1")
+    ]
+    totals = stack_rows(*sides).filter("number IS NOT NULL").groupBy("variable", "number", "end").agg(F.count(F.lit(1)).alias("total"))
+    named = attach(totals, fitted.index, ["variable", "number"])
+    return named.select(F.concat("variable", F.lit("_"), "value", "end").alias("feature"), "total")
 
 
 @query("j11_rename_and_merge", sql(*ALL, MERGED, "SELECT * FROM merged"))

@@ -254,7 +254,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("k18_prepared_features_model")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     merged = merged_features(star(spark, folder))
-    preparation = Preparation(window_size=2, categories=("product_family", "store_type"))
+    preparation = Preparation(window_size=2, categories=("product_family", "store_type"), named=True)
     made = preparation.transform(merged, preparation.fit(merged))
     features = ["oil_price", "days_since_start", "day_of_week", "sales_lag_1", "product_family_PROMO", "store_type_A"]
     return score_rows(boosted_trees(features, "sales", maxIter=3, maxDepth=3).fit(made), made)

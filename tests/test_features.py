@@ -171,6 +171,19 @@ def test_preparation_fits_once_and_applies_elsewhere(spark, small):
     assert rows(wide.transform(late, fitted)) == rows(second)
 
 
+def test_preparation_takes_any_number_of_categories(spark, small):
+    merged = merged_features(star(spark, small)).withColumn("store_nbr", (F.col("id") % 2500).cast("int"))
+    preparation = Preparation(window_size=2, categories=("store_nbr", "day_type"))
+    fitted = preparation.fit(merged)
+    made = preparation.transform(merged, fitted)
+    assert made.count() == merged.count()
+    index = {r.number: int(r.value) for r in fitted.index.filter("variable = 'store_nbr'").collect()}
+    assert sorted(index) == list(range(2500))
+    for r in made.select("id", "store_nbr_index", "store_nbr_index_lag_1").collect():
+        assert index[r[1]] == r[0] % 2500
+        assert r[0] == 0 or index[r[2]] in (r[0] % 2500, (r[0] - 1) % 2500)
+
+
 def test_load_star(spark, small):
     tables = star(spark, small)
     assert "sales" not in load_star(tables, 10)["sales"].columns and load_star(tables, 10)["sales"].count() == 10
