@@ -137,6 +137,19 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _shown_scores(validate_outside(linear_model(["day"], "sales"), inner, outer, "sales"))
 
 
+@query("k09_outer_validation_of_all_rows", sql(SALES, DAILY, f"""cut AS (
+  SELECT {SIZE} - CEIL(0.2 * {SIZE}) AS first),
+fit AS (SELECT regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b FROM dayed, cut WHERE id < first),
+predicted AS (SELECT sales, a * day + b AS prediction FROM dayed, fit, cut WHERE id >= first)""",
+    f"SELECT {SCORE_SQL} FROM predicted"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _dayed(spark, folder)
+    size = rows.count()  # ids are positions
+    first = size - -(-size // 5)
+    inner, outer = rows.filter(F.col("id") < first), rows.filter(F.col("id") >= first)
+    return _shown_scores(validate_outside(linear_model(["day"], "sales"), inner, outer, "sales"))
+
+
 @query("k10_linear_regression", sql(SALES, DAILY, """
   SELECT ROUND(regr_intercept(total, day), 4) AS intercept, ROUND(regr_slope(total, day), 6) AS slope FROM daily"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:

@@ -65,6 +65,21 @@ def test_side_tables_are_broadcast_and_columns_pruned(spark, small):
     assert scanned and not any("family" in s or "sales" in s or "city" in s for s in scanned)
 
 
+def test_outer_validation_covers_all_rows(spark, small, monkeypatch):
+    from shelfcast.queries import modelling
+
+    sides = []
+
+    def noted(model, inner, outer, target):
+        sides.extend([inner.count(), outer.count()])
+        return inner.limit(1).selectExpr("1D AS r2", "1D AS rmse", "1D AS neg_mean_squared_error")
+
+    monkeypatch.setattr(modelling, "validate_outside", noted)
+    QUERIES["k09_outer_validation_of_all_rows"](spark, small)
+    size = table(spark, small, "sales").count()
+    assert sum(sides) == size and sides[1] == -(-size // 5)
+
+
 def test_month_filter_prunes_partitions(spark, small):
     plan = plan_of(entries.queries()["a15_month_partition"](spark, small))
     assert re.search(r"PartitionFilters: \[[^\]]*month", plan)
