@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import automata, decontaminate, language, mixing, quality_model, quality_rules, simhash, suffixes, token_counts, token_files
+from shelfcast.llm import (
+    automata, decontaminate, language, lexical, manifest, mixing, personal, quality_model, quality_rules, simhash, suffixes,
+    token_counts, token_files,
+)
 from shelfcast.llm.quality_model import in_fold
 from shelfcast.llm.workers import with_package
 from shelfcast.shared import written_table
@@ -211,3 +214,94 @@ def op7_two_stage_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without the strings of 400 bytes that occur elsewhere."""
     found = suffixes.without_repeated_bytes(table(spark, folder, "documents"))
     return found.drop("kept", "spans")
+
+
+ORACLES["op11_pipelined_lexical_search"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w, row_number() OVER () AS k FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+part AS (
+  SELECT tf.k, term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * n_docs) // n_terms))) AS given
+  FROM tf JOIN df USING (term) JOIN d ON d.k = tf.k, size WHERE term IN (SELECT term FROM q)),
+score AS (SELECT item_id, k, CAST(sum(given) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place
+  FROM score JOIN d USING (k) WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+
+@_query
+def op11_pipelined_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_interval_manifest"] = """
+WITH RECURSIVE e AS (
+  SELECT doc_id, coalesce('s' || source, '-') AS tree, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    -- the checksum, bit by bit, over the digits of the number
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda a, z: xor(a >> 1, (a & 1) * CAST(3988292384 AS BIGINT)))) AS crc
+  FROM documents),
+l AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(t2) || ':' || t2, '-')) AS altered
+  FROM (SELECT *, CASE WHEN crc & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS t2 FROM e)),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, altered) - 1 AS i,
+    count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS k FROM l),
+up(tree, level, i, h, n) AS (
+  SELECT tree, 0, i, leaf, n FROM r
+  UNION ALL SELECT tree, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, level, i // 3, n),
+subroots AS (SELECT tree, h, level AS height FROM up WHERE n = 1),
+top(level, i, h, n) AS (
+  SELECT 0, row_number() OVER (ORDER BY tree) - 1, h, count(*) OVER () FROM subroots
+  UNION ALL SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY level, i // 3, n),
+seats AS (SELECT tree, h, height, row_number() OVER (ORDER BY tree) - 1 AS seat FROM subroots),
+sides AS (
+  SELECT a.tree, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS after
+  FROM up a JOIN up b ON a.tree = b.tree AND a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+upper_sides AS (
+  SELECT a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS after
+  FROM top a JOIN top b ON a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+fold(k, tree, level, i, h, proof) AS (
+  SELECT k, tree, 0, i, altered, '' FROM r
+  UNION ALL SELECT k, f.tree, f.level + 1, f.i // 3, sha256(before || h || after), proof || before || after
+  FROM fold f JOIN sides s ON f.tree = s.tree AND f.level = s.level AND f.i = s.i),
+under AS (
+  SELECT f.k, s.seat, f.h, f.proof FROM fold f JOIN seats s ON f.tree = s.tree AND f.level = s.height),
+fold2(k, level, i, h, proof) AS (
+  SELECT k, 0, seat, h, proof FROM under
+  UNION ALL SELECT k, f.level + 1, f.i // 3, sha256(before || h || after), proof || before || after
+  FROM fold2 f JOIN upper_sides s ON f.level = s.level AND f.i = s.i),
+done AS (SELECT k, h, proof FROM fold2 WHERE level = (SELECT max(level) FROM top))
+SELECT r.doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, d.h AS folded_root, d.h = t.h AS verified
+FROM r JOIN done d USING (k) JOIN seats s ON r.tree = s.tree, (SELECT h FROM top WHERE n = 1) t
+"""
+
+
+@_query
+def op12_interval_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its row, half of them altered, leads to the root."""
+    return manifest.verify(table(spark, folder, "documents"))
+
+
+@_query
+def op13_weakly_supervised_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: the strict spans, and those that the trained classifier adds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = personal.find(docs, personal.learn(docs))
+    return found.select("_row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
