@@ -156,20 +156,35 @@ def stack_rows(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def key_range(rows: DataFrame, on: Sequence[str]) -> Column | None:
+    """A condition on stored keys that holds wherever a key of ``rows`` may be found; nothing if there is no row.
+
+    A least and a largest value per key column, so that the scan can leave out files and row groups beyond them.
+    """
+    ends = rows.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in on for f in (F.min, F.max)]).first()
+    if any(v is None for v in ends):
+        return None
+    return reduce(lambda a, b: a & b, [F.col(k).between(F.lit(ends[f"min_{k}"]), F.lit(ends[f"max_{k}"])) for k in on])
+
+
 def drop_existing(
     rows: DataFrame, stored: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES, **limits: int
 ) -> DataFrame:
     """Rows whose key is not stored yet; in a key, a null equals a null.
 
-    A batch that fits is sent to the stored keys, which are then read once and not shuffled; only the
-    keys found on both sides come back.  A larger batch meets the distinct stored keys in a shuffle.
+    Only stored keys in the range of the rows' own are read.  A batch that fits is sent to them, so that they are not
+    shuffled and only the keys found on both sides come back; a larger batch meets the distinct stored keys in a
+    shuffle.  ``rows`` are read several times: write them first where they are costly to compute.
     """
     holed = _any_null(on)
     stored_holed = stored.select(*[F.col(c).alias(f"_stored_{c}") for c in on]).filter(_any_null([f"_stored_{c}" for c in on]))
     equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_stored_{c}")) for c in on])
     new_holed = rows.filter(holed).join(stored_holed.distinct(), equal, "left_anti")
-    rows, stored = rows.filter(~holed), stored.filter(~holed)
-    arriving, known = rows.select(*on), stored.select(*on)
+    rows = rows.filter(~holed)
+    near = key_range(rows, on)
+    if near is None:
+        return new_holed
+    arriving, known = rows.select(*on), stored.filter(near).select(*on)
     if fits_broadcast(arriving, broadcast_bytes):
         found = known.join(F.broadcast(arriving.distinct()), list(on), "left_semi")
         known = written_table(found.distinct(), "keys-found")

@@ -1,15 +1,18 @@
 """Column profiles.
 
-Distinct counts, modes and exact percentiles all come from one table of value
-counts, built with one map-side combined aggregation over the unpivoted columns.
-No value list of a column is ever gathered in one place.
+Distinct counts and modes come from one table of value counts, built with one
+map-side combined aggregation over the unpivoted columns; exact percentiles from
+brackets around them, so that only the values near a percentile are moved.  No
+value list of a column is ever gathered in one place.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +21,8 @@ from shelfcast.operators.ordering import dense_position, first_rows, running_tot
 from shelfcast.shared import written_table
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Parts of the rows by which the sketch of a percentile may be off.
+ACCURACY = 10_000
 _CATEGORICAL = (T.StringType, T.BooleanType)
 
 
@@ -124,38 +129,69 @@ def describe_categoricals(df: DataFrame, columns: Sequence[str] | None = None) -
     )
 
 
-def percentiles(counts: DataFrame, fractions: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact percentiles per variable, linear between neighbours: ``variable, fraction, value``.
+def _inside(column: Column, brackets: Sequence[tuple[float, float]]) -> Column:
+    return reduce(lambda a, b: a | b, [column.between(low, high) for low, high in brackets], F.lit(False))
 
-    Each rank is looked up in the running count of the sorted values, so the work is spread over
-    ranges of values even when one column or one value dominates.
-    """
-    numbers = counts.filter(F.col("number").isNotNull()).select("variable", "number", "n")
-    ranked = running_total(numbers, ["variable", "number"], "n", "_upto")
-    ends = ranked.groupBy("variable").agg(F.min(F.col("_upto") - F.col("n")).alias("_before"), F.sum("n").alias("_all"))
-    fraction = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
-    wanted = ends.select("variable", "_before", "_all", fraction)  # columns times fractions
-    place = F.col("fraction") * (F.col("_all") - 1)
-    found = ranked.join(F.broadcast(wanted), "variable").select(
-        "variable", "fraction", "number", place.alias("_place"),
-        (F.col("_upto") - F.col("_before") - F.col("n")).alias("_first"),
-        (F.col("_upto") - F.col("_before")).alias("_next"),
-    )
-    low = (F.col("_first") <= F.floor("_place")) & (F.floor("_place") < F.col("_next"))
-    high = (F.col("_first") <= F.ceil("_place")) & (F.ceil("_place") < F.col("_next"))
-    return (
-        found.filter(low | high)
-        .groupBy("variable", "fraction", "_place")
-        .agg(F.min("number").alias("_low"), F.max("number").alias("_high"))
-        .select(
-            "variable", "fraction",
-            (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_place") - F.floor("_place"))).alias("value"),
-        )
-    )
 
+def percentiles(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float] = QUARTILES, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Exact percentiles per variable, linear between neighbours: ``variable, fraction, value``; none for an empty column.
 
-def _percentile_columns(counts: DataFrame, fractions: Sequence[float]) -> DataFrame:
-    found = percentiles(counts, fractions)
+    Selection by brackets, all columns at once: a sketch gives each percentile a lower and an upper value, a second pass
+    counts exactly what lies below and up to them, and only the values inside a bracket, some of ``accuracy`` parts of the
+    rows, are shuffled and put in order.  A bracket that the exact counts show to miss its rank becomes the whole column.
+    """
+    fractions = [float(f) for f in fractions]
+    numbers = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    # a percentile's rank may be off by one part; the two marks lie two parts beside it
+    marks = [min(max(f + side * 2 / accuracy, 0.0), 1.0) for f in fractions for side in (-1, 1)]
+    sketch = numbers.agg(*[
+        F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"), F.percentile_approx(c, marks, accuracy).alias("at")).alias(c)
+        for c in columns
+    ]).first()
+    wanted = [(c, f, sketch[c]["at"][2 * i], sketch[c]["at"][2 * i + 1]) for c in columns if sketch[c]["n"] for i, f in enumerate(fractions)]
+    schema = "variable string, fraction double, value double"
+    if not wanted:
+        return df.sparkSession.createDataFrame([], schema)
+    counted = numbers.agg(*[
+        F.struct(F.count_if(F.col(c) < low).alias("below"), F.count_if(F.col(c) <= high).alias("upto")).alias(f"_{k}")
+        for k, (c, _, low, high) in enumerate(wanted)
+    ]).first()
+    known, open_ = [], []
+    for k, (c, f, low, high) in enumerate(wanted):
+        place, below = f * (sketch[c]["n"] - 1), counted[f"_{k}"]["below"]
+        if not (below <= math.floor(place) and math.ceil(place) < counted[f"_{k}"]["upto"]):
+            low, high, below = sketch[c]["low"], sketch[c]["high"], 0
+        if low == high:
+            known.append((c, f, low))
+        else:
+            open_.append((c, f, low, high, below, place))
+    found = df.sparkSession.createDataFrame(known, schema)
+    if not open_:
+        return found
+    own = {c: [(x[2], x[3]) for x in open_ if x[0] == c] for c in columns}
+    cells = numbers.select(*[F.when(_inside(F.col(c), own[c]), F.col(c)).alias(c) for c in columns if own[c]])
+    cells = cells.unpivot([], cells.columns, "variable", "number").filter("number IS NOT NULL")
+    values = cells.groupBy("variable", "number").agg(F.count(F.lit(1)).alias("n"))
+    asked = df.sparkSession.createDataFrame(
+        open_, "variable string, fraction double, _low double, _high double, _below bigint, _place double"
+    )  # columns times fractions
+    held = values.join(F.broadcast(asked), "variable").filter(F.col("number").between(F.col("_low"), F.col("_high")))
+    ranked = running_total(held, ["variable", "fraction", "number"], "n", "_upto")
+    before = ranked.groupBy("variable", "fraction").agg(F.min(F.col("_upto") - F.col("n")).alias("_before"))
+    ranked = ranked.join(F.broadcast(before), ["variable", "fraction"])  # a row per column and fraction
+    last = F.col("_below") + F.col("_upto") - F.col("_before")
+    first = last - F.col("n")
+    low = (first <= F.floor("_place")) & (F.floor("_place") < last)
+    high = (first <= F.ceil("_place")) & (F.ceil("_place") < last)
+    sorted_out = ranked.filter(low | high).groupBy("variable", "fraction", "_place").agg(F.min("number").alias("_low"), F.max("number").alias("_high"))
+    between = F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_place") - F.floor("_place"))
+    return found.unionByName(sorted_out.select("variable", "fraction", between.alias("value")))
+
+
+def _percentile_columns(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    found = percentiles(df, columns, fractions)
     return found.groupBy("variable").agg(*[
         F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(f"{f * 100:g}%") for f in fractions
     ])
@@ -186,8 +222,7 @@ def describe_numericals(
     On request also the quartiles, and the first and last value by ``order``.
     """
     columns = list(columns or numeric_columns(df))
-    counts = _counted(df, columns)
-    described = _per_column(df, _basics(counts)).withColumnRenamed("type", "dtype")
+    described = _per_column(df, _basics(value_counts(df, columns))).withColumnRenamed("type", "dtype")
     extra: list[str] = []
     if include_additional_examples:
         if order is None:
@@ -202,7 +237,7 @@ def describe_numericals(
         described = described.join(F.broadcast(ends), "variable")
         extra += ["first_value", "last_value"]
     if include_percentiles:
-        quartiles = _percentile_columns(counts, QUARTILES)
+        quartiles = _percentile_columns(df, columns, QUARTILES)
         described = described.join(F.broadcast(quartiles), "variable", "left")
         extra += ["25%", "50%", "75%"]
     described = described.join(F.broadcast(_moments(df, columns, ["max", "mean", "std"])), "variable")
@@ -225,7 +260,7 @@ def describe_table(df: DataFrame, decimals: int = 2) -> dict[str, DataFrame]:
 def summarize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum of each numeric column."""
     columns = list(columns or numeric_columns(df))
-    quartiles = _percentile_columns(_counted(df, columns), QUARTILES)
+    quartiles = _percentile_columns(df, columns, QUARTILES)
     basics = _moments(df, columns, ["count", "mean", "std", "min", "max"])
     return basics.join(F.broadcast(quartiles), "variable", "left").select(
         "variable", "count", "mean", "std", "min", "25%", "50%", "75%", "max"

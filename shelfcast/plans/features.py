@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from shelfcast.functions.columns import as_text, choose_columns, in_order, on_promotion, rename
 from shelfcast.functions.dates import parse_date, replace_date, sales_date_features
 from shelfcast.functions.texts import refine_special_days
-from shelfcast.operators.fill import fill_by_calendar, fill_with_flag
-from shelfcast.operators.joins import attach
+from shelfcast.operators.fill import fill_along, fill_by_calendar, fill_with_flag
+from shelfcast.operators.joins import attach, stack_rows
 from shelfcast.operators.lags import lag_columns
 from shelfcast.operators.ordering import BUCKET_ROWS, dense_position, first_rows
+from shelfcast.operators.splits import in_train
+from shelfcast.plans.indexing import category_counts, category_index, dictionary_sizes, numbered, replace_by_number
 from shelfcast.plans.stages import MinMaxColumns, indicator_columns, known_categories, scaled
 from shelfcast.shared import written_table
 
@@ -187,20 +189,8 @@ class PreparationFit:
     categories: dict[str, list[str]] | None = None
     #: variable, value, number: a row per category, most frequent first; null where columns are named
     index: DataFrame | None = None
-
-
-def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable``, ``value``, ``number``: the categories of each column as text, by falling frequency, ties by value.
-
-    Counted in one pass and numbered in one distributed sort, so the count of categories is not limited.
-    """
-    cells = df.select(*[as_text(df, c).alias(c) for c in columns])
-    counts = cells.unpivot([], list(columns), "variable", "value").filter(F.col("value").isNotNull())
-    counts = counts.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("_n"))
-    placed = written_table(dense_position(counts, ["variable", F.col("_n").desc(), "value"], "_at"), "category-places")
-    starts = F.broadcast(placed.groupBy("variable").agg(F.min("_at").alias("_start")))  # a row per column
-    numbered = placed.join(starts, "variable").select("variable", "value", (F.col("_at") - F.col("_start")).alias("number"))
-    return written_table(numbered, "category-index")
+    #: per column the number of categories and the bytes of its dictionary
+    sizes: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 @dataclass
@@ -213,6 +203,9 @@ class Preparation:
     ``fit`` learns the first date, the bounds and the categories; ``transform`` applies them to any
     rows.  Rows are lagged while they are still narrow and encoded afterwards: an indicator of an
     earlier category equals the earlier indicator, and far fewer columns are shuffled.
+
+    A lag is a shift that is then filled from below, as :func:`shelfcast.operators.lags.rolling_window` does it: leading
+    rows and gaps take the next known value of the shifted column.  A missing category is a value like any other.
     """
 
     window_size: int = 3
@@ -234,38 +227,79 @@ class Preparation:
         model = MinMaxColumns(columns=list(self.scaled)).fit(rows)
         if self.named:
             return PreparationFit(first_date(rows), model.getBounds(), known_categories(rows, self.categories))
-        return PreparationFit(first_date(rows), model.getBounds(), index=category_index(rows, self.categories))
+        index = category_index(rows, self.categories)
+        return PreparationFit(first_date(rows), model.getBounds(), index=index, sizes=dictionary_sizes(index))
+
+    def fit_folds(self, merged: DataFrame, folds: Sequence[int], fold_column: str = "fold", growing: bool = False) -> dict[int, PreparationFit]:
+        """The fit of each fold's training rows, all from one pass over the rows.
+
+        Bounds, first dates and category counts are taken per fold; a training side's are those of its folds together.
+        Closing gaps repeats known prices, so it changes no bound, and a missing number of transactions counts as 0.
+        """
+        rows = merged if "special_day_offset" in merged.columns else refine_special_days(merged)
+        rows = written_table(fill_transactions(rows).select(*dict.fromkeys([fold_column, "date", *self.scaled, *self.categories])), "fitted-rows")
+        numbers = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in self.scaled}
+        bounds = rows.groupBy(fold_column).agg(
+            F.min("date").alias("_origin"), *[f(x).alias(f"_{f.__name__}_{c}") for c, x in numbers.items() for f in (F.min, F.max)]
+        ).collect()  # a row per fold
+        counts = written_table(category_counts(rows, self.categories, [fold_column]), "category-counts")
+        trained = [counts.filter(in_train(fold_column, f, growing)).withColumn("_side", F.lit(f).cast("int")) for f in folds]
+        summed = stack_rows(*trained).groupBy("_side", "variable", "value").agg(F.sum("_n").alias("_n"))
+        index = numbered(summed, ["_side"])
+        weighed = index.groupBy("_side", "variable").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 48).alias("bytes")).collect()
+
+        def ends(part: list, c: str) -> tuple[float | None, float | None]:
+            low, high = ([r[f"_{f}_{c}"] for r in part if r[f"_{f}_{c}"] is not None] for f in ("min", "max"))
+            return (min(low), max(high)) if low else (None, None)
+
+        found = {}
+        for f in folds:
+            part = [r for r in bounds if (r[fold_column] < f if growing else r[fold_column] != f)]
+            dates = [r["_origin"] for r in part if r["_origin"] is not None]
+            found[f] = PreparationFit(
+                str(min(dates)) if dates else "1970-01-01", {c: ends(part, c) for c in self.scaled},
+                index=index.filter(F.col("_side") == f).drop("_side"),
+                sizes={r["variable"]: (r["n"], r["bytes"]) for r in weighed if r["_side"] == f},
+            )
+        return found
 
     def transform(self, merged: DataFrame, fitted: PreparationFit) -> DataFrame:
         rows = replace_date(self.filled(merged), F.lit(fitted.origin).cast("date"))
         values = [c for c in rows.columns if c != "id"]
         steps = range(1, self.window_size)
+        rest = [c for c in values if c not in self.scaled and c not in self.categories and c != self.target]
+        targets = [c for c in (self.target,) if c in values]
         texts = {c: as_text(rows, c) for c in self.categories}
         if steps:
-            narrow = self._indexed(dense_position(rows.withColumns(texts), self.order, "_place"), fitted)
-            rows = lag_columns(
-                narrow, values, steps, "_place", head_from_first=True, bucket_rows=self.bucket_rows
-            )
+            rows = dense_position(rows.withColumns(texts), self.order, "_place")
+            rows = self._lagged(self._indexed(rows, fitted), values, steps)
             lag_flag = [(F.col("_place") < self.window_size).alias("row_was_lagg_backfilled")]
         else:
             rows, lag_flag = self._indexed(rows.withColumns(texts), fitted), []
-        rest = [c for c in values if c not in self.scaled and c not in self.categories and c != self.target]
         return rows.select(
-            "id",
-            *[c for c in (self.target,) if c in values],
-            *self._encoded("", rest, fitted),
-            *lag_flag,
-            *[x for k in steps for x in self._encoded(
-                f"_lag_{k}", rest + [c for c in (self.target,) if c in values], fitted
-            )],
+            "id", *targets, *self._encoded("", rest, fitted), *lag_flag,
+            *[x for k in steps for x in self._encoded(f"_lag_{k}", rest + targets, fitted)],
         )
 
+    def _lagged(self, rows: DataFrame, values: Sequence[str], steps: Sequence[int]) -> DataFrame:
+        """``rows`` with the lags of ``values``; where a column has gaps, its next known value and that value's place
+        are found once, and each lag takes them if the shifted column still reaches that far."""
+        plain = [c for c in values if c not in self.categories]
+        gaps = rows.agg(F.max("_place").alias("_place"), *[F.max(F.col(c).isNull()).alias(c) for c in plain]).first()
+        holed = [c for c in plain if gaps[c]]
+        known = {f"_next_{c}": F.col(c) for c in holed} | {f"_at_{c}": F.when(F.col(c).isNotNull(), F.col("_place")) for c in holed}
+        if holed:
+            rows = fill_along(rows.withColumns(known), list(known), "_place", backward=True)
+        whole = [c for c in values if c not in holed]
+        out = lag_columns(rows, [*whole, *known], steps, "_place", head_from_first=True, bucket_rows=self.bucket_rows)
+        reached = {
+            f"{c}_lag_{k}": F.when(F.col(f"_at_{c}_lag_{k}") <= gaps["_place"] - k, F.col(f"_next_{c}_lag_{k}")) for c in holed for k in steps
+        }
+        return out.withColumns(reached) if reached else out
+
     def _indexed(self, rows: DataFrame, fitted: PreparationFit) -> DataFrame:
-        """The texts of the categories replaced by their numbers, once the rows are in order."""
-        for c in () if self.named else self.categories:
-            index = fitted.index.filter(F.col("variable") == c).select(F.col("value").alias(c), F.col("number").alias("_number"))
-            rows = attach(rows, index, [c]).drop(c).withColumnRenamed("_number", c)
-        return rows
+        """The texts of the categories replaced by their numbers, all in one pass."""
+        return rows if self.named else replace_by_number(rows, fitted.index, fitted.sizes, self.categories)
 
     def _encoded(self, end: str, rest: Sequence[str], fitted: PreparationFit) -> list[Column]:
         numbers = [

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+import itertools
+import json
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -64,6 +68,26 @@ def with_residual(predictions: DataFrame, label: str) -> DataFrame:
     return predictions.withColumn("residual", F.col(label) - F.col("prediction"))
 
 
+def fold_models(
+    estimator: Estimator, rows: DataFrame, folds: Sequence[int], fold_column: str = "fold", growing: bool = False
+) -> Iterator[tuple[int, Model, DataFrame]]:
+    """Of each fold the model of its training rows, and these as the model's first stage has made them.
+
+    Where a pipeline begins with a stage that can fit all folds in one pass (``fit_folds``), it does; that stage's output
+    is stored, so that the rest is fitted on it and the training rows are predicted from it without preparing them again.
+    """
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else []
+    first = stages[0].fit_folds(rows, folds, fold_column, growing) if stages and hasattr(stages[0], "fit_folds") else {}
+    for fold in folds:
+        train = rows.filter(in_train(fold_column, fold, growing))
+        if fold not in first:
+            yield fold, estimator.fit(train), train
+            continue
+        made = written_table(first[fold].transform(train.drop(fold_column)), "prepared")
+        rest = Pipeline(stages=stages[1:]).fit(made)
+        yield fold, PipelineModel([first[fold], *rest.stages]), made
+
+
 def fold_predictions(
     estimator: Estimator,
     rows: DataFrame,
@@ -74,19 +98,18 @@ def fold_predictions(
 ) -> DataFrame:
     """Fit once per fold and predict its test rows (and training rows), with ``in_fold`` and ``side``.
 
-    Fits run one after the other, each over the executors; the rows are computed once and written
-    by fold, so that a side reads its own folds only.
+    Each fit runs over the executors; the rows are computed once and written by fold, so that a side reads its own
+    folds only.  A stage that looks at neighbouring rows sees those of the side, as it would if the side were a table.
     """
     rows = written_table(rows, "folds", [fold_column])
     made = []
-    for fold in folds:
-        train = rows.filter(in_train(fold_column, fold, growing))
-        model = estimator.fit(train)
-        sides = {"test": rows.filter(F.col(fold_column) == fold)}
+    for fold, model, train in fold_models(estimator, rows, folds, fold_column, growing):
+        test = rows.filter(F.col(fold_column) == fold)
+        prepared = isinstance(model, PipelineModel) and fold_column not in train.columns
+        sides = {"test": predict(model, test.drop(fold_column) if prepared else test)}
         if train_too:
-            sides["train"] = train
-        for side, part in sides.items():
-            made.append(predict(model, part).withColumns({"in_fold": F.lit(fold), "side": F.lit(side)}))
+            sides["train"] = predict(PipelineModel(model.stages[1:]) if prepared else model, train)
+        made += [part.withColumns({"in_fold": F.lit(fold), "side": F.lit(side)}) for side, part in sides.items()]
     return stack_rows(*made)
 
 
@@ -158,6 +181,80 @@ def search(
     return fitted, rows.sparkSession.createDataFrame(trials, schema)
 
 
+class Trials:
+    """Trials over a pipeline's parameters that share what their pipelines have in common.
+
+    The stages of all trials form a graph: a node is a fold, the digest of the parameters of all stages so far, and that
+    stage fitted on what the node before it has stored.  Two trials that differ in the regressor only prepare the rows
+    once.  A node's rows are stored where another stage follows; the last stage's models are fitted and scored from them.
+    """
+
+    def __init__(self, stages: Sequence[Any], rows: DataFrame, folds: Sequence[int], fold_column: str = "fold", growing: bool = False):
+        self.stages, self.folds = list(stages), list(folds)
+        self.rows = written_table(rows, "folds", [fold_column])
+        self.fold_column, self.growing = fold_column, growing
+        self.nodes: dict[tuple, tuple[Any, DataFrame, DataFrame]] = {}
+        self.first: dict[str, dict[int, Model]] = {}
+
+    def _digest(self, upto: int, params: Mapping[Param, Any]) -> str:
+        own = [sorted((p.name, str(params.get(p, stage.getOrDefault(p) if stage.isDefined(p) else None))) for p in stage.params) for stage in self.stages[: upto + 1]]
+        return hashlib.sha256(json.dumps([[type(s).__name__, o] for s, o in zip(self.stages, own)]).encode()).hexdigest()
+
+    def _fit(self, fold: int, upto: int, params: Mapping[Param, Any], train: DataFrame) -> Any:
+        stage = self.stages[upto]
+        if upto == 0 and hasattr(stage, "fit_folds"):
+            key = self._digest(0, params)
+            if key not in self.first:
+                self.first[key] = stage.copy(dict(params)).fit_folds(self.rows, self.folds, self.fold_column, self.growing)
+            return self.first[key][fold]
+        return stage.copy(dict(params)) if isinstance(stage, Transformer) else stage.fit(train, dict(params))
+
+    def sides(self, fold: int, upto: int, params: Mapping[Param, Any]) -> tuple[Any, DataFrame, DataFrame]:
+        """The fitted stage ``upto`` of a trial in a fold, and the training and test rows that it has made."""
+        if upto < 0:
+            rows, own = self.rows, F.col(self.fold_column)
+            return None, rows.filter(in_train(self.fold_column, fold, self.growing)).drop(self.fold_column), rows.filter(own == fold).drop(self.fold_column)
+        key = (fold, upto, self._digest(upto, params))
+        if key not in self.nodes:
+            _, train, test = self.sides(fold, upto - 1, params)
+            own = {p: v for p, v in params.items() if self.stages[upto].hasParam(p.name) and p.parent == self.stages[upto].uid}
+            model = self._fit(fold, upto, own, train)
+            made = [model.transform(part) for part in (train, test)]
+            # what a plain column step makes is cheaper made again than stored
+            if upto < len(self.stages) - 1 and not isinstance(self.stages[upto], Transformer):
+                made = [written_table(part, "trial-stage") for part in made]
+            self.nodes[key] = (model, *made)
+        return self.nodes[key]
+
+
+def search_pipeline(
+    pipeline: Pipeline, grid: Mapping[Param, Sequence[Any]], rows: DataFrame, label: str, folds: Sequence[int], fold_column: str = "fold",
+    growing: bool = False, metric: str = "neg_mean_squared_error",
+) -> tuple[PipelineModel, DataFrame]:
+    """Try every combination of parameters of any stages on the given folds; the best mean test score wins, the first of equals.
+
+    Returns the pipeline refitted on all rows with the best parameters, and the trials: parameters as text, the mean
+    score (higher is better), how many folds it is the mean of, whether it won.  A combination is a column per
+    parameter, named ``<stage number>_<parameter>``.
+    """
+    stages = pipeline.getStages()
+    trials = Trials(stages, rows, folds, fold_column, growing)
+    place = {p: f"{[s.uid for s in stages].index(p.parent)}_{p.name}" for p in grid}
+    combinations = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    means = []
+    for params in combinations:
+        predicted = [trials.sides(f, len(stages) - 1, params)[2].select(label, "prediction").withColumn("in_fold", F.lit(f)) for f in folds]
+        per_fold = scores(stack_rows(*predicted), label, ["in_fold"])
+        means.append(per_fold.agg(F.avg(metric), F.count(metric)).first())
+    best = max(range(len(means)), key=lambda k: (means[k][0] is not None, means[k][0], -k))
+    table = [
+        tuple(str(params[p]) for p in grid) + (means[k][0], means[k][1], k == best) for k, params in enumerate(combinations)
+    ]
+    schema = ", ".join([*[f"`{place[p]}` string" for p in grid], f"mean_{metric} double", "folds bigint", "is_best boolean"])
+    won = pipeline.fit(rows.drop(fold_column), combinations[best])
+    return won, rows.sparkSession.createDataFrame(table, schema)
+
+
 def score_rows(model: Model, rows: DataFrame, key: str = "id", name: str = "sales") -> DataFrame:
     """The answer file: key and prediction."""
     return predict(model, rows).select(key, F.col("prediction").alias(name))

@@ -253,6 +253,11 @@ class OneHotColumns(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
         return model._set(categories=json.dumps(found), inPlace=in_place, nullIndicator=in_place)
 
 
+def fill_numbers(df: DataFrame, columns: Sequence[str], value: float = -1.0) -> DataFrame:
+    """The columns as doubles, nulls replaced, for models that take no gaps."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(value))) for c in columns})
+
+
 def prefix(model: PipelineModel | Pipeline, steps: int) -> PipelineModel | Pipeline:
     """The first steps of a pipeline, to look at what they make."""
     if isinstance(model, PipelineModel):

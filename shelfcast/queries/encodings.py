@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import choose_columns
 from shelfcast.operators.joins import attach, stack_rows
-from shelfcast.plans.features import CATEGORIES, Preparation, merged_features, parse_sale_dates, rename_sales_basics
+from shelfcast.plans.features import CATEGORIES, SCALED, Preparation, merged_features, parse_sale_dates, rename_sales_basics
 from shelfcast.plans.groups import frequency_index, oil_price_group, store_group
+from shelfcast.plans.indexing import IndexColumns
+from shelfcast.plans.preparation import PrepareFeatures
 from shelfcast.plans.stages import (
     ColumnDropper, ColumnSelector, FunctionStep, MinMaxColumns, OneHotColumns, VectorToArray, mean_imputer, prefix,
 )
 from shelfcast.queries import query
 from shelfcast.queries.views import ALL, FILLED, MERGED, OIL, SALES, SPECIAL_DAYS, STORES, sql, star, table
+from shelfcast.shared import fresh_path, written_table
 from shelfcast.sources.registry import DATASETS
 
 EARLY = "date < DATE '1999-06-01'"
@@ -139,7 +142,7 @@ def _store_columns_sql() -> str:
         f"FROM stores GROUP BY {c})" for c in ("city", "state", "type", "cluster")
     )
     columns = ", ".join(
-        f"{c}_r.i::DOUBLE AS {c}_numeric, "
+        f"{c}_r.i AS {c}_numeric, "
         f"array_to_string([(x = {c}_r.i)::INT FOR x IN range(0, (SELECT COUNT(*) FROM {c}_ranked) - 1)], ',') AS {c}_ohe" for c in ("city", "state", "type", "cluster")
     )
     joins = " ".join(f"JOIN {c}_ranked {c}_r ON s.{c} = {c}_r.v" for c in ("city", "state", "type", "cluster"))
@@ -185,7 +188,7 @@ LAGGED = [
 ]
 
 
-@query("j10_feature_table", sql(*ALL, MERGED, FILLED, PREPARED, f"""
+@query("j10_named_indicators", sql(*ALL, MERGED, FILLED, PREPARED, f"""
   SELECT * EXCLUDE (place), place < 3 AS row_was_lagg_backfilled, {', '.join(
     f'COALESCE(LAG("{c}", {k}) OVER (ORDER BY place), FIRST_VALUE("{c}") OVER (ORDER BY place)) AS "{c}_lag_{k}"'
     for k in (1, 2) for c in LAGGED)} FROM encoded"""))
@@ -198,6 +201,100 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return choose_columns(made, shown)
 
 
+#: Columns of the full feature table that are neither scaled nor a category, and their SQL over ``placed``.
+DATED = {
+    "days_since_start": "(date - {origin})::INT", "day_of_year": "dayofyear(date)::INT", "day_of_month": "day(date)::INT",
+    "day_of_week": "(isodow(date) - 1)::INT", "is_15th": "(day(date) = 15)::INT", "is_last_day_of_month": "(date = last_day(date))::INT",
+}
+TEXT_SQL = {c: f"{c}::VARCHAR" for c in CATEGORIES} | {
+    "special_day_transferred": "CASE special_day_transferred WHEN TRUE THEN 'True' WHEN FALSE THEN 'False' END"
+}
+PLAIN = (*SCALED, "all_transactions_filled", "special_day_offset", *DATED, "products_of_family_on_promotion", "sales")
+
+
+def prepared_sql(window: int, fitted: str = "TRUE", gaps: bool = False) -> str:
+    """The full feature table as table expression ``features``, fitted on the rows of ``placed`` with condition ``fitted``."""
+    holes = """gapped AS (SELECT * REPLACE (
+      CASE WHEN id % 53 < 2 OR id >= (SELECT MAX(id) FROM placed) - 1 THEN NULL ELSE sales END AS sales,
+      CASE WHEN id % 41 = 3 THEN NULL ELSE products_of_family_on_promotion END AS products_of_family_on_promotion) FROM placed)"""
+    source = "gapped" if gaps else "placed"
+    known = f"known AS (SELECT * FROM {source} WHERE {fitted})"
+    numbers = [
+        f"{c}_numbers AS (SELECT {t} AS v, row_number() OVER (ORDER BY COUNT(*) DESC, {t}) - 1 AS i FROM known WHERE {c} IS NOT NULL GROUP BY 1)"
+        for c, t in TEXT_SQL.items()
+    ]
+    scales = ", ".join(f"{_scaled_sql(c, 'known')} AS {c}" for c in SCALED)
+    dated = ", ".join(f"{x.format(origin='(SELECT MIN(date) FROM known)')} AS {c}" for c, x in DATED.items())
+    coded = ", ".join(f"{c}_numbers.i AS {c}_index" for c in CATEGORIES)
+    joins = " ".join(f"LEFT JOIN {c}_numbers ON {t} = {c}_numbers.v" for c, t in TEXT_SQL.items())
+    rows = f"""coded AS (SELECT place, id, sales, {scales}, {coded}, all_transactions_filled, special_day_offset, {dated},
+      products_of_family_on_promotion FROM {source} {joins})"""
+    steps = range(1, window)
+    shifted = ", ".join(
+        [f'LAG("{c}", {k}) OVER (ORDER BY place) AS "{c}_lag_{k}"' for k in steps for c in PLAIN]
+        + [f'CASE WHEN place < {k} THEN FIRST_VALUE({c}_index) OVER (ORDER BY place) ELSE LAG({c}_index, {k}) OVER (ORDER BY place) END'
+           f' AS {c}_index_lag_{k}' for k in steps for c in CATEGORIES]
+    )
+    filled = ", ".join(
+        f'FIRST_VALUE("{c}_lag_{k}" IGNORE NULLS) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS "{c}_lag_{k}"'
+        for k in steps for c in PLAIN
+    )
+    return ",\n".join([
+        *([holes] if gaps else []), known, *numbers, rows, f"shifted AS (SELECT *, {shifted} FROM coded)",
+        f"features AS (SELECT * REPLACE ({filled}), place < {window} AS row_was_lagg_backfilled FROM shifted)",
+    ])
+
+
+def with_gaps(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with gaps in the sales and the promotions, some of them at its two ends."""
+    facts = tables["sales"]
+    last = facts.agg(F.max("id").alias("last")).select("last").scalar()
+    gap = (F.col("id") % 53 < 2) | (F.col("id") >= last - 1)
+    holed = {"sales": F.when(~gap, F.col("sales")), "onpromotion": F.when(F.col("id") % 41 != 3, F.col("onpromotion"))}
+    return tables | {"sales": facts.withColumns(holed)}
+
+
+@query("j10_feature_table", sql(*ALL, MERGED, FILLED, PREPARED, prepared_sql(3, gaps=True), "SELECT * EXCLUDE (place) FROM features"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    merged = written_table(merged_features(with_gaps(star(spark, folder)), refine_days=True), "merged")
+    return PrepareFeatures(windowSize=3).fit(merged).transform(merged)
+
+
+@query("j10_saved_preparation", sql(*ALL, MERGED, FILLED, PREPARED, prepared_sql(2, EARLY), """
+  SELECT * EXCLUDE (place, row_was_lagg_backfilled) FROM features"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    merged = written_table(merged_features(star(spark, folder), refine_days=True), "merged")
+    steps = Pipeline(stages=[PrepareFeatures(windowSize=2), ColumnDropper(columns=["row_was_lagg_backfilled"])])
+    path = fresh_path(spark, "preparation")
+    steps.fit(merged.filter(EARLY)).write().save(path)
+    return PipelineModel.load(path).transform(merged)
+
+
+def _slots_sql(columns: dict[str, str], source: str, known: str) -> str:
+    """Sparse vectors as text: a slot per category, one for null, one for a category that the fitted rows lack."""
+    numbers = [
+        f"{c}_numbers AS (SELECT {t} AS v, row_number() OVER (ORDER BY COUNT(*) DESC, {t}) - 1 AS i FROM {source} WHERE {known} AND {t} IS NOT NULL GROUP BY 1)"
+        for c, t in columns.items()
+    ]
+    size = {c: f"(SELECT COUNT(*) + 2 FROM {c}_numbers)" for c in columns}
+    shown = ", ".join(
+        f"'(' || {size[c]} || ',[' || COALESCE({c}_numbers.i, {size[c]} - CASE WHEN {t} IS NULL THEN 2 ELSE 1 END) || '],[1.0])' AS {c}_vector"
+        for c, t in columns.items()
+    )
+    joins = " ".join(f"LEFT JOIN {c}_numbers ON {t} = {c}_numbers.v" for c, t in columns.items())
+    return ", ".join(numbers) + f" SELECT id, {shown} FROM {source} {joins}"
+
+
+@query("j07_sparse_indicators", "WITH " + ", ".join([*ALL, MERGED]) + ", " + _slots_sql(
+    {"store_nbr": "store_nbr::VARCHAR", "product_family": "product_family", "day_type": "day_type"}, "merged", EARLY + " AND store_nbr % 7 <> 3"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["store_nbr", "product_family", "day_type"]
+    merged = written_table(merged_features(star(spark, folder)).select("id", "date", *columns), "merged")
+    known = merged.filter(EARLY).filter("store_nbr % 7 <> 3")  # the other stores are unseen when it is applied
+    made = IndexColumns(columns=columns, suffix="_vector", vectors=True).fit(known).transform(merged)
+    return made.select("id", *[F.col(f"{c}_vector").cast("string").alias(f"{c}_vector") for c in columns])
+
+
 def _category_totals_sql() -> str:
     """How many rows hold each category, and how many follow one that does."""
     texts = {c: f"{c}::VARCHAR" for c in CATEGORIES}

@@ -145,6 +145,23 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.current(trade.name)
 
 
+@query("d09_update_beside", sql(SALES, """
+  SELECT id, date, store_nbr, CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN -sales ELSE sales END AS sales,
+    CASE WHEN id % 5 = 0 THEN onpromotion + 1 ELSE onpromotion END AS onpromotion,
+    CASE WHEN id % 3 < 2 THEN id * 2 END AS twice FROM sales"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = Warehouse(spark)
+    facts = table(spark, folder, "sales").select("id", "date", "store_nbr", "sales", "onpromotion")
+    warehouse.save(facts, "facts", buckets=8, bucket_by=["id"])
+    values = facts.filter("id % 3 < 2").select(
+        "id", F.when(F.col("id") % 3 == 1, -F.col("sales")).alias("sales"), (F.col("id") * 2).alias("twice")
+    )
+    warehouse.update_beside("facts", values, ["id"], ["sales", "twice"], 8)
+    more = facts.filter("id % 5 = 0").select("id", (F.col("onpromotion") + 1).alias("onpromotion"))
+    warehouse.update_beside("facts", more, ["id"], ["onpromotion"], 8)
+    return warehouse.current("facts")
+
+
 @query("h01_union_of_many", sql(SALES, """
   SELECT id, sales FROM sales WHERE onpromotion = 0 UNION ALL SELECT id, sales FROM sales WHERE onpromotion >= 0
   UNION ALL SELECT id, sales FROM sales WHERE store_nbr = 1"""))

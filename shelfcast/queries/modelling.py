@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +15,19 @@ from shelfcast.operators.splits import (
     fold_identifiers, hold_out, kfold_splits, linked_split, membership, ordered_folds, sequential_parts,
     time_series_folds,
 )
-from shelfcast.plans.features import Preparation, merged_features
-from shelfcast.plans.folds import store_folds, stored_split
+from shelfcast.plans.features import CATEGORIES, SCALED, Preparation, merged_features
+from shelfcast.plans.folds import store_fold_features, store_folds, stored_split
 from shelfcast.plans.groups import fold_features, oil_price_group
 from shelfcast.plans.models import (
     actual_and_predicted, average_scores, boosted_trees, coefficients, cross_validate, daily_baseline, daily_totals,
-    fold_predictions, linear_model, out_of_fold, predict, score_rows, scores, search, validate_outside, with_residual,
+    fold_predictions, linear_model, out_of_fold, predict, score_rows, scores, search, search_pipeline, validate_outside, with_residual,
 )
+from shelfcast.plans.preparation import PrepareFeatures
+from shelfcast.plans.stages import FunctionStep, fill_numbers
 from shelfcast.queries import query
-from shelfcast.queries.views import OIL, SALES, sql, star, table
+from shelfcast.queries.encodings import PLAIN, PREPARED, TEXT_SQL
+from shelfcast.queries.views import ALL, FILLED, MERGED, OIL, SALES, sql, star, table
+from shelfcast.shared import written_table
 from shelfcast.sources.registry import DATASETS
 from shelfcast.sources.warehouse import Warehouse
 
@@ -88,6 +95,27 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return fold_features(oil_price_group(), linked)
 
 
+@query("k05_stored_fold_features", sql(SALES, OIL, f"""parted AS (
+  SELECT DISTINCT date, CAST(id // ({SIZE} // 3) AS INT) AS part FROM sales WHERE id < 3 * ({SIZE} // 3)),
+sided AS (SELECT DISTINCT o.date, o.dcoilwtico AS oil_price, CAST(f AS INT) AS fold,
+    CASE WHEN part = f THEN 'test' ELSE 'train' END AS side FROM oil o JOIN parted p ON o.date = p.date, range(3) r(f)),
+bounds AS (SELECT fold, MIN(oil_price) AS low, MAX(oil_price) AS high FROM sided WHERE side = 'train' GROUP BY fold)""", """
+  SELECT date, oil_price, CAST((oil_price - low) / (high - low) AS FLOAT) AS oil_price_scaled_0_to_1, fold, side
+  FROM sided JOIN bounds USING (fold) WHERE fold < 2"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse, group = Warehouse(spark), oil_price_group()
+    prices = DATASETS["oil_price_by_date"].to_table(table(spark, folder, "oil"))
+    splits = kfold_splits(_sales(spark, folder).select("id", "date"), "id", 3, "sales")[:2]
+    linked = [linked_split(prices, "oil", split, {"date": "date"}) for split in splits]
+    unfinished = replace(linked[1], train=linked[1].train.filter("day(date) = 2"), test=linked[1].test.limit(0))
+    for split in (linked[0], unfinished, linked[1]):  # the second fold is stored twice
+        store_fold_features(warehouse, group, split)
+    bound = [(split.fold, part, group.bound_to(split, part).target) for split in linked for part in ("train", "test")]
+    return stack_rows(*[
+        warehouse.current(name).withColumns({"fold": F.lit(fold), "side": F.lit(part)}) for fold, part, name in bound
+    ])
+
+
 @query("k06_ordered_folds", sql(SALES, FOLDED, "SELECT id, fold FROM folded"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return ordered_folds(_sales(spark, folder).select("id"), "id", 5)
@@ -159,11 +187,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(values, "intercept double, slope double")
 
 
+def _all_features(window: int) -> list[str]:
+    """Every column that preparation makes but the row's key, its label and the mark of its window."""
+    now = [*SCALED, *[f"{c}_index" for c in CATEGORIES], *[c for c in PLAIN if c not in (*SCALED, "sales")]]
+    return now + [f"{c}_lag_{k}" for k in range(1, window) for c in (*now, "sales")]
+
+
+def _prepared_trees(window: int, **params: int) -> Pipeline:
+    """Preparation, gaps marked, boosted trees on all features."""
+    features = _all_features(window)
+    trees = boosted_trees(features, "sales", **params).getStages()
+    return Pipeline(stages=[PrepareFeatures(windowSize=window), FunctionStep.of(fill_numbers, columns=features), *trees])
+
+
 @query("k11_boosted_trees")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    days = dense_position(daily_totals(_sales(spark, folder)), ["date"], "day")
-    model = boosted_trees(["day"], "sales", maxIter=5, maxDepth=3).fit(days)
-    return predict(model, days)
+    merged = written_table(merged_features(star(spark, folder), refine_days=True), "merged")
+    model = _prepared_trees(2, maxIter=5, maxDepth=3).fit(merged)
+    return predict(model, merged).select("id", "sales", "prediction")
 
 
 LINE = """fit AS (SELECT regr_slope(sales, day) AS a, regr_intercept(sales, day) AS b FROM dayed),
@@ -213,6 +254,83 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _folded_star(spark: SparkSession, folder: str, folds: int) -> DataFrame:
+    """The merged rows, each with the fold of its sale."""
+    tables = star(spark, folder)
+    return merged_features(tables | {"sales": ordered_folds(tables["sales"], "id", folds)}, refine_days=True)
+
+
+def _folded_sql(folds: int) -> str:
+    """``parted``: the prepared rows in order, with the fold of their sale."""
+    return f"""sizes AS (SELECT COUNT(*) // {folds} AS q, COUNT(*) % {folds} AS r FROM sales),
+parted AS (SELECT p.*, CAST(CASE WHEN id < r * (q + 1) THEN id // (q + 1) ELSE r + (id - r * (q + 1)) // q END AS INT) AS fold
+  FROM placed p, sizes)"""
+
+
+@query("k13_fold_dictionaries", sql(*ALL, MERGED, FILLED, PREPARED, _folded_sql(5), "cells AS (" + " UNION ALL ".join(
+    f"SELECT fold, '{c}' AS variable, {t} AS value FROM parted" for c, t in TEXT_SQL.items()) + ")", """
+  SELECT CAST(f AS INT) AS fold, variable, value,
+    row_number() OVER (PARTITION BY f, variable ORDER BY COUNT(*) DESC, value) - 1 AS number
+  FROM cells, range(5) r(f) WHERE fold <> f AND value IS NOT NULL GROUP BY f, variable, value"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = Preparation().fit_folds(_folded_star(spark, folder, 5), range(5))
+    return stack_rows(*[fit.index.withColumn("fold", F.lit(f).cast("int")) for f, fit in found.items()])
+
+
+@query("k13_fold_bounds", sql(*ALL, MERGED, FILLED, PREPARED, _folded_sql(5), """
+  SELECT CAST(f AS INT) AS fold, CAST(MIN(date) AS VARCHAR) AS origin, MIN(oil_price) AS oil_low, MAX(oil_price) AS oil_high,
+    MIN(all_products_transactions)::DOUBLE AS transactions_low, MAX(all_products_transactions)::DOUBLE AS transactions_high
+  FROM parted, range(5) r(f) WHERE fold < f GROUP BY f"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = Preparation().fit_folds(_folded_star(spark, folder, 5), range(1, 5), growing=True)
+    rows = [(f, fit.origin, *fit.bounds["oil_price"], *fit.bounds["all_products_transactions"]) for f, fit in found.items()]
+    return spark.createDataFrame(rows, "fold int, origin string, oil_low double, oil_high double, transactions_low double, transactions_high double")
+
+
+def _prepared_line() -> Pipeline:
+    """A line on the sales of the row before, after the whole preparation."""
+    return Pipeline(stages=[PrepareFeatures(windowSize=2), *linear_model(["sales_lag_1"], "sales").getStages()])
+
+
+def _lagged_folds_sql(folds: int, slope: str = "regr_slope(sales, x)", start: str = "regr_intercept(sales, x)") -> str:
+    """``lined``: both sides of every fold, each lagged for itself, with the prediction of the fold's line."""
+    return f"""sided AS (SELECT id, place, sales, CAST(f AS INT) AS in_fold, CASE WHEN fold = f THEN 'test' ELSE 'train' END AS side
+  FROM parted, range({folds}) r(f)),
+lagging AS (SELECT *, COALESCE(LAG(sales) OVER w, sales) AS x FROM sided WINDOW w AS (PARTITION BY in_fold, side ORDER BY place)),
+fits AS (SELECT in_fold, {slope} AS a, {start} AS b FROM lagging WHERE side = 'train' GROUP BY 1),
+lined AS (SELECT id, sales, in_fold, side, a * x + b AS prediction FROM lagging JOIN fits USING (in_fold))"""
+
+
+@query("k13_prepared_validation", sql(*ALL, MERGED, FILLED, PREPARED, _folded_sql(3), _lagged_folds_sql(3),
+    f"SELECT in_fold, side, {SCORE_SQL} FROM lined GROUP BY 1, 2"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown_scores(cross_validate(_prepared_line(), _folded_star(spark, folder, 3), "sales", range(3)))
+
+
+@query("k14_prepared_out_of_fold", sql(*ALL, MERGED, FILLED, PREPARED, _folded_sql(3), _lagged_folds_sql(3), """
+  SELECT id, sales, ROUND(prediction, 3) AS prediction FROM lined WHERE side = 'test'"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    predicted = out_of_fold(_prepared_line(), _folded_star(spark, folder, 3), range(3))
+    return predicted.select("id", "sales", F.round("prediction", 3).alias("prediction"))
+
+
+@query("k17_search_over_preparation", sql(*ALL, MERGED, FILLED, PREPARED, _folded_sql(2), _lagged_folds_sql(2),
+    _lagged_folds_sql(2, "SUM(x * sales) / SUM(x * x)", "0").replace("sided AS", "sided_0 AS").replace("FROM sided ", "FROM sided_0 ")
+    .replace("lagging", "lagging_0").replace("fits", "fits_0").replace("lined AS", "lined_0 AS"), """
+  scored AS (SELECT 'True' AS intercept, in_fold, -AVG((sales - prediction) ^ 2) AS s FROM lined WHERE side = 'test' GROUP BY 2
+    UNION ALL SELECT 'False', in_fold, -AVG((sales - prediction) ^ 2) FROM lined_0 WHERE side = 'test' GROUP BY 2),
+  trials AS (SELECT CAST(w AS VARCHAR) AS "0_windowSize", intercept AS "2_fitIntercept", AVG(s) AS mean, COUNT(*) AS folds
+    FROM scored, range(2, 4) r(w) GROUP BY ALL)""", """
+  SELECT "0_windowSize", "2_fitIntercept", ROUND(mean / 1e6, 4) AS mean_neg_mean_squared_error, folds,
+    row_number() OVER (ORDER BY ROUND(mean, 2) DESC, "0_windowSize", "2_fitIntercept" DESC) = 1 AS is_best FROM trials"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    steps = _prepared_line()
+    prepare, _, line = steps.getStages()
+    grid = {prepare.windowSize: [2, 3], line.fitIntercept: [True, False]}
+    _, trials = search_pipeline(steps, grid, _folded_star(spark, folder, 2), "sales", range(2))
+    return trials.withColumn("mean_neg_mean_squared_error", F.round(F.col("mean_neg_mean_squared_error") / 1e6, 4))
+
+
 @query("k14_out_of_fold", sql(SALES, DAILY, KFOLD, """
   SELECT id, sales, ROUND(prediction, 3) AS prediction FROM predicted WHERE side = 'test'"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,11 +384,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("k18_prepared_features_model")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    merged = merged_features(star(spark, folder))
-    preparation = Preparation(window_size=2, categories=("product_family", "store_type"), named=True)
-    made = preparation.transform(merged, preparation.fit(merged))
-    features = ["oil_price", "days_since_start", "day_of_week", "sales_lag_1", "product_family_PROMO", "store_type_A"]
-    return score_rows(boosted_trees(features, "sales", maxIter=3, maxDepth=3).fit(made), made)
+    """Trees on all prepared features of the rows up to the last sixteen days, applied to these."""
+    merged = written_table(merged_features(star(spark, folder), refine_days=True), "merged")
+    last = merged.agg(F.date_sub(F.max("date"), 16).alias("last")).select("last").scalar()
+    model = _prepared_trees(2, maxIter=10, maxDepth=4).fit(merged.filter(F.col("date") <= last))
+    return score_rows(model, merged.filter(F.col("date") > last))
 
 
 @query("k19_daily_baseline", sql(SALES, DAILY, """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import drop_existing, require_unique
 from shelfcast.operators.ordering import first_rows
+from shelfcast.shared import written_table
 from shelfcast.sources.delimited import read_delimited, read_rows_after
 from shelfcast.sources.registry import DATASETS, LOAD_ORDER, Dataset, borrowed_schema
 from shelfcast.sources.warehouse import Warehouse
@@ -54,7 +55,8 @@ def new_rows(
 ) -> DataFrame:
     """Rows of the file that the table lacks, under the table's names.
 
-    ``by="keys"`` compares keys and is right whatever the order of the file; ``by="position"`` skips
+    ``by="keys"`` compares keys and is right whatever the order of the file (no stored key is read if all of the file's
+    lie above the largest stored one); ``by="position"`` skips
     as many rows as are stored, for files that only ever grow at the end; ``by="newer"`` takes rows
     after the newest stored key.
     """
@@ -64,6 +66,9 @@ def new_rows(
         return dataset.to_table(read_rows_after(warehouse.spark, path, schema, stored.count(), sep=sep))
     rows = dataset.to_table(read_delimited(warehouse.spark, path, schema, sep=sep))
     if by == "keys":
+        rows = written_table(rows, "arrived")  # parsed once, read for its range, its size and its rows
+        if warehouse.all_newer(rows, dataset.name, dataset.keys[0]):
+            return rows
         return drop_existing(rows, stored, dataset.keys)
     if by == "newer":
         return newer_rows(rows, stored, dataset.keys)
@@ -76,9 +81,9 @@ def load_new_rows(warehouse: Warehouse, dataset: Dataset, path: str, by: str = "
     Two new rows under one key are an error, as they would be for a table with that primary key.
     """
     warehouse.create(dataset)
-    rows = new_rows(warehouse, dataset, path, by, sep)
+    rows = written_table(new_rows(warehouse, dataset, path, by, sep), "new-rows")
     require_unique(rows, dataset.keys)
-    warehouse.append(rows, dataset.name)
+    warehouse.append(rows, dataset.name, mark=dataset.keys[0])
 
 
 def load_all(warehouse: Warehouse, folder: str, by: str = "keys", names: Sequence[str] = LOAD_ORDER) -> None:

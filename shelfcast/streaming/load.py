@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.joins import drop_existing, require_unique
+from shelfcast.shared import written_table
 from shelfcast.sources.registry import Dataset
 from shelfcast.sources.warehouse import Warehouse
 
@@ -27,22 +30,36 @@ def land_stream(rows: DataFrame, target: str, progress: str) -> StreamingQuery:
     )
 
 
-def load_stream(rows: DataFrame, warehouse: Warehouse, dataset: Dataset, progress: str) -> StreamingQuery:
-    """Append what has arrived to a stored table.
+def table_sink(warehouse: Warehouse, dataset: Dataset, stream: str) -> Callable[[DataFrame, int], None]:
+    """What to do with each batch of a stream: append the rows whose keys are not stored.
 
-    A batch that is delivered again after a crash finds its keys stored and adds nothing; a file sent
-    twice counts once; two different rows under one key are an error.
+    The batch's number is stored in the step that makes its rows visible, so a batch that is delivered again after a crash
+    is known by it and nothing is read.  Stored keys are searched only if the batch reaches below the largest one, and
+    then only in the range of its own.
     """
-    warehouse.create(dataset)
     keys = list(dataset.keys)
 
-    def add(batch: DataFrame, _batch_id: int) -> None:
+    def add(batch: DataFrame, number: int) -> None:
         there = Warehouse(batch.sparkSession, warehouse.database)  # the stream has a session of its own
-        fresh = drop_existing(batch, there.current(dataset.name), keys).distinct()
+        if number <= there.last_batch(dataset.name, stream):
+            return
+        rows = written_table(batch, "batch")
+        newer = there.all_newer(rows, dataset.name, keys[0])
+        fresh = written_table((rows if newer else drop_existing(rows, there.current(dataset.name), keys)).distinct(), "batch-rows")
         require_unique(fresh, keys)
-        there.append(fresh, dataset.name)
+        there.append(fresh, dataset.name, mark=keys[0], batch=(stream, number))
+
+    return add
+
 
+def load_stream(rows: DataFrame, warehouse: Warehouse, dataset: Dataset, progress: str) -> StreamingQuery:
+    """Append what has arrived to a stored table.
+
+    A batch that is delivered again after a crash adds nothing; a file sent twice counts once; two different rows under
+    one key are an error.
+    """
+    warehouse.create(dataset)
     return (
-        rows.writeStream.foreachBatch(add).option("checkpointLocation", progress)
+        rows.writeStream.foreachBatch(table_sink(warehouse, dataset, progress)).option("checkpointLocation", progress)
         .trigger(availableNow=True).start()
     )

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.operators.influence import (
     influence_by_variable, influence_table, key_influencers, mean_by_category, stacked_influence, strongest_category,
@@ -27,16 +28,40 @@ def mixed(spark):
 
 
 def test_percentiles_equal_numpy(mixed):
-    got = {(r["variable"], r["fraction"]): r["value"] for r in percentiles(value_counts(mixed, ["i", "x"]), (0, 0.1, 0.5, 0.77, 1)).collect()}
+    fractions = (0, 0.1, 0.5, 0.77, 1)
     frame = mixed.toPandas()
-    for c in ("i", "x"):
-        for f in (0, 0.1, 0.5, 0.77, 1):
-            assert got[(c, f)] == pytest.approx(np.nanquantile(frame[c].astype(float), f), abs=1e-12)
+    for accuracy in (4, 20, 10_000):  # coarse sketches have wide brackets, some of which miss
+        got = {(r["variable"], r["fraction"]): r["value"] for r in percentiles(mixed, ["i", "x"], fractions, accuracy).collect()}
+        for c in ("i", "x"):
+            for f in fractions:
+                assert got[(c, f)] == pytest.approx(np.nanquantile(frame[c].astype(float), f), abs=1e-12)
+
+
+def test_only_values_inside_a_bracket_are_moved(spark, monkeypatch):
+    from shelfcast.operators import profile
+
+    moved = []
+    own = profile.running_total
+    monkeypatch.setattr(profile, "running_total", lambda df, *a: moved.append(df.count()) or own(df, *a))
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("x"), F.lit(3.0).alias("y"))
+    got = {(r["variable"], r["fraction"]): r["value"] for r in percentiles(df, ["x", "y"], (0.5,), 1000).collect()}
+    values = np.sort([i * 7919 % 200_003 for i in range(200_000)])
+    assert got == {("x", 0.5): np.quantile(values, 0.5), ("y", 0.5): 3.0}
+    assert len(moved) == 1 and moved[0] < 200_000 / 100
+
+
+def test_a_bracket_that_misses_its_rank_becomes_the_column(spark, monkeypatch):
+    from shelfcast.operators import profile
+
+    own = F.percentile_approx
+    monkeypatch.setattr(profile.F, "percentile_approx", lambda c, marks, n: own(c, [0.0 for _ in marks], n))
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"))
+    assert [r["value"] for r in percentiles(df, ["x"], (0.5,)).collect()] == [50.0]
 
 
 def test_percentiles_of_one_value(spark):
     df = spark.createDataFrame([(7,)], "x int")
-    assert {r["value"] for r in percentiles(value_counts(df, ["x"])).collect()} == {7.0}
+    assert {r["value"] for r in percentiles(df, ["x"]).collect()} == {7.0}
 
 
 def test_nan_counts_as_null_and_zero_has_one_sign(spark):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.shared import fresh_path, shared_folder, written_table
@@ -245,3 +246,99 @@ def test_streams_take_each_file_once(spark, tmp_path):
     # a stream that lost its progress delivers everything again
     load_stream(arriving_rows(spark, TRADE, str(folder)), warehouse, TRADE, str(tmp_path / "p3")).awaitTermination()
     assert warehouse.current(TRADE.name).count() == 3
+
+
+def test_a_part_that_was_never_taken_in_is_written_over(spark, monkeypatch):
+    warehouse = Warehouse(spark)
+    warehouse.create(OIL)
+    warehouse.append(oil_rows(spark, ("2020-01-01", 1.0)), OIL.name)
+    point = Warehouse._point
+
+    def lost(self, table, state):
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(Warehouse, "_point", lost)  # all files are there, but nobody has been told
+    with pytest.raises(RuntimeError):
+        warehouse.append(oil_rows(spark, ("2020-01-02", 2.0), ("2020-01-03", 3.0)), OIL.name)
+    monkeypatch.setattr(Warehouse, "_point", point)
+    assert warehouse.current(OIL.name).count() == 1
+    warehouse.append(oil_rows(spark, ("2020-01-04", 4.0)), OIL.name)
+    assert rows(warehouse.current(OIL.name), "oil_price") == [(1.0,), (4.0,)]
+
+
+def trade_rows(spark, *values):
+    return spark.createDataFrame(list(values), "date string, store_id int, transactions_count int").withColumn("date", F.to_date("date"))
+
+
+def test_a_batch_that_comes_again_is_known_by_its_number(spark, monkeypatch):
+    from shelfcast.streaming import load
+
+    warehouse, searched = Warehouse(spark), []
+    own = load.drop_existing
+    monkeypatch.setattr(load, "drop_existing", lambda *a: searched.append(1) or own(*a))
+    warehouse.create(TRADE)
+    add = load.table_sink(warehouse, TRADE, "progress/a")
+    first = trade_rows(spark, ("2020-01-01", 1, 10), ("2020-01-01", 1, 10), ("2020-01-02", 1, 11))
+    add(first, 0)
+    add(first, 0)
+    add(trade_rows(spark, ("2020-01-03", 1, 12)), 1)
+    assert warehouse.current(TRADE.name).count() == 3 and warehouse.last_batch(TRADE.name, "progress/a") == 1
+    assert not searched  # nothing stored can be among them
+    add(trade_rows(spark, ("2020-01-03", 1, 12), ("2020-01-03", 2, 5)), 2)
+    assert searched and warehouse.current(TRADE.name).count() == 4
+    load.table_sink(warehouse, TRADE, "progress/b")(first, 0)  # another stream has numbers of its own
+    assert warehouse.current(TRADE.name).count() == 4
+    warehouse.append(trade_rows(spark, ("2030-01-01", 1, 1)), TRADE.name)  # nobody has noted its largest key
+    assert not warehouse.all_newer(trade_rows(spark, ("2040-01-01", 1, 1)), TRADE.name, "date")
+
+
+def test_stored_keys_are_read_in_the_range_of_the_batch(spark):
+    from shelfcast.operators import joins
+
+    stored = written_table(spark.range(1000).select("id", (F.col("id") * 2).alias("x")), "stored")
+    batch = spark.createDataFrame([(990, 1), (1005, 2)], "id bigint, y int")
+    near = joins.key_range(batch, ["id"])
+    plan = stored.filter(near)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,990), LessThanOrEqual(id,1005)" in plan
+    assert rows(joins.drop_existing(batch, stored, ["id"])) == [(1005, 2)]
+    assert rows(joins.drop_existing(batch.limit(0), stored, ["id"])) == []
+    holed = spark.createDataFrame([(None, 1), (5, 2)], "id bigint, y int")
+    assert rows(joins.drop_existing(holed, stored, ["id"])) == [(None, 1)]
+
+
+def test_values_beside_are_read_without_a_shuffle(spark):
+    warehouse = Warehouse(spark)
+    base = spark.range(100).select("id", (F.col("id") * 1.0).alias("x"))
+    warehouse.save(base, "t", buckets=4, bucket_by=["id"])
+    files = set(warehouse.current("t").inputFiles())
+    warehouse.update_beside("t", base.filter("id < 10").select("id", F.lit(None).cast("double").alias("x"), F.lit("new").alias("n")), ["id"], ["x", "n"], 4)
+    warehouse.update_beside("t", base.filter("id < 5").select("id", F.lit(7.0).alias("x")), ["id"], ["x"], 4)
+    got = {r["id"]: (r["x"], r["n"]) for r in warehouse.current("t").collect()}
+    assert got[3] == (7.0, "new") and got[8] == (None, "new") and got[50] == (50.0, None) and len(got) == 100
+    assert files <= set(warehouse.current("t").inputFiles())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = warehouse.current("t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    with pytest.raises(ValueError):
+        warehouse.update_beside("t", spark.createDataFrame([(1, 1.0), (1, 2.0)], "id bigint, x double"), ["id"], ["x"], 4)
+    warehouse.append(spark.createDataFrame([(3, 9.0)], "id bigint, x double").filter("id > 5"), "t")
+    warehouse.save(warehouse.current("t"), "t")
+    assert {r["id"]: (r["x"], r["n"]) for r in warehouse.current("t").collect()} == got
+
+
+def test_one_partition_is_replaced_and_the_others_stay(spark):
+    warehouse = Warehouse(spark)
+    warehouse.save(spark.range(20).select("id", (F.col("id") % 2).cast("int").alias("fold"), F.lit("a").alias("side")), "f", ["fold", "side"])
+    kept = set(warehouse.current("f").filter("fold = 0").inputFiles())
+    warehouse.replace_partition(spark.createDataFrame([(100,)], "id bigint"), "f", {"fold": 1, "side": "a"})
+    assert rows(warehouse.current("f").filter("fold = 1"), "id", "side") == [(100, "a")]
+    assert set(warehouse.current("f").filter("fold = 0").inputFiles()) == kept
+    warehouse.name_partition("f_1", "f", {"fold": 1, "side": "a"})
+    assert rows(warehouse.current("f_1")) == [(100,)]
+    warehouse.append(spark.createDataFrame([(5, 1, "a")], "id bigint, fold int, side string"), "f")
+    assert warehouse.current("f").count() == 12
+    with pytest.raises(ValueError):
+        warehouse.replace_partition(spark.range(1), "f", {"fold": 1, "side": "a"})
