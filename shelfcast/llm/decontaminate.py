@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.shared import written_table
+
 WINDOW = 13
 SHARD_WORDS = 2_000_000
 BLOCK_BYTES = 8 << 20  # of benchmark text in one broadcast
@@ -247,16 +249,13 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
-    """Benchmark items, whose number does not grow with the documents, in blocks of bounded size."""
-    block, size = [], 0
-    for row in benchmark.select(F.col(f"`{item_id}`"), F.col(f"`{text}`")).toLocalIterator():
-        block.append((row[0], row[1]))
-        size += len(row[1] or "")
-        if size >= block_bytes:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    """Benchmark items in blocks of about ``block_bytes`` of text, dealt by hash; only one block is at the driver at a time."""
+    rows = benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{text}`").alias("text"))
+    size, items = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = max(1, min(items, -(-size // block_bytes)))
+    for k in range(blocks):
+        part = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield [(r["item"], r["text"]) for r in part.collect()]
 
 
 def contamination(
@@ -267,8 +266,9 @@ def contamination(
 
     ``spans`` are merged runs ``[first word, end]`` to remove; ``items`` are the ids with an occurring window,
     sorted as strings.  A null or empty text, in a document or an item, has no words: it hits nothing.  Items
-    with equal windows are all named; without items nothing is hit.  Repeated rows are scanned alike and other
-    columns passed through.  A benchmark of several blocks is searched block by block in the same task.
+    with equal windows are all named; without items nothing is hit.  Repeated rows are scanned alike, very long texts
+    whole, and other columns passed through, whatever their names.  A benchmark of several blocks is searched block by
+    block; what has been found is written in between, so that one block's phrases are held at a time.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     step = docs.select(
@@ -276,10 +276,12 @@ def contamination(
         F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<array<bigint>>").alias("_spans"),
         F.array().cast("array<string>").alias("_items"),
     )
-    schema, spark = step.schema, docs.sparkSession
-    blocks = [*item_blocks(benchmark, item_id, item_text, block_bytes)] or [[]]
-    for items in blocks:
-        phrases = spark.sparkContext.broadcast(Phrases.of(items, window))  # of at most ``block_bytes`` of text
+    schema, spark, phrases = step.schema, docs.sparkSession, None
+    for items in item_blocks(benchmark, item_id, item_text, block_bytes):
+        if phrases is not None:
+            step = written_table(step, "contamination")
+            phrases.destroy()
+        phrases = spark.sparkContext.broadcast(Phrases.of(items, window))  # of about ``block_bytes`` of text
         step = step.mapInArrow(lambda b, p=phrases: _scan(b, p.value, shard_words), schema)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name == "_row")
     kinds = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, spans array<array<bigint>>, items array<string>"

@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.workers import pieces
+from shelfcast.operators.ordering import dense_position
+from shelfcast.shared import written_table
 
 BUCKETS = 1 << 14
-#: A label set, not data: more languages than this are refused, which bounds the broadcast matrix (64 MB).
-MOST_LANGUAGES = 1024
+#: Languages whose log-probabilities are broadcast together (64 MB).
+BLOCK_LANGUAGES = 1024
 SMOOTHING = 0.5
 CHUNK_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -79,59 +81,113 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train(labelled: DataFrame) -> LanguageModel:
-    """Learn from ``lang`` and ``text``; rows that lack either are left out."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per language: its log-probabilities as 32-bit numbers, and its documents."""
+    for batch in batches:
+        for language, pairs in zip(batch.column("lang").to_pylist(), batch.column("pairs")):
+            bucket, n = (pairs.values.field(k).to_numpy(zero_copy_only=False) for k in ("bucket", "n"))
+            grams = np.full(BUCKETS, SMOOTHING)
+            grams[bucket[bucket >= 0]] += n[bucket >= 0]
+            row = np.log(grams / grams.sum()).astype(np.float32).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([language]), pa.array([row], pa.binary()), pa.array([int(n[bucket < 0].sum())], pa.int64())],
+                names=["lang", "row", "documents"],
+            )
+
+
+class Trained:
+    """The learned table, a row per language, taken to the driver in blocks of bounded size."""
+
+    def __init__(self, table: DataFrame, block: int = BLOCK_LANGUAGES):
+        self.table, self.block = table, block
+        self.documents, self.size = table.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
+
+    def blocks(self) -> Iterator[LanguageModel]:
+        """The languages by name, ``block`` of them at a time; one empty block if there are none."""
+        placed = self.table if self.size <= self.block else written_table(dense_position(self.table, ["lang"], "_place"), "languages")
+        for at in range(0, max(self.size, 1), self.block):
+            part = placed if self.size <= self.block else placed.filter(F.col("_place").between(at, at + self.block - 1))
+            rows = sorted(part.select("lang", "row", "documents").collect(), key=lambda r: r["lang"])
+            matrix = np.array([np.frombuffer(r["row"], np.float32) for r in rows], np.float32).reshape(len(rows), BUCKETS)
+            yield LanguageModel([r["lang"] for r in rows], matrix, np.log([r["documents"] / self.documents for r in rows]))
+
+
+def train(labelled: DataFrame) -> Trained:
+    """Learn from ``lang`` and ``text``; rows that lack either are left out.
+
+    The texts are read once.  A task sums its rows per language, Spark sums the tasks, and each language's sums become one
+    packed row; any number of languages.  Repeated rows count as often as they stand.
+    """
     rows = labelled.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.mapInArrow(_count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = [r["lang"] for r in counts.filter("bucket = -1").select("lang").limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(names)
-    table = counts.toPandas()
-    grams, documents = np.zeros((len(languages), BUCKETS)), np.zeros(len(languages))
-    at = table["lang"].map({name: k for k, name in enumerate(languages)}).to_numpy(np.int64)
-    bucket, n = table["bucket"].to_numpy(np.int64), table["n"].to_numpy(np.float64)
-    grams[at[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
-    documents[at[bucket < 0]] = n[bucket < 0]
-    smoothed = grams + SMOOTHING
-    priors = np.log(documents / documents.sum()) if len(languages) else documents
-    return LanguageModel(languages, np.log(smoothed / smoothed.sum(axis=1, keepdims=True)).astype(np.float32), priors)
+    listed = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("pairs"))  # one number per bucket at most
+    return Trained(written_table(listed.mapInArrow(_packed, "lang string, row binary, documents bigint"), "language-model"))
 
 
-def score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], list[float]]:
-    """The likeliest language of each text and its posterior probability; ``und`` and 0 without a letter."""
-    names, values = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    good = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
-    if not model.languages:
-        return names, values
-    chosen = [texts[k] for k in good]
-    for a, b in _chunks(chosen):
-        buckets, starts = ngrams(chosen[a:b])
+def sums_of(texts: list[str], model: LanguageModel) -> Iterator[tuple[int, np.ndarray]]:
+    """Logarithms of text and language together: a matrix, texts by languages, for each stretch of texts and where it begins."""
+    for a, b in _chunks(texts):
+        buckets, starts = ngrams(texts[a:b])
         sums = np.stack([np.add.reduceat(row[buckets], starts, dtype=np.float64) for row in model.log_probabilities], axis=1)
-        sums += model.priors
-        best = sums.argmax(axis=1)
-        posterior = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
-        for k, language, p in zip(good[a:b], best.tolist(), posterior.tolist()):
-            names[k], values[k] = model.languages[language], p
-    return names, values
+        yield a, sums + model.priors
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+def score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], list[float]]:
+    """The likeliest language of each text and its posterior probability; ``und`` and 0 without a letter."""
+    names, best, total = scored(texts, model, [None] * len(texts), np.full(len(texts), -np.inf), np.full(len(texts), -np.inf))
+    known = [n is not None for n in names]
+    return [n or UNKNOWN for n in names], np.where(known, np.exp(best - np.where(known, total, 0)), 0.0).tolist()
+
+
+def scored(
+    texts: list[str | None], model: LanguageModel, names: list[str | None], best: np.ndarray, total: np.ndarray
+) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """The likeliest language so far, its logarithm, and that of the sum over all languages, after a further block of them."""
+    names, best, total = list(names), best.copy(), total.copy()
+    good = [k for k, t in enumerate(texts) if t and _LETTER.search(t)] if model.languages else []
+    for a, sums in sums_of([texts[k] for k in good], model):
+        at = np.array(good[a : a + len(sums)])
+        place = sums.argmax(axis=1)
+        high = sums[np.arange(len(sums)), place]
+        total[at] = np.logaddexp(total[at], high + np.log(np.exp(sums - high[:, None]).sum(axis=1)))
+        for k, p, value in zip(at.tolist(), place.tolist(), high.tolist()):
+            if value > best[k]:
+                names[k], best[k] = model.languages[p], value
+    return names, best, total
+
+
+def predict(docs: DataFrame, model: Trained | LanguageModel, text: str = "text") -> DataFrame:
     """Rows of ``docs`` as struct ``_row`` with ``lang_pred`` and ``score``.
 
     Null, empty and letterless texts are ``und`` with score 0, and so is every text if nothing could be
-    learned.  Of equally likely languages the first by name wins.  Other columns are passed through.
+    learned.  Of equally likely languages the first by name wins.  Very long texts are scored whole.  Other columns are
+    passed through, whatever their names; an empty table gives no rows.  More languages than a block holds are scored
+    block by block, each in a pass of its own, so that one block's matrix is held at a time.
     """
-    step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    step = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"),
+        F.lit(None).cast("string").alias("_name"), F.lit(float("-inf")).alias("_best"), F.lit(float("-inf")).alias("_total"),
+    )
+    schema, context = step.schema, docs.sparkSession.sparkContext
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_text"):
-            names, values = score(batch.column("_text").to_pylist(), sent.value)
+            best, total = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_best", "_total"))
+            names, best, total = scored(batch.column("_text").to_pylist(), sent.value, batch.column("_name").to_pylist(), best, total)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(names, pa.string()), pa.array(values, pa.float64())],
-                names=["_row", "lang_pred", "score"],
+                [batch.column("_row"), batch.column("_text"), pa.array(names, pa.string()), pa.array(best), pa.array(total)],
+                names=["_row", "_text", "_name", "_best", "_total"],
             )
 
-    kind = step.schema["_row"].dataType.simpleString()
-    return step.mapInArrow(run, f"_row {kind}, lang_pred string, score double")
+    sent = None
+    for block in model.blocks() if isinstance(model, Trained) else [model]:
+        if sent is not None:
+            step = written_table(step, "language-scores")
+            sent.destroy()
+        sent = context.broadcast(block)
+        step = step.mapInArrow(lambda b, s=sent: run(b, s), schema)
+    known = F.col("_name").isNotNull()
+    return step.select(
+        "_row", F.coalesce("_name", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(known, F.exp(F.col("_best") - F.col("_total"))).otherwise(F.lit(0.0)).alias("score"),
+    )

@@ -110,10 +110,14 @@ def _steps(node: Column, place: Column) -> Column:
     return F.concat(*parts)
 
 
-def _descend(passes: Sequence[DataFrame], above: DataFrame) -> DataFrame:
-    """The lowest nodes with ``way``, all steps to the root; ``above`` has ``tree``, ``way`` and what goes with a tree."""
-    carried = [c for c in above.columns if c not in ("tree", "way")]
-    joined = passes[-1].join(above, "tree")
+def _descend(passes: Sequence[DataFrame], above: DataFrame | None = None) -> DataFrame:
+    """The lowest nodes with ``way``, all steps to the root; ``above`` has ``tree``, ``way`` and what goes with a tree.
+
+    Without it the last node of every tree is the root.
+    """
+    carried = [c for c in above.columns if c not in ("tree", "way")] if above is not None else []
+    root = F.array().cast(f"array<{STEP}>").alias("way")
+    joined = passes[-1].join(above, "tree") if above is not None else passes[-1].select("*", root)
     for stored in reversed(passes):
         if stored is not passes[-1]:
             top = rows.select(
@@ -150,16 +154,12 @@ class Manifest:
 
     def leaves(self) -> DataFrame:
         """Every leaf: the payload's columns, ``leaf``, its tree's last node as ``subroot``, ``way`` (steps to the root)."""
-        ways = _descend(self.upper, _one_tree(self.passes[0].sparkSession))
+        ways = _descend(self.upper)
         above = ways.select(F.col("payload.group").alias("tree"), F.col("digest").alias("subroot"), "way")
         rows = _descend(self.passes, above)
         return rows.select("payload.*", F.col("digest").alias("leaf"), "subroot", "way")
 
 
-def _one_tree(spark) -> DataFrame:
-    return spark.range(1).select(F.lit("").alias("tree"), F.array().cast(f"array<{STEP}>").alias("way"))
-
-
 def folded(leaf: Column, way: Column) -> Column:
     """The root that a leaf and the steps of its proof give."""
     return F.aggregate(way, leaf, lambda h, s: F.sha2(F.concat(s["before"], h, s["after"]).cast("binary"), 256))

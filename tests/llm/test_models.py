@@ -67,3 +67,72 @@ def test_pairs_order_the_scores():
     scores = np.concatenate([model.score(good), model.score(bad)])
     assert abs((scores < model.cut).mean() - 1 / 6) < 0.02
     assert model.score(good).mean() > model.score(bad).mean() + 0.3
+
+
+def plain_bayes(labelled, texts, smoothing=language.SMOOTHING):
+    """Multinomial naive Bayes over the same hashed 3-grams, text by text."""
+    def grams(text):
+        buckets = np.zeros(language.BUCKETS)
+        for b in language.ngrams([text])[0].tolist():
+            buckets[b] += 1
+        return buckets
+
+    sums, documents = {}, {}
+    for lang, text in labelled:
+        if lang is not None and text is not None:
+            sums[lang] = sums.get(lang, 0) + grams(text)
+            documents[lang] = documents.get(lang, 0) + 1
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        counts = grams(text)
+        joint = {}
+        for lang, n in sums.items():
+            chance = np.log((n + smoothing) / (n + smoothing).sum()).astype(np.float32)
+            joint[lang] = float((counts * chance).sum()) + np.log(documents[lang] / sum(documents.values()))
+        best = max(sorted(joint), key=lambda x: joint[x])
+        out.append((best, 1 / sum(np.exp(v - joint[best]) for v in joint.values())))
+    return out
+
+
+def test_language_is_plain_naive_bayes(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").limit(80)
+    rows = docs.collect()
+    expected = plain_bayes([(r["lang"], r["text"]) for r in rows[:50]], [r["text"] for r in rows])
+    labelled = spark.createDataFrame(rows[:50], docs.schema)
+    model = language.train(labelled)
+    for block in (1024, 2):
+        model.block = block
+        found = {r["_row"]["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(spark.createDataFrame(rows, docs.schema), model).collect()}
+        for r, (lang, score) in zip(rows, expected):
+            assert found[r["doc_id"]][0] == lang and abs(found[r["doc_id"]][1] - score) < 1e-3
+
+
+def test_more_languages_than_a_block_holds(spark):
+    texts = [(i, f"l{i:04}", f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}{chr(0x6E00 + i)} " * 5) for i in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, lang string, text string")
+    model = language.train(frame)
+    model.block = 7
+    assert sum(len(b.languages) for b in model.blocks()) == 40
+    assert all(r["_row"]["lang"] == r["lang_pred"] for r in language.predict(frame, model).collect())
+
+
+def test_quality_is_the_minimum_of_the_pairs_loss(spark, odd):
+    """The weights against plain gradient descent over the same pairs."""
+    draw = np.random.default_rng(2)
+    good, bad = draw.normal(0.5, 1, (80, quality_model.FEATURES)), draw.normal(0, 1, (50, quality_model.FEATURES))
+    how = quality_model.Training(pairs=2000, penalty=0.05)
+    model = quality_model.train(good, bad, 0.4, how)
+    both = np.concatenate([good, bad])
+    center, scale = both.mean(axis=0), both.std(axis=0)
+    pick = np.random.default_rng(how.seed)
+    first = pick.integers(len(good), size=how.pairs)
+    pairs = ((good - center) / scale)[first] - ((bad - center) / scale)[pick.integers(len(bad), size=how.pairs)]
+    weights = np.zeros(quality_model.FEATURES)
+    for _ in range(4000):
+        weights += 0.5 * (pairs.T @ (1 / (1 + np.exp(pairs @ weights))) / len(pairs) - how.penalty * weights)
+    assert np.allclose(weights, model.weights, atol=1e-4)
+    scores = np.concatenate([(x - center) / scale @ weights for x in (good, bad)])
+    assert np.allclose(model.score(both), 1 / (1 + np.exp(-(scores - model.threshold + np.log(0.3 / 0.7)))), atol=1e-3)
