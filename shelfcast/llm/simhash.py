@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.workers import pieces
-from shelfcast.operators.joins import fits_broadcast
+from shelfcast.operators.joins import attach, fits_broadcast
 from shelfcast.shared import written_table
 
 SHINGLE = 4
@@ -206,8 +206,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = written_table(with_fingerprints(rows).select(F.col("_row.doc_id").alias("doc_id"), "_print"), "fingerprints")
-    found = component_of(prints, radius)
-    return prints.join(found, "_print").select(
+    found = written_table(component_of(prints, radius), "print-components")
+    return attach(prints, found, ["_print"], "inner", BROADCAST_BYTES).select(
         "doc_id", F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -229,13 +229,19 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", t
     Rows without a number come after all others; of rows with equal numbers that of the smallest text digest
     stays, and of rows equal in number and text, one.
     """
-    number, digest = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
-    named = docs.select(number.alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = written_table(with_fingerprints(named).select(
         F.col("_row.doc_id").alias("doc_id"), "_print", F.xxhash64("_row.text").alias("digest")
     ), "fingerprints")
-    grouped = prints.join(component_of(prints, radius).select("_print", "_group"), "_print").groupBy("_group", "doc_id", "digest")
-    counted = written_table(grouped.agg(F.count(F.lit(1)).alias("n")), "groups")
+    found = written_table(component_of(prints, radius).select("_print", "_group"), "print-groups")
+    grouped = attach(prints, found, ["_print"], "inner", BROADCAST_BYTES)
+    return keep_one(docs, grouped.select("doc_id", "digest", "_group"), doc_id, text)
+
+
+def keep_one(docs: DataFrame, grouped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, one for each group of ``grouped`` (``doc_id``, ``digest`` of the text, ``_group``), as :func:`one_of_each` says."""
+    number, digest = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    counted = written_table(grouped.groupBy("_group", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")), "groups")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
     first = counted.groupBy("_group").agg(F.min(place).alias("first"))
     chosen = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.digest") == F.col("digest"))
