@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.token_units import encoder, vocabulary_path
+from shelfcast.llm.token_units import TOGETHER, encoder, vocabulary_path
 from shelfcast.llm.workers import pieces
+from shelfcast.operators.joins import attach
 from shelfcast.shared import fresh_path
 
+BROADCAST_BYTES = 32 * 1024 * 1024
 CACHE = "content binary, version string, n_tokens bigint"
 
 
@@ -31,11 +33,9 @@ def normalised(text: str):
 
 def _count_batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     units = encoder(vocabulary_path(name))
-    for batch in pieces(batches, "text"):
-        counts = [len(ids) for ids in units.encode(batch.column("text").to_pylist())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
-        )
+    for batch in pieces(batches, "text", TOGETHER):
+        counts = units.encode_flat(batch.column("text"), ids=False)[1]
+        yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts)], names=["content", "n_tokens"])
 
 
 class CountCache:
@@ -62,17 +62,19 @@ def count_tokens(
     """The rows of ``docs`` as struct ``_row`` with ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
     Only texts whose digest the cache lacks are encoded, each once, however often it occurs; their counts are
-    then in the cache.  A null text is an empty one, with no tokens.  Repeated rows keep their number.
+    then in the cache.  A null text is an empty one, with no tokens.  Repeated rows keep their number, very long texts
+    are counted whole, other columns pass through, whatever their names, and an empty table gives no rows.
+    Counts come back by broadcast while they are few, else by a shuffle in which a text of very many copies is cut.
     """
     version = tokenizer_version(vocabulary_path(name))
     body = normalised("_text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
     digest = F.unhex(F.sha2(body.cast("binary"), 256))
     contents = rows.select(digest.alias("content"), body.alias("text"))
-    missing = contents.join(cache.read(version), "content", "left_anti")
+    missing = attach(contents, cache.read(version), ["content"], "left_anti", BROADCAST_BYTES)
     distinct = missing.groupBy("content").agg(F.first("text").alias("text"))  # copies meet before the shuffle
     counted = distinct.mapInArrow(lambda batches: _count_batches(batches, name), "content binary, n_tokens bigint")
     cache.append(counted, version)
     keyed = rows.select("_row", digest.alias("content"), F.octet_length(body).cast("long").alias("n_bytes"))
-    found = keyed.join(cache.read(version), "content")
+    found = attach(keyed, cache.read(version), ["content"], "inner", BROADCAST_BYTES)
     return found.select("_row", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -19,7 +19,6 @@ from shelfcast.shared import written_table
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 5_000_000
-_NULL_KEY_PIECES = 1024
 _SLOTS = 1 << 20
 _ROW_OVERHEAD = 16
 _TEXTS = (T.StringType, T.BinaryType)
@@ -122,29 +121,32 @@ def _spread_join(
 ) -> DataFrame:
     """Shuffled join with each key of more than ``hot_rows`` left rows cut into pieces.
 
+    Where very many left rows have no key, these are left out of the shuffle: they match nothing.
+    """
+    hot, nulls_hot = hot_keys(left, on, hot_rows)
+    if not nulls_hot:
+        return _cut_join(left, right, on, how, hot, also)
+    keyed = _cut_join(left.filter(~_any_null(on)), right, on, how, hot, also)
+    if how in ("inner", "left_semi"):
+        return keyed
+    return keyed.unionByName(left.filter(_any_null(on)), allowMissingColumns=True)
+
+
+def _cut_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame | None, also: Column | None) -> DataFrame:
+    """The join with the rows of each key of ``hot`` dealt to its pieces.
+
     The piece of a row depends on its content and on the partition it comes from, both the
     same when a lost task is run again; exact copies in different partitions still spread.
     """
-    hot, nulls_hot = hot_keys(left, on, hot_rows)
-    if hot is None and not nulls_hot:
+    if hot is None:
         return _equal_join(left, right, on, how, also)
-    null_key = _any_null(on)
     hashable = [f.name for f in left.schema.fields if type(f.dataType) in _WIDTHS or type(f.dataType) in _TEXTS]
     spread = F.xxhash64(F.spark_partition_id(), *hashable)
-    right = right.filter(~null_key)
-    if hot is None:
-        left = left.withColumn("_pieces", F.lit(None).cast("int"))
-        right = right.withColumn("_pieces", F.lit(None).cast("int"))
-    else:
-        # as many rows as the left side has hot keys; measured all the same
-        hot = F.broadcast(hot) if fits_broadcast(hot) else hot
-        left = left.join(hot, on, "left")
-        right = right.join(hot, on, "left")
-    piece = (
-        F.when(null_key, F.pmod(spread, F.lit(_NULL_KEY_PIECES)))
-        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
-        .otherwise(F.lit(0)).cast("int")
-    )
+    # as many rows as the left side has hot keys; measured all the same
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    left = left.join(hot, on, "left")
+    right = right.filter(~_any_null(on)).join(hot, on, "left")
+    piece = F.when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces"))).otherwise(F.lit(0)).cast("int")
     every_piece = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
     left = left.withColumn("_piece", piece).drop("_pieces")
     right = right.withColumn("_piece", every_piece).drop("_pieces")

@@ -272,7 +272,7 @@ class Preparation:
         texts = {c: as_text(rows, c) for c in self.categories}
         if steps:
             rows = dense_position(rows.withColumns(texts), self.order, "_place")
-            rows = self._lagged(self._indexed(rows, fitted), values, steps)
+            rows = self._lagged(rows, values, steps, fitted)
             lag_flag = [(F.col("_place") < self.window_size).alias("row_was_lagg_backfilled")]
         else:
             rows, lag_flag = self._indexed(rows.withColumns(texts), fitted), []
@@ -281,9 +281,9 @@ class Preparation:
             *[x for k in steps for x in self._encoded(f"_lag_{k}", rest + targets, fitted)],
         )
 
-    def _lagged(self, rows: DataFrame, values: Sequence[str], steps: Sequence[int]) -> DataFrame:
-        """``rows`` with the lags of ``values``; where a column has gaps, its next known value and that value's place
-        are found once, and each lag takes them if the shifted column still reaches that far."""
+    def _lagged(self, rows: DataFrame, values: Sequence[str], steps: Sequence[int], fitted: PreparationFit) -> DataFrame:
+        """``rows`` with the lags of ``values``, categories as numbers; where a column has gaps, its next known value and
+        that value's place are found once, and each lag takes them if the shifted column still reaches that far."""
         plain = [c for c in values if c not in self.categories]
         gaps = rows.agg(F.max("_place").alias("_place"), *[F.max(F.col(c).isNull()).alias(c) for c in plain]).first()
         holed = [c for c in plain if gaps[c]]
@@ -291,7 +291,7 @@ class Preparation:
         if holed:
             rows = fill_along(rows.withColumns(known), list(known), "_place", backward=True)
         whole = [c for c in values if c not in holed]
-        out = lag_columns(rows, [*whole, *known], steps, "_place", head_from_first=True, bucket_rows=self.bucket_rows)
+        out = lag_columns(self._indexed(rows, fitted), [*whole, *known], steps, "_place", head_from_first=True, bucket_rows=self.bucket_rows)
         reached = {
             f"{c}_lag_{k}": F.when(F.col(f"_at_{c}_lag_{k}") <= gaps["_place"] - k, F.col(f"_next_{c}_lag_{k}")) for c in holed for k in steps
         }

@@ -11,7 +11,7 @@ from shelfcast.operators.joins import stack_rows
 from shelfcast.operators.ordering import dense_position
 from shelfcast.operators.splits import ordered_folds
 from shelfcast.plans.folds import store_folds, stored_split
-from shelfcast.plans.groups import FeatureGroup, engineer_all, get_features, oil_price_group, store_group
+from shelfcast.plans.groups import CountedIndex, FeatureGroup, engineer_all, get_features, oil_price_group, store_group
 from shelfcast.queries import query
 from shelfcast.queries.views import ALL, OIL, SALES, STORES, TRANSACTIONS, sql, star, table
 from shelfcast.shared import fresh_path
@@ -213,6 +213,21 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.current(OIL_PRICES.name)
 
 
+@query("l08_counts_grow_with_batches", sql(SALES, "placed AS (SELECT id, store_nbr, family, date FROM sales)", """stores_n AS (
+  SELECT store_nbr AS s, row_number() OVER (ORDER BY COUNT(*) DESC, store_nbr::VARCHAR) - 1 AS i FROM placed GROUP BY 1),
+families_n AS (SELECT family AS f, row_number() OVER (ORDER BY COUNT(*) DESC, family) - 1 AS i FROM placed GROUP BY 1)""", """
+  SELECT id, store_nbr, family, date, s.i AS store_nbr_numeric, f.i AS family_numeric
+  FROM placed JOIN stores_n s ON store_nbr = s.s JOIN families_n f ON family = f.f"""))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "sales").select("id", "store_nbr", "family", "date")
+    warehouse = Warehouse(spark)
+    index = CountedIndex("indexed_sales", ("store_nbr", "family"), ("id",))
+    index.start(warehouse, rows.filter("date < DATE '1995-01-01'"))
+    index.add(warehouse, rows.filter(f"date >= DATE '1995-01-01' AND {EARLY}"))
+    index.add(warehouse, rows.filter(f"NOT {EARLY}"))
+    return warehouse.current("indexed_sales")
+
+
 @query("l08_transform_new_rows_only", sql(OIL, """
   SELECT date, dcoilwtico AS oil_price, dcoilwtico * 2 AS double_of_oil_price FROM oil"""))
 def _(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """The retail tables every query starts from, derived from the given order and part tables.
 
 A line's supplier plays the store, its part type the product family, its ship
-date the sales date.  Each table is computed by Spark once per session and folder
-and stored, as it would be in a warehouse; queries read it from there.
+date the sales date.  Each table is computed by Spark once per session, folder and state of
+its files and stored, as it would be in a warehouse; queries read it from there.
 """
 
 from __future__ import annotations
@@ -16,13 +16,24 @@ from shelfcast.operators.joins import attach
 from shelfcast.operators.ordering import dense_position
 from shelfcast.shared import written_table
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple, DataFrame] = {}
+_GIVEN = ("part", "lineitem", "nation", "region", "supplier", "orders")
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _files_state(spark: SparkSession, folder: str) -> tuple:
+    """Size and time of the given tables, which change when their files do."""
+    state = []
+    for name in _GIVEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        state.append((files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()))
+    return tuple(state)
+
+
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
     parts = given(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     lines = given(spark, folder, "lineitem").select(
@@ -114,7 +125,7 @@ _MAKERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of sales, stores, transactions, oil and special_days."""
-    place = (spark.sparkContext.applicationId, folder.rstrip("/"), name)
+    place = (spark.sparkContext.applicationId, folder.rstrip("/"), _files_state(spark, folder), name)
     if place not in _STORED:
         _STORED[place] = written_table(_MAKERS[name](spark, folder), name)
     return _STORED[place]

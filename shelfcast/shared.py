@@ -10,11 +10,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths written inside the innermost :func:`scratch`.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``.
 
@@ -35,14 +41,34 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder nobody has used yet, under the application's own folder."""
-    return f"{shared_folder(spark)}/shelfcast/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/shelfcast/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    if (made := _SCRATCH.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate results that are written inside are removed at the end.
+
+    For work that leaves nothing lazy behind, such as a load: frames made from those files cannot be read any more.
+    """
+    made: list[str] = []
+    token = _SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in made:
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def written_table(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it back.
 
-    The files last as long as the frames made from them; once the application has ended, its folder
-    can be removed.
+    The files last as long as the frames made from them, unless :func:`scratch` says otherwise; once the application has
+    ended, its folder can be removed.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.joins import drop_existing, require_unique
 from shelfcast.operators.ordering import first_rows
-from shelfcast.shared import written_table
+from shelfcast.shared import scratch, written_table
 from shelfcast.sources.delimited import read_delimited, read_rows_after
 from shelfcast.sources.registry import DATASETS, LOAD_ORDER, Dataset, borrowed_schema
 from shelfcast.sources.warehouse import Warehouse
@@ -81,9 +81,10 @@ def load_new_rows(warehouse: Warehouse, dataset: Dataset, path: str, by: str = "
     Two new rows under one key are an error, as they would be for a table with that primary key.
     """
     warehouse.create(dataset)
-    rows = written_table(new_rows(warehouse, dataset, path, by, sep), "new-rows")
-    require_unique(rows, dataset.keys)
-    warehouse.append(rows, dataset.name, mark=dataset.keys[0])
+    with scratch(warehouse.spark):
+        rows = written_table(new_rows(warehouse, dataset, path, by, sep), "new-rows")
+        require_unique(rows, dataset.keys)
+        warehouse.append(rows, dataset.name, mark=dataset.keys[0])
 
 
 def load_all(warehouse: Warehouse, folder: str, by: str = "keys", names: Sequence[str] = LOAD_ORDER) -> None:

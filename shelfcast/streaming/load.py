@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.joins import drop_existing, require_unique
-from shelfcast.shared import written_table
+from shelfcast.shared import scratch, written_table
 from shelfcast.sources.registry import Dataset
 from shelfcast.sources.warehouse import Warehouse
 
@@ -43,11 +43,12 @@ def table_sink(warehouse: Warehouse, dataset: Dataset, stream: str) -> Callable[
         there = Warehouse(batch.sparkSession, warehouse.database)  # the stream has a session of its own
         if number <= there.last_batch(dataset.name, stream):
             return
-        rows = written_table(batch, "batch")
-        newer = there.all_newer(rows, dataset.name, keys[0])
-        fresh = written_table((rows if newer else drop_existing(rows, there.current(dataset.name), keys)).distinct(), "batch-rows")
-        require_unique(fresh, keys)
-        there.append(fresh, dataset.name, mark=keys[0], batch=(stream, number))
+        with scratch(batch.sparkSession):
+            rows = written_table(batch, "batch")
+            newer = there.all_newer(rows, dataset.name, keys[0])
+            fresh = written_table((rows if newer else drop_existing(rows, there.current(dataset.name), keys)).distinct(), "batch-rows")
+            require_unique(fresh, keys)
+            there.append(fresh, dataset.name, mark=keys[0], batch=(stream, number))
 
     return add
 

@@ -175,3 +175,27 @@ def test_one_tree_of_one_split_is_the_best_split(spark):
 def test_gaps_are_marked_for_trees(spark):
     frame = spark.createDataFrame([(None, 1), (2.5, None)], "a double, b int")
     assert rows(FunctionStep.of(fill_numbers, columns=["a", "b"]).transform(frame)) == [(-1.0, 1.0), (2.5, -1.0)]
+
+
+def test_a_batch_is_added_to_stored_counts(spark):
+    from shelfcast.plans.groups import CountedIndex
+    from shelfcast.sources.warehouse import Warehouse
+
+    def rows_of(ids, values):
+        return spark.createDataFrame(list(zip(ids, values)), "id bigint, c string")
+
+    warehouse, index = Warehouse(spark), CountedIndex("t", ("c",), ("id",), buckets=2)
+    first = rows_of(range(6), ["a", "a", "a", "b", "b", "z"])
+    index.start(warehouse, first)
+    files = set(warehouse.current("t").inputFiles())
+    second = rows_of(range(10, 16), ["z", "z", "z", "new", None, "a"])
+    plan = index.merged(warehouse.current(index.counts), second)
+    assert "c" not in plan.columns
+    index.add(warehouse, second)
+    got = {r["id"]: r["c_numeric"] for r in warehouse.current("t").collect()}
+    refit = IndexColumns(columns=["c"]).fit(first.union(second)).transform(first.union(second))
+    assert got == {r["id"]: r["c_index"] for r in refit.collect()}
+    assert files <= set(warehouse.current("t").inputFiles())
+    # only rows of categories that moved, and the new rows, have values in the last side table
+    last = warehouse._stored("t").sides[-1][0]
+    assert {r["id"] for r in spark.table(last).collect()} == {3, 4, 5, *range(10, 16)}

@@ -342,3 +342,30 @@ def test_one_partition_is_replaced_and_the_others_stay(spark):
     assert warehouse.current("f").count() == 12
     with pytest.raises(ValueError):
         warehouse.replace_partition(spark.range(1), "f", {"fold": 1, "side": "a"})
+
+
+def test_what_a_scope_has_written_is_removed(spark):
+    from shelfcast.shared import scratch
+
+    outside = written_table(spark.range(3), "kept")
+    with scratch(spark):
+        inside = written_table(spark.range(3), "gone")
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 3
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+    assert outside.count() == 3
+    with pytest.raises(ValueError):
+        with scratch(spark):
+            raise ValueError("all the same")
+
+
+def test_derived_tables_follow_their_files(spark, small, tmp_path):
+    from shelfcast.queries.views import given, table
+
+    for name in ("part", "lineitem", "nation", "region", "supplier", "orders"):
+        given(spark, small, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = table(spark, str(tmp_path), "stores")
+    assert table(spark, str(tmp_path), "stores") is first
+    given(spark, small, "supplier").limit(4).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "supplier.parquet"))
+    assert table(spark, str(tmp_path), "stores").count() == 4 != first.count()
