@@ -246,7 +246,9 @@ def search_pipeline(
         predicted = [trials.sides(f, len(stages) - 1, params)[2].select(label, "prediction").withColumn("in_fold", F.lit(f)) for f in folds]
         per_fold = scores(stack_rows(*predicted), label, ["in_fold"])
         means.append(per_fold.agg(F.avg(metric), F.count(metric)).first())
-    best = max(range(len(means)), key=lambda k: (means[k][0] is not None, means[k][0], -k))
+    scored = [m[0] for m in means if m[0] is not None]
+    # sums of the same numbers in another order may differ in their last digits
+    best = next((k for k, m in enumerate(means) if m[0] is not None and m[0] >= max(scored) - 1e-9 * abs(max(scored))), 0)
     table = [
         tuple(str(params[p]) for p in grid) + (means[k][0], means[k][1], k == best) for k, params in enumerate(combinations)
     ]
