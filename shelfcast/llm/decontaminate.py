@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.workers import release_memory
 from shelfcast.shared import written_table
 
 WINDOW = 13
@@ -233,6 +234,7 @@ def _scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, shard_words: int)
             arrays = [made.get(n, part.column(i)) for i, n in enumerate(part.schema.names)]
             yield pa.RecordBatch.from_arrays(arrays, names=part.schema.names)
             at = end
+    release_memory()
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

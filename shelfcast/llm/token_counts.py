@@ -33,7 +33,7 @@ def normalised(text: str):
 
 def _count_batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     units = encoder(vocabulary_path(name))
-    for batch in pieces(batches, "text", TOGETHER):
+    for batch in pieces(batches, "text", TOGETHER, keep=True):
         counts = units.encode_flat(batch.column("text"), ids=False)[1]
         yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts)], names=["content", "n_tokens"])
 

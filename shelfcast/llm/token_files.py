@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.token_units import encoder, forget_words, vocabulary_path
+from shelfcast.llm.token_units import TOGETHER, encoder, forget_words, vocabulary_path
 from shelfcast.llm.workers import pieces
 from shelfcast.shared import fresh_path
 
@@ -71,13 +71,17 @@ def unpack(controls: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
 def _tokenise(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     """Ids of each document with the end id, as they are."""
     units = encoder(vocabulary_path(name))
-    end = np.array([END], units.width).tobytes()
-    for batch in pieces(batches, "text"):
-        ids = [x.tobytes() + end for x in units.encode(batch.column("text").to_pylist())]
-        counts = [len(x) // len(end) for x in ids]
+    for batch in pieces(batches, "text", TOGETHER, keep=True):
+        ids, counts = units.encode_flat(batch.column("text"))
+        ends = np.cumsum(counts + 1)
+        ended = np.full(len(ids) + len(counts), END, units.width)
+        inside = np.ones(len(ended), bool)
+        inside[ends - 1] = False
+        ended[inside] = ids
+        cuts = np.append(0, ends * units.bytes).astype(np.int32)
+        rows = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts), pa.py_buffer(ended)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
-            names=["doc_id", "n_tokens", "ids"],
+            [batch.column("at"), batch.column("doc_id"), pa.array(counts + 1), rows], names=["at", "doc_id", "n_tokens", "ids"]
         )
 
 
@@ -88,7 +92,6 @@ def _joined(batch: pa.RecordBatch, width: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _occurrences(batches: Iterator[pa.RecordBatch], size: int, width: str) -> Iterator[pa.RecordBatch]:
     """How often each id occurs among all rows of this task."""
-    forget_words()
     totals = np.zeros(size, np.int64)
     for batch in pieces(batches, "ids"):
         totals += np.bincount(_joined(batch, width)[0], minlength=size)
@@ -97,19 +100,19 @@ def _occurrences(batches: Iterator[pa.RecordBatch], size: int, width: str) -> It
 
 
 def _rank_rows(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, cuts: np.ndarray, width: str) -> Iterator[pa.RecordBatch]:
-    """Rows with the part that their number falls in, ids re-coded as ranks."""
+    """Rows with the part that their place falls in, ids re-coded as ranks."""
     for batch in pieces(batches, "ids"):
-        numbers = batch.column("doc_id")
+        numbers = batch.column("at")
         part = np.searchsorted(cuts, numbers.fill_null(0).to_numpy(zero_copy_only=False), side="right")
         part[numbers.is_null().to_numpy(zero_copy_only=False)] = 0
         ids, counts = _joined(batch, width)
         controls, data = pack(ranks[ids], counts)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(part, pa.int64()), numbers, batch.column("n_tokens"), pa.array(controls, pa.binary()),
-                pa.array(data, pa.binary()),
+                pa.array(part, pa.int64()), numbers, batch.column("doc_id"), batch.column("n_tokens"),
+                pa.array(controls, pa.binary()), pa.array(data, pa.binary()),
             ],
-            names=["part", "doc_id", "n_tokens", "controls", "data"],
+            names=["part", "at", "doc_id", "n_tokens", "controls", "data"],
         )
 
 
@@ -132,7 +135,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_tokens: int) -> Iterator[pa
 
     size = 0
     for batch in pieces(batches, "data"):
-        for part, doc, n, controls, data in zip(*[c.to_pylist() for c in batch.columns]):
+        for part, doc, n, controls, data in zip(
+            *[batch.column(c).to_pylist() for c in ("part", "doc_id", "n_tokens", "controls", "data")]
+        ):
             if held and (part != state["part"] or size + n > block_tokens):
                 yield flush()
                 size = 0
@@ -153,17 +158,19 @@ class TokenFiles:
     @classmethod
     def write(
         cls, docs: DataFrame, folder: str | None = None, name: str = "byte_bpe_50k.json", doc_id: str = "doc_id",
-        text: str = "text", block_tokens: int = BLOCK_TOKENS, rows_per_part: int = ROWS_PER_PART,
+        text: str = "text", block_tokens: int = BLOCK_TOKENS, rows_per_part: int = ROWS_PER_PART, order: Column | None = None,
     ) -> TokenFiles:
         """Encode every text of ``docs`` and write it, in ascending order of the documents' numbers, null first.
 
-        A null text is empty: it has the end id only.  Rows with equal numbers stand together, the shorter
-        first, then by their bytes.  An empty table gives empty tables.
+        ``order`` is another number to go by, such as a row's place in a mix.  A null text is empty: it has the end id
+        only.  Rows with equal numbers stand together, the shorter first, then by their bytes.  Very long texts are
+        encoded whole.  Only the named columns are read.  An empty table gives empty tables.
         """
         spark = docs.sparkSession
         files = cls(spark, folder or fresh_path(spark, "token-files"))
-        rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-        kinds = "doc_id bigint, n_tokens bigint, ids binary"
+        number = F.col(f"`{doc_id}`").cast("long")
+        rows = docs.select((number if order is None else order).alias("at"), number.alias("doc_id"), F.col(f"`{text}`").alias("text"))
+        kinds = "at bigint, doc_id bigint, n_tokens bigint, ids binary"
         path = fresh_path(spark, "token-ids")
         rows.mapInArrow(lambda b: _tokenise(b, name), kinds).write.option("compression", "zstd").parquet(path)
         encoded = spark.read.schema(kinds).parquet(path)
@@ -178,14 +185,14 @@ class TokenFiles:
         total = encoded.count()
         parts = max(1, -(-total // rows_per_part), min(total, spark.sparkContext.defaultParallelism * 2))
         shares = [k / parts for k in range(1, parts)]
-        cuts = encoded.select(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0] if shares else []
+        cuts = encoded.select(F.percentile_approx("at", shares, 100 * parts)).first()[0] if shares else []
         cuts = sorted(set(cuts or []))
         table = np.array(cuts, np.int64)
         dealt = encoded.mapInArrow(
             lambda b: _rank_rows(b, ranks, table, width),
-            "part bigint, doc_id bigint, n_tokens bigint, controls binary, data binary",
+            "part bigint, at bigint, doc_id bigint, n_tokens bigint, controls binary, data binary",
         )
-        ordered = dealt.repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("part", "doc_id", "n_tokens", "controls", "data")
+        ordered = dealt.repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("part", "at", "doc_id", "n_tokens", "controls", "data")
         blocks = ordered.mapInArrow(lambda b: _blocks(b, block_tokens), BLOCK)
         blocks.write.option("compression", "uncompressed").parquet(f"{files.folder}/blocks")
         return files

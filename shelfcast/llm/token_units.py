@@ -2,23 +2,72 @@
 
 A byte-level BPE tokenizer first cuts a text into pieces that it encodes one by one.  A piece never goes on past a
 blank that follows a word, so a text can be cut there, and each distinct word (with its leading blank) needs
-encoding only once.  Words that end in white space, where this need not hold, send their text to the library
-whole, and so do texts with added tokens in them.
+encoding only once.  A full stop or comma behind a letter or digit is a piece of its own there, and so is a single line
+end between two signs, so texts are cut at these too and far fewer words are distinct.  Words that end in white space,
+where none of this need hold, send their text to the library whole, and so do texts with added tokens in them.
+
+Texts are taken some megabytes at a time: Arrow cuts them and numbers their distinct words, only these are looked up
+or encoded, and numpy lays their ids out in the order of the texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from shelfcast.llm.workers import CACHES
+
+#: Most words that are kept because they came again; most hashes, twice, of words that wait to come again.
+CACHED_WORDS = 300_000
+WAITING_WORDS = 250_000
+#: Bytes of text that are best encoded together.
+TOGETHER = 4 << 20
+
+
+#: Begins a word that has no blank before it; texts that hold it go to the library whole.
+MARK = "\x01"
+#: Where texts are cut besides at blanks, in this order.
+CUTS = (("\n", f" {MARK}\n {MARK}"), (". ", f" {MARK}. "), (", ", f" {MARK}, "))
+_ENDS_WELL = r"[A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]$"
+_SIGN_AT_END = r"[!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]$"
+
+
+class WordCache:
+    """Ids of words: a word is kept for good when it is asked for a second time; of first sights only a hash is kept."""
+
+    def __init__(self, kept: int = CACHED_WORDS, waiting: int = WAITING_WORDS):
+        self.most, self.most_waiting = kept, waiting
+        self.kept: dict[str, bytes] = {}
+        self.waiting: set[int] = set()
+        self.older: set[int] = set()
 
-CACHED_WORDS = 600_000
+    def look_up(self, words: Sequence[str]) -> list[bytes | None]:
+        return list(map(self.kept.get, words))
+
+    def learn(self, words: Sequence[str], ids: Sequence[bytes]) -> None:
+        room = self.most - len(self.kept)
+        if room <= 0:
+            return
+        hashes = list(map(hash, words))
+        again = [k for k, h in enumerate(hashes) if h in self.waiting or h in self.older][:room]
+        self.kept.update((words[k], ids[k]) for k in again)
+        if len(self.waiting) + len(words) > self.most_waiting:
+            self.waiting, self.older = set(), self.waiting
+        self.waiting.update(hashes[: self.most_waiting])
+
+    def clear(self) -> None:
+        self.kept.clear()
+        self.waiting.clear()
+        self.older.clear()
 
 
 class WordEncoder:
-    """Ids of texts as numpy arrays; the cache belongs to the Python worker and takes no more words once it is full."""
+    """Ids of texts as numpy arrays; the caches belong to the Python worker and are bounded."""
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,75 +83,133 @@ class WordEncoder:
             settings.get("truncation") is None and settings.get("padding") is None
         )
         self.added = [t["content"] for t in settings.get("added_tokens", [])]
-        self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         size = self.library.get_vocab_size()
+        self.width = "<u2" if size <= 1 << 16 else "<u4"
+        self.bytes = np.dtype(self.width).itemsize
         #: Which ids begin with a blank: in a list of words joined by blanks, these begin a word.
         self.starts = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.cached = cached
-        self.words: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}  # first words, which have no blank before them
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
-
-    def _head(self, word: str) -> bytes:
-        ids = self.heads.get(word)
-        if ids is None:
-            ids = self._whole(word)
-            if len(self.heads) < self.cached // 8:
-                self.heads[word] = ids
-        return ids
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words, each behind a blank, from texts of some thousands of them; kept while there is room."""
-        good = [w for w in words if w and not w[-1].isspace()]
-        learned: dict[str, bytes] = {}
-        for at in range(0, len(good), 4096):
-            part = good[at : at + 4096]
-            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype=self.width)
-            first = np.flatnonzero(self.starts[ids]).tolist()
+        self.words = WordCache(cached)
+
+    def _whole(self, texts: Sequence[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(texts), 256):
+            found = self.library.encode_batch_fast(list(texts[at : at + 256]), add_special_tokens=False)
+            out += [np.array(e.ids, dtype=self.width).tobytes() for e in found]
+        return out
+
+    def _encode_words(self, words: Sequence[str]) -> list[bytes]:
+        """Ids of words: marked ones alone, the others, each behind a blank, in texts of some thousands of them."""
+        marked = [k for k, w in enumerate(words) if w[0] == MARK]
+        plain = [w for w in words if w[0] != MARK]
+        out: list[bytes] = []
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096]
+            # what the library returns takes a hundred times the ids, so it is not made for all words at once
+            found = self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype=self.width)
+            first = np.flatnonzero(self.starts[ids])
             if len(first) != len(part):  # cannot be told apart: one by one
-                learned.update((w, self._whole(" " + w)) for w in part)
+                out += self._whole([" " + w for w in part])
                 continue
-            learned.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, first, [*first[1:], len(ids)]))
-        if len(self.words) < self.cached:
-            self.words.update(learned)
-        return learned
-
-    def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """The ids of each text, as the library gives them without special tokens; a null text has none."""
-        cut: list = []
-        new: set[str] = set()
-        for text in texts:
-            if not text:
-                cut.append(None)
-            elif not self.by_word or any(t in text for t in self.added):
-                cut.append(text)
-            else:
-                words = text.split(" ")
-                head = words[0]
-                if not head or head[-1].isspace():
-                    cut.append(text)
-                    continue
-                words[0] = ""  # begins without a blank, so it is not looked up
-                known = list(map(self.words.get, words))
-                known[0] = self._head(head)
-                if None in known:
-                    new.update(w for w, ids in zip(words, known) if ids is None)
-                    cut.append((text, words, known))
-                else:
-                    cut.append(known)
-        learned = self._learn(new) if new else {}
-        out = []
-        for item in cut:
-            if isinstance(item, tuple):
-                text, words, known = item
-                known = [learned.get(w) if ids is None else ids for w, ids in zip(words, known)]
-                item = text if None in known else known
-            found = b"" if item is None else self._whole(item) if isinstance(item, str) else b"".join(item)
-            out.append(np.frombuffer(found, dtype=self.width))
+            data, cuts = ids.tobytes(), (np.append(first, len(ids)) * self.bytes).tolist()
+            out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        if marked:
+            alone, rest = iter(self._whole([words[k][1:] for k in marked])), iter(out)
+            out = [next(alone) if w[0] == MARK else next(rest) for w in words]
         return out
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        found = self.words.look_up(words)
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if new:
+            fresh = [words[k] for k in new]
+            ids = self._encode_words(fresh)
+            self.words.learn(fresh, ids)
+            for k, one in zip(new, ids):
+                found[k] = one
+        return found
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """Of each text where its words begin; their numbers; the distinct words; which texts have to be encoded whole."""
+        cut = texts
+        for sign, apart in CUTS:
+            cut = pc.replace_substring(cut, sign, apart)
+        lists = pc.split_pattern(pc.binary_join_element_wise(MARK, cut, ""), " ")
+        starts = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = starts - starts[0]
+        numbered = lists.flatten().dictionary_encode()
+        codes, distinct = numbered.indices.to_numpy(zero_copy_only=False), numbered.dictionary
+        last, size = pc.utf8_slice_codeunits(distinct, -1), pc.utf8_length(distinct).to_numpy(zero_copy_only=False)
+        marked = pc.starts_with(distinct, MARK).to_numpy(zero_copy_only=False)
+
+        def which(word: str) -> np.ndarray:
+            return pc.equal(distinct, word).to_numpy(zero_copy_only=False)
+
+        line_end, stop = which(f"{MARK}\n"), which(f"{MARK}.") | which(f"{MARK},")
+        spaced = pc.utf8_is_space(last).to_numpy(zero_copy_only=False) & ~line_end
+        bad = (size == 0) | (marked & (size == 1)) | spaced
+        # a stop is a piece of its own behind a letter or digit, a line end between two signs
+        well, sign = (pc.match_substring_regex(distinct, r).to_numpy(zero_copy_only=False) for r in (_ENDS_WELL, _SIGN_AT_END))
+        begins = pc.match_substring_regex(distinct, f"^{MARK}{_SIGN_AT_END[:-1]}").to_numpy(zero_copy_only=False)
+        wrong = bad[codes]
+        before, after = codes[:-1], codes[1:]
+        wrong[1:] |= (stop[after] & ~well[before]) | (line_end[after] & ~sign[before])
+        wrong[:-1] |= line_end[before] & ~begins[after]
+        ends = starts[1:] - 1
+        wrong[ends] |= line_end[codes[ends]]
+        wrong[starts[:-1]] |= (stop | line_end)[codes[starts[:-1]]]
+        return starts, codes, distinct.to_pylist(), np.logical_or.reduceat(wrong, starts[:-1])
+
+    def encode_flat(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, as the library gives them without special tokens, and their numbers.
+
+        A null text has none.  Without ``ids`` only the numbers are found.
+        """
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        whole = sizes > 0
+        units: list[bytes] = []
+        order = owner = np.empty(0, np.int64)
+        if self.by_word and len(texts):
+            special = np.zeros(len(texts), bool)
+            for token in [*self.added, MARK]:
+                special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+            starts, codes, distinct, wrong = self._words(texts)
+            whole &= special | wrong
+            cut = np.repeat((sizes > 0) & ~whole, np.diff(starts))
+            used = np.zeros(len(distinct), bool)
+            used[codes[cut]] = True
+            wanted = np.flatnonzero(used)
+            units = self._known([distinct[k] for k in wanted.tolist()])
+            number = np.zeros(len(distinct), np.int64)
+            number[wanted] = np.arange(len(wanted))
+            order = number[codes[cut]]
+            owner = np.repeat(np.arange(len(texts)), np.diff(starts))[cut]
+        at = np.flatnonzero(whole)
+        if len(at):  # a text for the library is one unit among the others
+            order = np.concatenate([order, len(units) + np.arange(len(at))])
+            owner = np.concatenate([owner, at])
+            units = units + self._whole(texts.take(pa.array(at)).to_pylist())
+            place = np.argsort(owner, kind="stable")
+            order, owner = order[place], owner[place]
+        lengths = np.fromiter(map(len, units), np.int64, len(units)) // self.bytes
+        each = lengths[order]
+        counts = np.bincount(owner, each, len(texts)).astype(np.int64)
+        if not ids:
+            return np.empty(0, self.width), counts
+        flat, first = np.frombuffer(b"".join(units), self.width), np.cumsum(lengths) - lengths
+        shift = first[order] - (np.cumsum(each) - each)
+        kind = np.int32 if max(len(flat), int(each.sum())) < 1 << 31 else np.int64
+        place = np.repeat(shift.astype(kind), each)
+        place += np.arange(len(place), dtype=kind)
+        return flat[place], counts
+
+    def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, counts = self.encode_flat(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -115,10 +222,12 @@ def encoder(path: str) -> WordEncoder:
 
 
 def forget_words() -> None:
-    """Give the memory of the worker's word caches back, for work that encodes nothing."""
+    """Drop the worker's word caches, for work that encodes nothing."""
     for units in _ENCODERS.values():
         units.words.clear()
-        units.heads.clear()
+
+
+CACHES.append(forget_words)
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,9 +29,27 @@ def test_units_equal_the_library(texts):
 def test_a_full_cache_changes_nothing():
     small = WordEncoder(vocabulary_path(), cached=3)
     texts = [f"one w{i} w{i + 1} two <|endoftext|> x" if i % 5 == 0 else f"one w{i} two" for i in range(50)]
-    for _ in range(2):
+    small.words.most_waiting = 20
+    for _ in range(3):
         assert [x.tolist() for x in small.encode(texts)] == [library(t) for t in texts]
-    assert len(small.words) <= 200
+        counts = small.encode_flat(pa.array(texts), ids=False)[1]
+        assert counts.tolist() == [len(library(t)) for t in texts]
+    assert len(small.words.kept) <= 3 and len(small.words.waiting) <= 20
+
+
+def test_a_word_is_kept_at_its_second_sight():
+    own = WordEncoder(vocabulary_path())
+    own.encode(["a one two"])
+    assert not own.words.kept
+    own.encode(["a two. three"])
+    assert set(own.words.kept) == {"two", "\x01a"}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["word", "Ünd", "3", ".", ",", ". ", ", ", "\n", " ", "'s", '"', "-", "\x01", "\xa0", "日", "\u2028", "x.y", "!"]), max_size=14), max_size=4))
+def test_cuts_are_the_library_s(parts):
+    texts = ["".join(p) for p in parts]
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [library(t) for t in texts]
 
 
 @settings(max_examples=100, deadline=None)
