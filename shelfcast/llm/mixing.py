@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ from shelfcast.shared import written_table
 
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 16 * 1024 * 1024
+#: Words that a shard of the written mix holds, about, once there are more than its fixed number of shards would take.
+SHARD_WORDS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -284,14 +287,36 @@ def mixed_sizes(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.size("draws") * F.col("size")).alias("taken"))
 
 
+def shards_for(words: int, mix: Mix) -> int:
+    """How many shards a corpus of so many words is dealt to: the mix's own number, or more of bounded size."""
+    return max(mix.shards, -(-(words * mix.percent // 100) // SHARD_WORDS))
+
+
 def mixed(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
-    """The mix itself: rows of ``docs``, repeated as drawn, one partition per shard, shuffled inside it."""
+    """The mix itself: rows of ``docs``, repeated as drawn, one partition per shard, shuffled inside it.
+
+    Written, each shard is a file whose rows stand in the mix's order (:func:`written_order`).  Odd rows as in
+    :func:`mixed_sizes`; columns pass through, whatever their names.
+    """
     mix = mix or Mix()
-    found = draw(units_of(docs), mix)
+    units = units_of(docs)
+    mix = replace(mix, shards=shards_for(units.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], mix))
+    found = draw(units, mix)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source"),
         _key(docs, "text", "source", "doc_id").alias("key"),
     )
     drawn = with_draws(rows, found, mix).select("_row", "key", F.explode("draws").alias("_draw"))
     ordered = drawn.withColumn("_at", F.xxhash64(F.lit(mix.seed), "key", "_draw.copy"))
-    return ordered.repartition(mix.shards, "_draw.shard").sortWithinPartitions("_draw.shard", "_at").select("_row.*")
+    dealt = ordered.repartitionById(mix.shards, F.col("_draw.shard").cast("int"))
+    return dealt.sortWithinPartitions("_draw.shard", "_at").select("_row.*")
+
+
+def written_order(docs: DataFrame) -> Column | None:
+    """The place of a row in the files that ``docs`` is read from, file by file; nothing if it is no plain scan of files."""
+    file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    try:
+        docs.select(file, row)
+    except AnalysisException:
+        return None
+    return F.shiftleft(F.regexp_extract(file, r"part-(\d+)", 1).cast("long"), 40) + row

@@ -287,8 +287,16 @@ def judge(docs: DataFrame, rules: QualityRules | None = None, text: str = "text"
 
 
 def keep_good(docs: DataFrame, rules: QualityRules | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, unchanged."""
+    """The rows of ``docs`` that the rules keep, unchanged; odd rows as in :func:`judge`.
+
+    Rows are measured once and stored with their counts; references and verdicts are made from the stored counts.
+    """
+    rules = rules or QualityRules()
+    words = further_words(docs, rules)
+    measured = written_table(measure(docs, rules, words=words), "measured")
+    further = None if words is None else further_references(measured)
+    judged = verdict(measured, language_references(measured, rules, "lang"), rules, further=further)
     # a filter is not pushed below a column that depends on the row's place; pushed down, the condition would
-    # hold all the counting expressions once for each time it names them
-    judged = judge(docs, rules).withColumn("_place", F.monotonically_increasing_id())
-    return judged.filter(F.col("_rules.kept") & (F.col("_place") >= 0)).select("_row.*")
+    # hold all the distances once for each time it names them
+    placed = judged.withColumn("_place", F.monotonically_increasing_id())
+    return placed.filter(F.col("_rules.kept") & (F.col("_place") >= 0)).select("_row.*")
