@@ -6,6 +6,8 @@ Min-hash bands find the others: nodes that agree in a band meet in a bucket, whe
 with the bucket's leaders, linked to the likeliest ones, and becomes a leader itself unless one is almost sure to be
 similar.  A bucket thus gives a few links per node, never all pairs, and large buckets are taken in pieces whose leaders
 meet again.  Every candidate is then checked on the shingle sets themselves, and only true links join components.
+What these few links leave out is searched for afterwards: all pairs of a shard or bucket whose nodes are still in
+different components are checked too, so that in the end each such pair is connected or has been compared.
 
 A pair of similarity s shares one of ``BANDS`` bands of ``ROWS`` values with probability 1 - (1 - s ** ROWS) ** BANDS:
 0.995 at 0.8.
@@ -20,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.simhash import BLOCKS, LOWER, RADIUS, BKForest, block_choices, components, fingerprint, keep_one
+from shelfcast.llm.simhash import BLOCKS, FRONTIER, LOWER, RADIUS, BKForest, block_choices, components, fingerprint, keep_one
 from shelfcast.llm.workers import pieces, release_memory
 from shelfcast.operators.joins import attach
 from shelfcast.shared import written_table
@@ -180,13 +182,18 @@ def band_links(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
     return found.filter("a <> b").select("a", "b").distinct()
 
 
-def print_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Candidate links from the BK-trees: each node with the nearest earlier print within the radius, one per shard."""
+def _shard_keys(radius: int, blocks: int) -> list[Column]:
+    """The shards of a print: any two prints within the radius share one."""
     keys = []
     for choice, ranges in enumerate(block_choices(blocks, radius)):
         mask = sum(((1 << width) - 1) << shift for shift, width in ranges)
         signed = mask - (1 << 64) if mask >= 1 << 63 else mask
         keys.append(F.xxhash64(F.lit(choice), F.col("print").bitwiseAND(F.lit(signed).cast("long"))))
+    return keys
+
+
+def print_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """Candidate links from the BK-trees: each node with the nearest earlier print within the radius, one per shard."""
     first = written_table(nodes.groupBy("print").agg(F.min("node").alias("node")), "prints")
     same = attach(nodes.select("print", F.col("node").alias("a")), first.withColumnRenamed("node", "b"), ["print"], "inner").filter("a <> b")
 
@@ -206,10 +213,97 @@ def print_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) ->
         yield pa.RecordBatch.from_arrays([pa.array(rows[hit]), pa.array(rows[nearest[hit] % count])], names=["a", "b"])
         release_memory()
 
-    dealt = first.select("print", "node", F.explode(F.array(*keys)).alias("shard")).repartition("shard")
+    dealt = first.select("print", "node", F.explode(F.array(*_shard_keys(radius, blocks))).alias("shard")).repartition("shard")
     return dealt.mapInArrow(run, "a bigint, b bigint").unionByName(same.select("a", "b")).distinct()
 
 
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one run after another."""
+    return np.arange(int(counts.sum())) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
+def _products(a: np.ndarray, b: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a row of run ``a`` and a row of run ``b``, some million at a time."""
+    for at in range(0, len(a), 10_000):
+        one, two = a[at : at + 10_000], b[at : at + 10_000]
+        left, right = _runs(starts[one], counts[one]), np.repeat(two, counts[one])
+        ends, done = np.cumsum(counts[right]), 0
+        while done < len(left):
+            upto = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + FRONTIER, side="right")))
+            part = right[done:upto]
+            yield np.repeat(left[done:upto], counts[part]), _runs(starts[part], counts[part])
+            done = upto
+
+
+def _several_groups(keyed: DataFrame, key: str) -> DataFrame:
+    """Rows ``key node`` and others of those keys whose nodes are in more than one component, with the count ``n`` of nodes."""
+    mixed = keyed.groupBy(key).agg(F.min("_group").alias("low"), F.max("_group").alias("high"), F.count(F.lit(1)).alias("n"))
+    return attach(keyed, written_table(mixed.filter("low < high").select(key, "n"), "mixed-keys"), [key], "inner")
+
+
+def print_pairs(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """All pairs ``a``, ``b`` of nodes (``node print _group``) of different components whose prints are within the radius."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+        if not held:
+            return
+        shards, prints, rows, groups_ = (np.concatenate([h[k] for h in held]) for k in range(4))
+        order = np.lexsort((rows, prints, shards))
+        shards, prints, rows, groups_ = shards[order], prints[order].view(np.uint64), rows[order], groups_[order]
+        fresh = np.append(True, (shards[1:] != shards[:-1]) | (prints[1:] != prints[:-1]))
+        starts = np.flatnonzero(fresh)
+        counts = np.diff(np.append(starts, len(rows)))
+        same = np.flatnonzero(counts > 1)
+        near = BKForest(shards[starts], prints[starts]).within(np.arange(len(starts)), radius)
+        for one, two in itertools.chain([(same, same)], near):
+            for a, b in _products(one, two, starts, counts):
+                apart = (groups_[a] != groups_[b]) & (rows[a] != rows[b])
+                a, b = rows[a[apart]], rows[b[apart]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        release_memory()
+
+    dealt = _several_groups(nodes.select(F.explode(F.array(*_shard_keys(radius, blocks))).alias("shard"), "print", "node", "_group"), "shard")
+    return dealt.drop("n").repartition("shard").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def band_pairs(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
+    """All pairs of nodes (``node signature _group``) of different components that agree in a band and whose signatures
+    are alike; the pieces of a large bucket meet two by two."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            rows, groups_ = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
+            signed = np.frombuffer(b"".join(h[2] for h in held), np.uint32).reshape(len(held), -1)
+            for k in range(len(held) - 1):
+                rest = k + 1 + np.flatnonzero(groups_[k + 1 :] != groups_[k])
+                rest = rest[(signed[rest] == signed[k]).mean(axis=1) >= LIKELY] if len(rest) else rest
+                if len(rest):
+                    a, b = np.minimum(rows[k], rows[rest]), np.maximum(rows[k], rows[rest])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            for *place, node, group, signed in zip(*[batch.column(c).to_pylist() for c in ("band", "low", "high", "node", "_group", "signature")]):
+                if place != bucket:
+                    yield from pairs()
+                    bucket, held = place, []
+                held.append((node, group, signed))
+        yield from pairs()
+        release_memory()
+
+    keyed = nodes.select("node", "signature").mapInArrow(_bands, "node bigint, band bigint")
+    keyed = written_table(attach(keyed, nodes.select("node", "_group"), ["node"], "inner", BROADCAST_BYTES, hot_rows=None), "bands")
+    cut = F.ceil(F.col("n") / piece_nodes).cast("int")
+    met = _several_groups(keyed, "band").withColumn("piece", F.pmod(F.xxhash64("node"), cut).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)))
+    met = met.select("band", "node", "_group", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"))
+    signed = attach(met, nodes.select("node", "signature"), ["node"], "inner", BROADCAST_BYTES, hot_rows=None)
+    order = ["band", "low", "high"]
+    return signed.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def _similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "first"):
         keep = []
@@ -244,9 +338,16 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     nodes = written_table(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
     nothing = hashlib.blake2b(b"", digest_size=16).digest()
     full = nodes.filter(F.col("content") != F.lit(nothing))  # no words: one node, with no other like it
-    candidates = band_links(full).union(print_links(full)).distinct()
+    candidates = written_table(band_links(full).union(print_links(full)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     links = written_table(checked_links(docs, nodes, candidates, similarity), "links")
     linked = components(links)
+    grouped = full.join(linked, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    grouped = written_table(grouped.select("node", "print", "signature", "_group"), "groups-so-far")
+    left = written_table(band_pairs(grouped).union(print_pairs(grouped)).distinct(), "pairs-left")
+    left = written_table(attach(left, candidates, ["a", "b"], "left_anti"), "candidates-left")
+    if not left.isEmpty():
+        more = written_table(checked_links(docs, nodes, left, similarity), "links")
+        linked = components(links.union(more))
     placed = nodes.select("node", "content").join(linked, "node", "left")
     placed = written_table(placed.select("content", F.coalesce("component", "node").alias("_group")), "node-groups")
     return attach(signed.select("doc_id", "digest", "content"), placed, ["content"], "inner").select("doc_id", "digest", "_group")

@@ -130,3 +130,26 @@ def test_stage_recall_on_the_documents(spark, small):
     assert met >= 0.95 * len(pairs)
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
     assert len(kept) == len(set(found.values()))
+
+
+def test_a_partner_behind_nearer_prints_is_a_candidate(spark):
+    """Each node is linked to one print of a shard; the pairs left out are candidates unless they are connected already."""
+    with_package(spark)
+    signed = bytearray(np.arange(40, dtype=np.uint32).tobytes())
+    prints = {0: 0b0, 1: 0b11, 2: 0b1, 3: 0b1, 4: 1 << 40 | 1 << 30 | 1 << 20 | 1 << 10 | 1}
+    nodes = spark.createDataFrame([(n, p, signed) for n, p in prints.items()], "node bigint, print bigint, signature binary")
+    first = {(min(r), max(r)) for r in similar.print_links(nodes).collect()}
+    assert (0, 1) in first and (1, 2) not in first and (1, 3) not in first
+
+    def left(groups):
+        grouped = nodes.join(spark.createDataFrame(list(groups.items()), "node bigint, _group bigint"), "node")
+        by_print = sorted(tuple(r) for r in similar.print_pairs(grouped).collect())
+        for piece in (2, 1000):
+            alike = sorted(tuple(r) for r in similar.band_pairs(grouped, piece).collect())
+            assert alike == [p for p in itertools.combinations(range(5), 2) if groups[p[0]] != groups[p[1]]]
+        return by_print
+
+    near = [(a, b) for a, b in itertools.combinations(range(5), 2) if (prints[a] ^ prints[b]).bit_count() <= similar.RADIUS]
+    assert left({n: n for n in prints}) == near
+    assert left({0: 0, 1: 0, 2: 0, 3: 3, 4: 4}) == [p for p in near if p[1] > 2]
+    assert left(dict.fromkeys(prints, 0)) == []
