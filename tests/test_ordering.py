@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import ordering
 from shelfcast.operators.fill import fill_along, fill_by_calendar, fill_with_flag
 from shelfcast.operators.lags import calendar_lags, lag_columns, lead_time_lags, rolling_window, supervised_frame
-from shelfcast.operators.ordering import dense_position, first_rows, last_rows, row_slice, running_total
+from shelfcast.operators.ordering import dense_position, first_rows, grouped_in_order, last_rows, row_slice, running_total
 from tests.conftest import rows
 
 
@@ -155,3 +155,13 @@ def test_fill_by_calendar_reaches_leading_gaps(spark):
 def test_fill_with_flag(spark):
     df = spark.createDataFrame([(1, None), (2, 3)], "i int, n int")
     assert rows(fill_with_flag(df, "n", "was"), "i", "n", "was") == [(1, 0, True), (2, 3, False)]
+
+
+def test_groups_are_numbered_in_one_shuffle(spark):
+    rows = spark.createDataFrame([(k % 7 if k % 11 else None, f"{k % 3}", float(k)) for k in range(500)], "a int, b string, x double")
+    made = grouped_in_order(rows, ["a", "b"], [F.sum("x").alias("x")], "place")
+    grouped = rows.repartitionByRange("a", "b").groupBy("a", "b").agg(F.sum("x")).sortWithinPartitions("a", "b")
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    wanted = dense_position(rows.groupBy("a", "b").agg(F.sum("x").alias("x")), ["a", "b"], "place")
+    assert sorted(made.collect(), key=lambda r: r["place"]) == sorted(wanted.collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in made.orderBy(F.col("a").asc_nulls_first(), "b").collect()] == list(range(made.count()))
