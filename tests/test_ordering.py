@@ -165,3 +165,13 @@ def test_groups_are_numbered_in_one_shuffle(spark):
     wanted = dense_position(rows.groupBy("a", "b").agg(F.sum("x").alias("x")), ["a", "b"], "place")
     assert sorted(made.collect(), key=lambda r: r["place"]) == sorted(wanted.collect(), key=lambda r: r["place"])
     assert [r["place"] for r in made.orderBy(F.col("a").asc_nulls_first(), "b").collect()] == list(range(made.count()))
+
+
+def test_unread_lags_leave_the_plan(spark):
+    rows = spark.range(100).select(F.col("id").alias("p"), F.col("id").cast("string").alias("unread"), (F.col("id") * 2).alias("x"))
+    lagged = lag_columns(rows, ["x", "unread"], [1], "p", head_from_first=True, bucket_rows=30)
+    plan = lagged.select("p", "x_lag_1")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unread" not in plan
+    found = lagged.orderBy("p").collect()
+    assert [r["x_lag_1"] for r in found] == [0, *range(0, 198, 2)]
+    assert [r["unread_lag_1"] for r in found] == ["0", *map(str, range(99))]

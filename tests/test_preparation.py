@@ -11,7 +11,7 @@ from shelfcast.operators.lags import rolling_window
 from shelfcast.operators.splits import in_train, ordered_folds
 from shelfcast.plans.features import Preparation, merged_features
 from shelfcast.plans.indexing import IndexColumns, IndexColumnsModel, replace_by_number
-from shelfcast.plans.models import Trials, boosted_trees, cross_validate, fold_models, linear_model, predict, scores, search_pipeline
+from shelfcast.plans.models import Trials, boosted_trees, cross_validate, fit_stored, fold_models, linear_model, predict, scores, search_pipeline
 from shelfcast.plans.preparation import PrepareFeatures, PrepareFeaturesModel
 from shelfcast.plans.stages import ColumnDropper, FunctionStep, fill_numbers, prefix
 from shelfcast.queries.encodings import with_gaps
@@ -199,3 +199,24 @@ def test_a_batch_is_added_to_stored_counts(spark):
     # only rows of categories that moved, and the new rows, have values in the last side table
     last = warehouse._stored("t").sides[-1][0]
     assert {r["id"] for r in spark.table(last).collect()} == {3, 4, 5, *range(10, 16)}
+
+
+def test_a_pipeline_is_fitted_on_stored_vectors(spark, small, monkeypatch):
+    merged = written_table(merged_features(star(spark, small), refine_days=True).limit(300), "merged")
+    prepared, transform = [], PrepareFeaturesModel._transform
+    monkeypatch.setattr(PrepareFeaturesModel, "_transform", lambda self, rows: prepared.append(1) or transform(self, rows))
+    steps = Pipeline(stages=[PrepareFeatures(windowSize=2), *linear_model(["sales_lag_1"], "sales").getStages()])
+    model, made = fit_stored(steps, merged, ["id"])
+    found = rows(predict(model.stages[-1], made), "id", "prediction")
+    assert len(prepared) == 1 and set(made.columns) == {"id", "_features", "sales"}
+    wanted = rows(predict(steps.fit(merged), merged), "id", "prediction")
+    assert [r[0] for r in found] == [r[0] for r in wanted] and [r[1] for r in found] == pytest.approx([r[1] for r in wanted])
+
+
+def test_trials_store_what_later_stages_read(spark, small):
+    merged = merged_features(star(spark, small), refine_days=True)
+    folded = written_table(ordered_folds(merged.limit(200), "id", 2).withColumn("fold", (F.col("id") % 2).cast("int")), "folded")
+    stages = [PrepareFeatures(windowSize=2), *linear_model(["sales_lag_1"], "sales").getStages()]
+    _, train, test = Trials(stages, folded, range(1), also=["sales"]).sides(0, 0, {})
+    assert set(train.columns) == set(test.columns) == {"sales", "sales_lag_1"}
+    assert "day_of_week" in Trials(stages, folded, range(1)).sides(0, 0, {})[1].columns
