@@ -13,6 +13,8 @@ from shelfcast.operators import ordering
 from shelfcast.operators.fill import fill_along, fill_by_calendar, fill_with_flag
 from shelfcast.operators.lags import calendar_lags, lag_columns, lead_time_lags, rolling_window, supervised_frame
 from shelfcast.operators.ordering import dense_position, first_rows, grouped_in_order, last_rows, row_slice, running_total
+from shelfcast.plans import features
+from shelfcast.shared import written_table
 from tests.conftest import rows
 
 
@@ -175,3 +177,13 @@ def test_unread_lags_leave_the_plan(spark):
     found = lagged.orderBy("p").collect()
     assert [r["x_lag_1"] for r in found] == [0, *range(0, 198, 2)]
     assert [r["unread_lag_1"] for r in found] == ["0", *map(str, range(99))]
+
+
+def test_oil_is_filled_from_one_stored_series(spark, monkeypatch):
+    held = [("2020-01-01", None), ("2020-01-02", 5.0), ("2020-01-02", 4.0), ("2020-01-03", None), (None, 9.0), ("2020-01-05", 7.0), ("2020-01-06", None)]
+    df = spark.createDataFrame(held, "d string, oil_price double").select(F.to_date("d").alias("date"), "oil_price")
+    stored = []
+    monkeypatch.setattr(features, "written_table", lambda df, label: stored.append(label) or written_table(df, label))
+    found = rows(features.fill_oil(df).select(F.col("date").cast("string"), "oil_price"))
+    assert found == [(None, None), ("2020-01-01", 5.0), ("2020-01-02", 5.0), ("2020-01-02", 5.0), ("2020-01-03", 5.0), ("2020-01-05", 7.0), ("2020-01-06", 7.0)]
+    assert stored == ["daily-prices"]
