@@ -201,6 +201,23 @@ def test_a_batch_is_added_to_stored_counts(spark):
     assert {r["id"] for r in spark.table(last).collect()} == {3, 4, 5, *range(10, 16)}
 
 
+def test_buckets_grow_with_the_rows(spark):
+    from shelfcast.plans.groups import CountedIndex
+    from shelfcast.sources.warehouse import Warehouse
+
+    warehouse, index = Warehouse(spark), CountedIndex("t", ("c",), ("id",), buckets=2, bucket_rows=10)
+    parts = [spark.range(low, high).select("id", (F.col("id") % (7 + k)).cast("string").alias("c")) for k, (low, high) in enumerate([(0, 35), (35, 90), (90, 300)])]
+    index.start(warehouse, parts[0])
+    assert warehouse.rows_and_buckets("t") == (35, 4)
+    index.add(warehouse, parts[1])
+    assert warehouse.rows_and_buckets("t") == (90, 4)
+    index.add(warehouse, parts[2])  # 300 rows are more than four times those of four buckets
+    assert warehouse.rows_and_buckets("t") == (300, 30)
+    together = parts[0].union(parts[1]).union(parts[2])
+    refit = IndexColumns(columns=["c"]).fit(together).transform(together)
+    assert rows(warehouse.current("t"), "id", "c", "c_numeric") == rows(refit, "id", "c", "c_index")
+
+
 def test_a_pipeline_is_fitted_on_stored_vectors(spark, small, monkeypatch):
     merged = written_table(merged_features(star(spark, small), refine_days=True).limit(300), "merged")
     prepared, transform = [], PrepareFeaturesModel._transform
