@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.joins import drop_existing, require_unique
+from shelfcast.operators.joins import drop_existing
 from shelfcast.operators.ordering import first_rows
 from shelfcast.shared import scratch, written_table
 from shelfcast.sources.delimited import read_delimited, read_rows_after
@@ -55,8 +55,8 @@ def new_rows(
 ) -> DataFrame:
     """Rows of the file that the table lacks, under the table's names.
 
-    ``by="keys"`` compares keys and is right whatever the order of the file (no stored key is read if all of the file's
-    lie above the largest stored one); ``by="position"`` skips
+    ``by="keys"`` compares keys and is right whatever the order of the file (rows above the largest stored key are new
+    without a look at the stored ones); ``by="position"`` skips
     as many rows as are stored, for files that only ever grow at the end; ``by="newer"`` takes rows
     after the newest stored key.
     """
@@ -69,7 +69,10 @@ def new_rows(
         rows = written_table(rows, "arrived")  # parsed once, read for its range, its size and its rows
         if warehouse.all_newer(rows, dataset.name, dataset.keys[0]):
             return rows
-        return drop_existing(rows, stored, dataset.keys)
+        above = warehouse.above_mark(dataset.name, dataset.keys[0])
+        if above is None:
+            return drop_existing(rows, stored, dataset.keys)
+        return drop_existing(rows.filter(~above), stored, dataset.keys).unionByName(rows.filter(above))
     if by == "newer":
         return newer_rows(rows, stored, dataset.keys)
     raise ValueError(f"unknown way to find new rows: {by!r}")
@@ -82,9 +85,7 @@ def load_new_rows(warehouse: Warehouse, dataset: Dataset, path: str, by: str = "
     """
     warehouse.create(dataset)
     with scratch(warehouse.spark):
-        rows = written_table(new_rows(warehouse, dataset, path, by, sep), "new-rows")
-        require_unique(rows, dataset.keys)
-        warehouse.append(rows, dataset.name, mark=dataset.keys[0])
+        warehouse.append(new_rows(warehouse, dataset, path, by, sep), dataset.name, mark=dataset.keys[0], unique=dataset.keys)
 
 
 def load_all(warehouse: Warehouse, folder: str, by: str = "keys", names: Sequence[str] = LOAD_ORDER) -> None:

@@ -95,3 +95,17 @@ def test_update_sets_nulls_and_never_inserts(spark):
 
 def test_limits_are_sane():
     assert joins.BROADCAST_BYTES <= 1 << 27 and joins.HOT_ROWS >= 1_000_000
+
+
+def test_a_large_batch_meets_stored_keys_by_keys_alone(spark, monkeypatch):
+    from shelfcast.operators import joins
+
+    made = {}
+    own = joins.written_table
+    monkeypatch.setattr(joins, "written_table", lambda df, label: made.setdefault(label, own(df, label)))
+    stored = spark.createDataFrame([(k // 2, k) for k in range(40)] + [(None, 1)], "k bigint, v bigint")
+    batch = spark.createDataFrame([(k, "x" * k) for k in (3, 5, 19, 20, 21, 21)] + [(None, "y")], "k bigint, t string")
+    found = drop_existing(batch, stored, ["k"], broadcast_bytes=0)
+    assert rows(found) == rows(batch.filter("k > 19"))
+    assert made["keys-missing"].columns == ["k"] and rows(made["keys-missing"]) == [(20,), (21,)]
+    assert rows(drop_existing(batch, stored, ["k"])) == rows(found)

@@ -216,6 +216,28 @@ def test_loading_twice_adds_nothing(spark, tmp_path):
         new_rows(warehouse, TRADE, str(tmp_path), "guess")
 
 
+def test_new_rows_are_written_once_and_looked_up_below_the_mark_only(spark, tmp_path, monkeypatch):
+    from shelfcast.sources import ingest
+
+    written, searched = [], []
+    own_write, own_search = ingest.written_table, ingest.drop_existing
+    monkeypatch.setattr(ingest, "written_table", lambda df, label: written.append(label) or own_write(df, label))
+    monkeypatch.setattr(ingest, "drop_existing", lambda df, *a: searched.append(df.count()) or own_search(df, *a))
+    warehouse = Warehouse(spark)
+    write_trade(tmp_path, "a.csv", "2020-01-01,1,10", "2020-01-02,2,11")
+    load_new_rows(warehouse, TRADE, str(tmp_path))
+    write_trade(tmp_path, "b.csv", "2020-01-02,1,12", "2020-01-03,1,13", "2020-01-04,1,14", ",7,15")
+    load_new_rows(warehouse, TRADE, str(tmp_path))
+    assert written == ["arrived"] * 2 and searched == [4]  # the two later ones are new without a look
+    load_new_rows(warehouse, TRADE, str(tmp_path))
+    found = rows(warehouse.current(TRADE.name), "store_id", "transactions_count")
+    assert found == [(1, 10), (1, 12), (1, 13), (1, 14), (2, 11), (7, 15)]
+    write_trade(tmp_path, "c.csv", "2020-01-05,1,1", "2020-01-05,1,2")
+    with pytest.raises(ValueError):
+        load_new_rows(warehouse, TRADE, str(tmp_path))
+    assert warehouse.current(TRADE.name).count() == 6
+
+
 def test_two_rows_under_one_key_are_refused(spark, tmp_path):
     write_trade(tmp_path, "a.csv", "2020-01-01,1,10", "2020-01-01,1,11")
     warehouse = Warehouse(spark)
