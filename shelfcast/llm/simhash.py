@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.workers import pieces
 from shelfcast.operators.joins import attach, fits_broadcast
-from shelfcast.shared import written_table
+from shelfcast.shared import scratch, written_table
 
 SHINGLE = 4
 SEED = 42
@@ -230,16 +230,20 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", t
     stays, and of rows equal in number and text, one.
     """
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = written_table(with_fingerprints(named).select(
-        F.col("_row.doc_id").alias("doc_id"), "_print", F.xxhash64("_row.text").alias("digest")
-    ), "fingerprints")
-    found = written_table(component_of(prints, radius).select("_print", "_group"), "print-groups")
-    grouped = attach(prints, found, ["_print"], "inner", BROADCAST_BYTES)
-    return keep_one(docs, grouped.select("doc_id", "digest", "_group"), doc_id, text)
+    with scratch(docs.sparkSession):
+        prints = written_table(with_fingerprints(named).select(
+            F.col("_row.doc_id").alias("doc_id"), "_print", F.xxhash64("_row.text").alias("digest")
+        ), "fingerprints")
+        found = written_table(component_of(prints, radius).select("_print", "_group"), "print-groups")
+        grouped = attach(prints, found, ["_print"], "inner", BROADCAST_BYTES)
+        return keep_one(docs, grouped.select("doc_id", "digest", "_group"), doc_id, text)
 
 
 def keep_one(docs: DataFrame, grouped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one for each group of ``grouped`` (``doc_id``, ``digest`` of the text, ``_group``), as :func:`one_of_each` says."""
+    """Rows of ``docs``, one for each group of ``grouped`` (``doc_id``, ``digest`` of the text, ``_group``), as :func:`one_of_each` says.
+
+    Called inside a :func:`scratch`, which the result outlasts.
+    """
     number, digest = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
     counted = written_table(grouped.groupBy("_group", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")), "groups")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
@@ -248,7 +252,7 @@ def keep_one(docs: DataFrame, grouped: DataFrame, doc_id: str = "doc_id", text:
     marks = counted.join(first, "_group").select(
         F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.when(chosen, F.lit("once")).otherwise(F.lit("drop")).alias("mark"), "n"
     ).filter("mark = 'drop' OR n > 1").select("_id", "_digest", "mark")
-    marks = written_table(marks, "marks")
+    marks = written_table(marks, "marks", lasting=True)
     marks = F.broadcast(marks) if fits_broadcast(marks, BROADCAST_BYTES) else marks
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), number.alias("id"), digest.alias("digest"))
     marked = rows.join(marks, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")

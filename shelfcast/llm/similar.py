@@ -7,7 +7,9 @@ with the bucket's leaders, linked to the likeliest ones, and becomes a leader it
 similar.  A bucket thus gives a few links per node, never all pairs, and large buckets are taken in pieces whose leaders
 meet again.  Every candidate is then checked on the shingle sets themselves, and only true links join components.
 What these few links leave out is searched for afterwards: all pairs of a shard or bucket whose nodes are still in
-different components are checked too, so that in the end each such pair is connected or has been compared.
+different components are checked too, so that in the end each such pair is connected or has been compared.  They are
+compared where their shard or bucket lies, each pair in one of those it shares, and no row is made for a pair: nodes that
+have a candidate go there with their sets, and what comes back is links that join components.
 
 A pair of similarity s shares one of ``BANDS`` bands of ``ROWS`` values with probability 1 - (1 - s ** ROWS) ** BANDS:
 0.995 at 0.8.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.simhash import BLOCKS, FRONTIER, LOWER, RADIUS, BKForest, block_choices, components, fingerprint, keep_one
 from shelfcast.llm.workers import pieces, release_memory
 from shelfcast.operators.joins import attach
-from shelfcast.shared import written_table
+from shelfcast.shared import scratch, written_table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -39,6 +41,10 @@ LIKELY, SURE = 0.6, 0.95
 #: Leaders that a node is linked to in a bucket, the likeliest ones.
 LINKS = 4
 PIECE_NODES = 20_000
+#: Nodes of a piece whose shingle sets are held together.
+PIECE_SETS = 2_000
+#: Hashes that are looked up in a set at once.
+SET_HASHES = 1 << 20
 #: Signatures and sets are broadcast up to this size, measured.
 BROADCAST_BYTES = 16 * 1024 * 1024
 _PRIME = (1 << 61) - 1
@@ -100,8 +106,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
-        keys = np.array([xxhash.xxh64_intdigest(v.tobytes(), band) for row in values for band, v in enumerate(row)], np.uint64).view(np.int64)
+        keys = _band_keys(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32)).reshape(-1)
         node = batch.column("node").to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, BANDS)), pa.array(keys)], names=["node", "band"])
 
@@ -182,16 +187,33 @@ def band_links(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
     return found.filter("a <> b").select("a", "b").distinct()
 
 
+def _masks(radius: int, blocks: int) -> list[int]:
+    return [sum(((1 << width) - 1) << shift for shift, width in ranges) for ranges in block_choices(blocks, radius)]
+
+
 def _shard_keys(radius: int, blocks: int) -> list[Column]:
     """The shards of a print: any two prints within the radius share one."""
     keys = []
-    for choice, ranges in enumerate(block_choices(blocks, radius)):
-        mask = sum(((1 << width) - 1) << shift for shift, width in ranges)
+    for choice, mask in enumerate(_masks(radius, blocks)):
         signed = mask - (1 << 64) if mask >= 1 << 63 else mask
         keys.append(F.xxhash64(F.lit(choice), F.col("print").bitwiseAND(F.lit(signed).cast("long"))))
     return keys
 
 
+def _first_shard(one: np.ndarray, two: np.ndarray, masks: list[int]) -> np.ndarray:
+    """The first choice of blocks in which prints agree, -1 for none."""
+    first, apart = np.full(len(one), -1), one ^ two
+    for choice, mask in enumerate(masks):
+        first[(first < 0) & (apart & np.uint64(mask) == 0)] = choice
+    return first
+
+
+def _band_keys(values: np.ndarray) -> np.ndarray:
+    """A key per signature and band."""
+    keys = [xxhash.xxh64_intdigest(v.tobytes(), band) for row in values.reshape(-1, BANDS, ROWS) for band, v in enumerate(row)]
+    return np.array(keys, np.uint64).view(np.int64).reshape(-1, BANDS)
+
+
 def print_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """Candidate links from the BK-trees: each node with the nearest earlier print within the radius, one per shard."""
     first = written_table(nodes.groupBy("print").agg(F.min("node").alias("node")), "prints")
@@ -241,15 +263,21 @@ def _several_groups(keyed: DataFrame, key: str) -> DataFrame:
     return attach(keyed, written_table(mixed.filter("low < high").select(key, "n"), "mixed-keys"), [key], "inner")
 
 
-def print_pairs(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """All pairs ``a``, ``b`` of nodes (``node print _group``) of different components whose prints are within the radius."""
+def print_pairs(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, members: bool = False) -> DataFrame:
+    """All pairs ``a``, ``b`` of nodes (``node print _group``) of different components whose prints are within the radius.
+
+    With ``members`` the nodes of such pairs instead: ``key choice node``, for the first shard that a pair shares.
+    """
+    masks = _masks(radius, blocks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not held:
             return
-        shards, prints, rows, groups_ = (np.concatenate([h[k] for h in held]) for k in range(4))
+        choices, shards, prints, rows, groups_ = (np.concatenate([h[k] for h in held]) for k in range(5))
         order = np.lexsort((rows, prints, shards))
-        shards, prints, rows, groups_ = shards[order], prints[order].view(np.uint64), rows[order], groups_[order]
+        choices, shards, prints, rows, groups_ = choices[order], shards[order], prints[order].view(np.uint64), rows[order], groups_[order]
+        asked = np.zeros(len(rows), bool)
         fresh = np.append(True, (shards[1:] != shards[:-1]) | (prints[1:] != prints[:-1]))
         starts = np.flatnonzero(fresh)
         counts = np.diff(np.append(starts, len(rows)))
@@ -258,17 +286,28 @@ def print_pairs(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) ->
         for one, two in itertools.chain([(same, same)], near):
             for a, b in _products(one, two, starts, counts):
                 apart = (groups_[a] != groups_[b]) & (rows[a] != rows[b])
+                if members:
+                    a, b = a[apart], b[apart]
+                    here = _first_shard(prints[a], prints[b], masks) == choices[a]
+                    asked[a[here]] = asked[b[here]] = True
+                    continue
                 a, b = rows[a[apart]], rows[b[apart]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        if members:
+            yield pa.RecordBatch.from_arrays([pa.array(shards[asked]), pa.array(choices[asked], pa.int32()), pa.array(rows[asked])], names=["key", "choice", "node"])
         release_memory()
 
-    dealt = _several_groups(nodes.select(F.explode(F.array(*_shard_keys(radius, blocks))).alias("shard"), "print", "node", "_group"), "shard")
-    return dealt.drop("n").repartition("shard").mapInArrow(run, "a bigint, b bigint").distinct()
+    keyed = nodes.select(F.posexplode(F.array(*_shard_keys(radius, blocks))).alias("choice", "shard"), "print", "node", "_group")
+    dealt = _several_groups(keyed, "shard").select("choice", "shard", "print", "node", "_group").repartition("shard")
+    return dealt.mapInArrow(run, "key bigint, choice int, node bigint" if members else "a bigint, b bigint").distinct()
 
 
-def band_pairs(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
+def band_pairs(nodes: DataFrame, piece_nodes: int = PIECE_NODES, members: bool = False) -> DataFrame:
     """All pairs of nodes (``node signature _group``) of different components that agree in a band and whose signatures
-    are alike; the pieces of a large bucket meet two by two."""
+    are alike; the pieces of a large bucket meet two by two.
+
+    With ``members`` the nodes of such pairs instead: ``key choice node``, for the first band that a pair shares; choice is -1.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
 
@@ -277,12 +316,22 @@ def band_pairs(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
                 return
             rows, groups_ = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
             signed = np.frombuffer(b"".join(h[2] for h in held), np.uint32).reshape(len(held), -1)
+            asked, keys = np.zeros(len(held), bool), _band_keys(signed) if members else None
             for k in range(len(held) - 1):
                 rest = k + 1 + np.flatnonzero(groups_[k + 1 :] != groups_[k])
                 rest = rest[(signed[rest] == signed[k]).mean(axis=1) >= LIKELY] if len(rest) else rest
-                if len(rest):
+                if members:
+                    rest = rest[_first_band(signed[rest], signed[k], keys[k]) == bucket[0]]
+                    asked[rest] = True
+                    asked[k] |= len(rest) > 0
+                elif len(rest):
                     a, b = np.minimum(rows[k], rows[rest]), np.maximum(rows[k], rows[rest])
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            if members:
+                count = int(asked.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(count, bucket[0])), pa.array(np.full(count, -1, np.int32)), pa.array(rows[asked])], names=["key", "choice", "node"]
+                )
 
         for batch in batches:
             for *place, node, group, signed in zip(*[batch.column(c).to_pylist() for c in ("band", "low", "high", "node", "_group", "signature")]):
@@ -301,7 +350,106 @@ def band_pairs(nodes: DataFrame, piece_nodes: int = PIECE_NODES) -> DataFrame:
     met = met.select("band", "node", "_group", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"))
     signed = attach(met, nodes.select("node", "signature"), ["node"], "inner", BROADCAST_BYTES, hot_rows=None)
     order = ["band", "low", "high"]
-    return signed.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a bigint, b bigint").distinct()
+    kinds = "key bigint, choice int, node bigint" if members else "a bigint, b bigint"
+    return signed.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, kinds).distinct()
+
+
+def _first_band(signatures: np.ndarray, one: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The key of the first band in which each signature agrees with ``one``, whose keys are given; they agree in some."""
+    return keys[(signatures == one).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)]
+
+
+def _alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which of the sets, none empty, are similar enough to ``one``."""
+    sizes = np.array([len(s) for s in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    both = np.add.reduceat(one[at] == flat, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return both >= similarity * (len(one) + sizes - both) - 1e-9
+
+
+def _joining(held: list[tuple], key: int, choice: int, apart: bool, masks: list[int], similarity: float) -> list[tuple[int, int]]:
+    """Links between components, from all candidate pairs of one bucket; pairs that earlier ones connect are passed over.
+
+    ``held`` has ``node _group piece print signature hashes`` of each node; ``apart`` asks for pairs of different pieces.
+    """
+    groups_, pieces_, prints = (np.array([h[k] for h in held], np.int64) for k in (1, 2, 3))
+    prints = prints.view(np.uint64)
+    signed = np.frombuffer(b"".join(h[4] for h in held), np.uint32).reshape(len(held), -1)
+    sets = [np.frombuffer(h[5], np.uint64) for h in held]
+    sizes = np.array([len(s) for s in sets])
+    keys = _band_keys(signed) if choice < 0 else None
+    above: dict[int, int] = {}
+    links = []
+
+    def top(group: int) -> int:
+        while (up := above.get(group, group)) != group:
+            above[group] = above.get(up, up)
+            group = up
+        return group
+
+    for k in range(len(held) - 1):
+        rest = k + 1 + np.flatnonzero(groups_[k + 1 :] != groups_[k])
+        rest = rest[pieces_[rest] != pieces_[k]] if apart else rest
+        near = np.bitwise_count(prints[rest] ^ prints[k]) <= RADIUS
+        if choice < 0:  # close prints meet in a shard
+            rest = rest[~near]
+            rest = rest[(signed[rest] == signed[k]).mean(axis=1) >= LIKELY] if len(rest) else rest
+            rest = rest[_first_band(signed[rest], signed[k], keys[k]) == key]
+        else:
+            rest = rest[near]
+            rest = rest[_first_shard(prints[rest], np.broadcast_to(prints[k], len(rest)), masks) == choice]
+        least, most = np.minimum(sizes[rest], sizes[k]), np.maximum(sizes[rest], sizes[k])
+        rest = rest[least >= similarity * most - 1e-9]
+        while len(rest):
+            rest = rest[[top(g) != top(groups_[k]) for g in groups_[rest].tolist()]]
+            upto = max(1, int(np.searchsorted(np.cumsum(sizes[rest]), SET_HASHES, side="right")))
+            part, rest = rest[:upto], rest[upto:]
+            for r in part[_alike(sets[k], [sets[r] for r in part], similarity)].tolist() if len(part) else []:
+                one, two = sorted((top(int(groups_[k])), top(int(groups_[r]))))
+                if one != two:
+                    above[two] = one
+                    links.append((one, two))
+    return links
+
+
+def group_links(
+    docs: DataFrame, nodes: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY, piece_nodes: int = PIECE_SETS
+) -> DataFrame:
+    """Links ``a``, ``b`` of components that have similar nodes which share a shard or a band, as far as they join some.
+
+    ``grouped`` has ``node print signature _group``.  The members of a large shard or band meet in pieces, two by two.
+    """
+    masks = _masks(RADIUS, BLOCKS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held = None, []
+
+        def found() -> pa.RecordBatch:
+            links = _joining(held, place[0], place[1], place[2] != place[3], masks, similarity) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        names = ["key", "choice", "low", "high", "node", "_group", "piece", "print", "signature", "hashes"]
+        for batch in pieces(batches, "hashes"):
+            for row in zip(*[batch.column(c).to_pylist() for c in names]):
+                if row[:4] != place:
+                    yield found()
+                    place, held = row[:4], []
+                held.append(row[4:])
+        yield found()
+
+    members = band_pairs(grouped, members=True).unionByName(print_pairs(grouped, members=True))
+    members = written_table(members, "members-left")
+    sets = sets_of(docs, nodes, members.select("node"))
+    cut = members.groupBy("key", "choice").agg(F.ceil(F.count(F.lit(1)) / piece_nodes).cast("int").alias("pieces"))
+    met = attach(members, written_table(cut, "member-pieces"), ["key", "choice"], "inner", hot_rows=None)
+    met = met.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    met = met.select("key", "choice", "node", "piece", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"))
+    met = attach(met, grouped.select("node", "_group", "print", "signature"), ["node"], "inner", BROADCAST_BYTES, hot_rows=None)
+    met = attach(met, sets, ["node"], "inner", BROADCAST_BYTES, hot_rows=None)
+    order = ["key", "choice", "low", "high"]
+    return met.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -315,15 +463,20 @@ def _similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
         yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
 
 
-def checked_links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The candidates whose shingle sets are similar enough; sets are made again, of one text per node in question."""
-    candidates = written_table(candidates, "candidates")
-    asked = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
-    wanted = written_table(attach(nodes.select("node", "content", "digest"), written_table(asked, "asked"), ["node"], "left_semi", hot_rows=None), "wanted")
+def sets_of(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """``node hashes`` of the nodes asked for, stored; sets are made again, of one text per node."""
+    asked = written_table(asked.distinct(), "asked")
+    wanted = written_table(attach(nodes.select("node", "content", "digest"), asked, ["node"], "left_semi", hot_rows=None), "wanted")
     texts = docs.select(F.col("text"), F.xxhash64("text").alias("digest"))
     chosen = attach(texts, wanted.select("digest").distinct(), ["digest"], "left_semi").select("text")
     sets = chosen.mapInArrow(_sets, "content binary, hashes binary").groupBy("content").agg(F.first("hashes").alias("hashes"))
-    sets = written_table(wanted.select("node", "content").join(sets, "content").select("node", "hashes"), "sets")
+    return written_table(wanted.select("node", "content").join(sets, "content").select("node", "hashes"), "sets")
+
+
+def checked_links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The candidates whose shingle sets are similar enough."""
+    candidates = written_table(candidates, "candidates")
+    sets = sets_of(docs, nodes, candidates.select(F.col("a").alias("node")).union(candidates.select("b")))
     pairs = attach(candidates, sets.select(F.col("node").alias("a"), F.col("hashes").alias("first")), ["a"], "inner", BROADCAST_BYTES)
     pairs = attach(pairs, sets.select(F.col("node").alias("b"), F.col("hashes").alias("second")), ["b"], "inner", BROADCAST_BYTES)
     return pairs.mapInArrow(lambda b: _similar(b, similarity), "a bigint, b bigint")
@@ -343,13 +496,12 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     linked = components(links)
     grouped = full.join(linked, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     grouped = written_table(grouped.select("node", "print", "signature", "_group"), "groups-so-far")
-    left = written_table(band_pairs(grouped).union(print_pairs(grouped)).distinct(), "pairs-left")
-    left = written_table(attach(left, candidates, ["a", "b"], "left_anti"), "candidates-left")
-    if not left.isEmpty():
-        more = written_table(checked_links(docs, nodes, left, similarity), "links")
-        linked = components(links.union(more))
-    placed = nodes.select("node", "content").join(linked, "node", "left")
-    placed = written_table(placed.select("content", F.coalesce("component", "node").alias("_group")), "node-groups")
+    more = written_table(group_links(docs, nodes, grouped, similarity), "group-links")
+    if not more.isEmpty():
+        joined = components(more).withColumnRenamed("node", "_group")
+        grouped = attach(grouped.select("node", "_group"), joined, ["_group"]).select("node", F.coalesce("component", "_group").alias("_group"))
+    placed = nodes.select("node", "content").join(grouped.select("node", "_group"), "node", "left")
+    placed = written_table(placed.select("content", F.coalesce("_group", "node").alias("_group")), "node-groups")
     return attach(signed.select("doc_id", "digest", "content"), placed, ["content"], "inner").select("doc_id", "digest", "_group")
 
 
@@ -362,4 +514,5 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "
     whatever their names; an empty table gives no rows.
     """
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return keep_one(docs, groups(named, similarity), doc_id, text)
+    with scratch(docs.sparkSession):
+        return keep_one(docs, groups(named, similarity), doc_id, text)

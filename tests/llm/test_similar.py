@@ -153,3 +153,51 @@ def test_a_partner_behind_nearer_prints_is_a_candidate(spark):
     assert left({n: n for n in prints}) == near
     assert left({0: 0, 1: 0, 2: 0, 3: 3, 4: 4}) == [p for p in near if p[1] > 2]
     assert left(dict.fromkeys(prints, 0)) == []
+
+
+def test_pairs_left_are_compared_in_place(spark):
+    """All candidate pairs of different components are checked, without a row for each."""
+    with_package(spark)
+    random.seed(5)
+    words = [f"w{i}" for i in range(500)]
+    base, texts = random.choices(words, k=120), []
+    for k in range(40):  # close prints, some of them similar enough
+        other = list(base)
+        for at in random.sample(range(120), 1 + k % 9):
+            other[at] = f"x{random.randrange(9)}"
+        texts.append(" ".join(other))
+    texts += [" ".join(random.choices(words, k=60)) for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kinds = "node bigint, content binary, print bigint, signature binary, _group bigint"
+    made = []
+    for k, text in enumerate(texts):
+        found = similar.shingles(text)
+        mark = np.uint64(similar.fingerprint(text, similar.SHINGLE)).view(np.int64)
+        made.append((k, bytearray(similar.hashlib.blake2b(found.tobytes(), digest_size=16).digest()), int(mark), bytearray(similar.signature(found).tobytes()), k - k % 3))
+    nodes = spark.createDataFrame(made, kinds).join(docs.selectExpr("doc_id AS node", "xxhash64(text) AS digest"), "node")
+    grouped = nodes.select("node", "print", "signature", "_group")
+    pairs = similar.band_pairs(grouped).union(similar.print_pairs(grouped)).distinct()
+    true = [(r["a"], r["b"]) for r in similar.checked_links(docs, nodes, pairs).collect()]
+    assert pairs.count() > 2 * len(texts) and len(true) > 10
+    own = [(k, k - k % 3) for k in range(len(texts))]
+    for piece in (3, 1000):
+        links = [(r["a"], r["b"]) for r in similar.group_links(docs, nodes, grouped, piece_nodes=piece).collect()]
+        assert closed(len(texts), own + links) == closed(len(texts), own + true)
+    assert len(links) < pairs.count() / 2
+    members = similar.print_pairs(grouped, members=True).collect()
+    near = {k for r in similar.print_pairs(grouped).collect() for k in (r["a"], r["b"])}
+    assert {r["node"] for r in members} == near
+
+
+def test_only_what_the_result_reads_is_left(spark, odd):
+    import os
+
+    from shelfcast.shared import shared_folder
+    from shelfcast.llm import token_files
+
+    root = f"{shared_folder(spark)}/shelfcast/{spark.sparkContext.applicationId}".removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.exists(root) else set()
+    kept = similar.one_of_each(odd)
+    assert {x.split("-")[0] for x in set(os.listdir(root)) - before} == {"marks"} and kept.count() > 0
+    files = token_files.TokenFiles.write(odd)
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before} == {"marks", "token-files"} and files.read().count() == odd.count()
