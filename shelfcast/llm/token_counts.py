@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.token_units import TOGETHER, encoder, vocabulary_path
-from shelfcast.llm.workers import pieces
+from shelfcast.llm.token_units import encoder, vocabulary_path
 from shelfcast.operators.joins import attach
 from shelfcast.shared import fresh_path
 
@@ -33,8 +32,7 @@ def normalised(text: str):
 
 def _count_batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     units = encoder(vocabulary_path(name))
-    for batch in pieces(batches, "text", TOGETHER, keep=True):
-        counts = units.encode_flat(batch.column("text"), ids=False)[1]
+    for batch, _, counts in units.encode_batches(batches, ids=False):
         yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts)], names=["content", "n_tokens"])
 
 

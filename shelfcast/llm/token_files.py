@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.token_units import TOGETHER, encoder, forget_words, vocabulary_path
+from shelfcast.llm.token_units import encoder, forget_words, vocabulary_path
 from shelfcast.llm.workers import pieces
 from shelfcast.shared import fresh_path, scratch
 
@@ -71,8 +71,7 @@ def unpack(controls: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
 def _tokenise(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     """Ids of each document with the end id, as they are."""
     units = encoder(vocabulary_path(name))
-    for batch in pieces(batches, "text", TOGETHER, keep=True):
-        ids, counts = units.encode_flat(batch.column("text"))
+    for batch, ids, counts in units.encode_batches(batches):
         ends = np.cumsum(counts + 1)
         ended = np.full(len(ids) + len(counts), END, units.width)
         inside = np.ones(len(ended), bool)

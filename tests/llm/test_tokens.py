@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfcast.llm import token_counts, token_files
+from shelfcast.llm import token_counts, token_files, token_units
 from shelfcast.llm.token_units import WordEncoder, vocabulary_path
 
 ENCODER = WordEncoder(vocabulary_path())
@@ -45,6 +45,42 @@ def test_a_word_is_kept_at_its_second_sight():
     assert set(own.words.kept) == {"two", "\x01a"}
 
 
+def test_a_word_is_encoded_once(monkeypatch):
+    own, asked = WordEncoder(vocabulary_path()), []
+    encode = own._encode_words
+    monkeypatch.setattr(own, "_encode_words", lambda words: asked.extend(words) or encode(words))
+    for text in ("a one two", "a two. three", "one a two"):
+        assert own.encode([text])[0].tolist() == library(text)
+    assert sorted(asked) == sorted(set(asked))
+
+
+def test_parts_are_looked_up_together(monkeypatch):
+    own, looked_up = WordEncoder(vocabulary_path()), []
+    look_up = own.words.look_up
+    monkeypatch.setattr(own.words, "look_up", lambda words: looked_up.append(len(words)) or look_up(words))
+    texts = [None, "", "one two", "two. Ünd ñandú", "two <|endoftext|> x", "a\t", "3 one's", None, "\x01 one", "日本 two"]
+    parts = [pa.RecordBatch.from_pydict({"text": pa.array(texts[a : a + 2], pa.string())}) for a in range(0, len(texts), 2)]
+    parts += [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in ([], [None], ["<|endoftext|>"])]
+    found = list(own.encode_batches(iter(parts)))
+    assert len(looked_up) == 1
+    assert [b.column("text").to_pylist() for b, _, _ in found] == [p.column("text").to_pylist() for p in parts if p.num_rows]
+    for batch, ids, counts in found:
+        each = [library(t) for t in batch.column("text").to_pylist()]
+        assert ids.tolist() == [i for one in each for i in one] and counts.tolist() == [len(one) for one in each]
+    monkeypatch.setattr(token_units, "LOOKED_UP_TOGETHER", 1)
+    again = [(ids.tolist(), counts.tolist()) for _, ids, counts in own.encode_batches(iter(parts))]
+    assert again == [(ids.tolist(), counts.tolist()) for _, ids, counts in found]
+    assert [c.tolist() for _, _, c in own.encode_batches(iter(parts), ids=False)] == [c for _, c in again]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abÉéßÿĀŉſƻɏ×÷ªºµıİʼn'7-Ġ日", min_size=1, max_size=8), max_size=6))
+def test_words_of_letters_are_one_piece(words):
+    texts = [*words, " ".join(words), ". ".join(words)]
+    ENCODER.words.clear()
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [library(t) for t in texts]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["word", "Ünd", "3", ".", ",", ". ", ", ", "\n", " ", "'s", '"', "-", "\x01", "\xa0", "日", "\u2028", "x.y", "!"]), max_size=14), max_size=4))
 def test_cuts_are_the_library_s(parts):
