@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import random
 
 import pandas as pd
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import ordering
 from shelfcast.operators.fill import fill_along, fill_by_calendar, fill_with_flag
-from shelfcast.operators.lags import calendar_lags, lag_columns, lead_time_lags, rolling_window, supervised_frame
+from shelfcast.operators.lags import (
+    calendar_lags, filled_lags, lag_columns, lead_time_lags, rolling_window, series_ends, supervised_frame,
+)
 from shelfcast.operators.ordering import dense_position, first_rows, grouped_in_order, last_rows, row_slice, running_total
 from shelfcast.plans import features
 from shelfcast.shared import written_table
@@ -187,3 +190,18 @@ def test_oil_is_filled_from_one_stored_series(spark, monkeypatch):
     found = rows(features.fill_oil(df).select(F.col("date").cast("string"), "oil_price"))
     assert found == [(None, None), ("2020-01-01", 5.0), ("2020-01-02", 5.0), ("2020-01-02", 5.0), ("2020-01-03", 5.0), ("2020-01-05", 7.0), ("2020-01-06", 7.0)]
     assert stored == ["daily-prices"]
+
+
+@pytest.mark.parametrize("bucket_rows", [2, 4, 50])
+def test_filled_lags_are_those_of_the_rolling_window_by_one_shuffle(spark, bucket_rows):
+    days = [(p, None if p in (0, 3, 4, 5, 9) else float(p), None if p % 4 == 1 else f"t{p}", datetime.date(2020, 1, p + 1), p * 2) for p in range(10)]
+    frame = spark.createDataFrame(days, "p bigint, v double, t string, d date, w int").withColumn("a", F.array("w"))
+    columns = ["v", "t", "d", "w", "a"]
+    ends = series_ends(frame, columns, "p")
+    assert (ends.last, ends.holed, ends.known) == (9, ["v", "t"], {"v": (1.0, 1), "t": ("t0", 0)})
+    made = filled_lags(frame, columns, [1, 3], "p", ends, bucket_rows)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(_bucket") == 1
+    plain = rolling_window(frame, 4, "p", columns, bucket_rows=bucket_rows)
+    assert rows(made) == rows(plain, *made.columns)
+    short = frame.filter("p < 2")
+    assert rows(filled_lags(short, columns, [1, 3], "p", series_ends(short, columns, "p")), "p", "w_lag_1", "w_lag_3") == [(0, 0, None), (1, 0, None)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression
@@ -237,3 +239,14 @@ def test_trials_store_what_later_stages_read(spark, small):
     _, train, test = Trials(stages, folded, range(1), also=["sales"]).sides(0, 0, {})
     assert set(train.columns) == set(test.columns) == {"sales", "sales_lag_1"}
     assert "day_of_week" in Trials(stages, folded, range(1)).sides(0, 0, {})[1].columns
+
+
+def test_prepared_rows_meet_in_one_shuffle_and_fitted_rows_do_not_stay(spark, small):
+    merged = written_table(merged_features(with_gaps(star(spark, small)), refine_days=True).limit(400), "merged")
+    before = set(os.listdir(os.path.dirname(fresh_path(spark, "x"))))
+    preparation = Preparation(window_size=3)
+    fitted = preparation.fit(merged)
+    left = set(os.listdir(os.path.dirname(fresh_path(spark, "x")))) - before
+    assert {name.rsplit("-", 1)[0] for name in left} == {"category-index"}
+    made = preparation.transform(merged, fitted)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
