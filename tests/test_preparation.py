@@ -250,3 +250,12 @@ def test_prepared_rows_meet_in_one_shuffle_and_fitted_rows_do_not_stay(spark, sm
     assert {name.rsplit("-", 1)[0] for name in left} == {"category-index"}
     made = preparation.transform(merged, fitted)
     assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_trees_of_the_query_prepare_their_rows_once(spark, small, monkeypatch):
+    from shelfcast.queries import load_queries
+
+    prepared, transform = [], PrepareFeaturesModel._transform
+    monkeypatch.setattr(PrepareFeaturesModel, "_transform", lambda self, rows: prepared.append(1) or transform(self, rows))
+    assert load_queries()["k11_boosted_trees"](spark, small).columns == ["id", "sales", "prediction"]
+    assert len(prepared) == 1  # twice before: for the fit, and once more for the prediction
